@@ -3,8 +3,16 @@
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "bigint": T.LongType(), "int": T.IntegerType(), "string": T.StringType(), "boolean": T.BooleanType(),
+    "date": T.DateType(), "timestamp": T.TimestampType(),
+}
+
+
 def _schema(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    """Nullable columns from "name type, name type"; unlike a DDL string this needs no running session."""
+    pairs = [column.split() for column in text.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 # Columns of each delimited file, in file order. IDs are bigint so that they outlive 2^31 members.
@@ -68,5 +76,8 @@ ISSUE = _schema(
     "BatchID int, RuleCode string, EntityName string, EntityKey string, Severity string, "
     "IssueDescription string, RegisteredAt timestamp, IsResolved boolean"
 )
-REJECT = _schema("SourceTable string, BusinessKey string, RejectionReason string, Payload string")
+REJECT = _schema(
+    "SourceTable string, BusinessKey string, RejectionReason string, Payload string, "
+    "BatchID int, RejectedAt timestamp"
+)
 PARAMETER = _schema("ParameterName string, ParameterValue string, ParameterDescription string, UpdatedAt timestamp")
