@@ -142,6 +142,16 @@ def margin_percent(wh: Warehouse) -> DataFrame:
 
 # --- rejects and validation --------------------------------------------------------------------------------------
 
+def reject_doctors(wh: Warehouse) -> DataFrame:
+    """Doctors delivered with every ninth name blank and every eleventh without its ID."""
+    key = F.col("DoctorID")
+    return rejects.doctors(wh.raw("doctors").select(
+        F.when(key % 11 != 0, key).alias("DoctorID"),
+        F.when(key % 9 == 0, "  ").otherwise(F.col("FullName")).alias("FullName"),
+        "Specialty",
+    ))
+
+
 def reject_all(wh: Warehouse) -> DataFrame:
     return rejects.all_rejects({name: wh.raw(name) for name in STAGING})
 
@@ -313,7 +323,7 @@ OPERATORS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "is_weekend": is_weekend,
     "margin_percent": margin_percent,
     "reject_patients": lambda wh: rejects.patients(wh.raw("patients")),
-    "reject_doctors": lambda wh: rejects.doctors(wh.raw("doctors")),
+    "reject_doctors": reject_doctors,
     "reject_dates": lambda wh: rejects.dates(wh.raw("dates")),
     "reject_diagnoses": lambda wh: rejects.diagnoses(wh.raw("diagnoses")),
     "reject_visits": lambda wh: rejects.visits(wh.raw("visits")),

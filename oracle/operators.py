@@ -221,6 +221,10 @@ SQL = {
                    else {scaled(half_up(f"{cents('Profit')} * 1000000", cents('ServiceCost')), 4, 9)} end as MarginPercent
             from norm_visits"""),
     **{name: query(sql) for name, sql in REJECTS.items()},
+    "reject_doctors": query(
+        REJECTS["reject_doctors"].replace("from stg_doctors", "from delivered"),
+        delivered="""select case when DoctorID % 11 <> 0 then DoctorID end as DoctorID,
+          case when DoctorID % 9 = 0 then '  ' else FullName end as FullName, Specialty from stg_doctors"""),
     "reject_all": query(" union all ".join(REJECTS.values())),
     "dq_fk_missing": query(MISSING),
     "validate_unique_key": query("select FactID, count(*) as KeyRows from stg_visits group by all having count(*) > 1"),
