@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 50_000
 HOT_SHARE = 1 / 200
+SKETCH_GROUPS = 256
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
@@ -17,14 +18,24 @@ def fits(df: DataFrame, max_rows: int) -> bool:
 def hot_keys(df: DataFrame, columns: list[str], share: float = HOT_SHARE) -> dict[str, list]:
     """Keys holding more than ``share`` of the rows, found for all columns in one pass.
 
-    A fixed-size sketch is merged map-side, so no key is shuffled and at most 1/share keys per column reach
-    the driver. The answer only chooses how rows are spread; it never changes a result.
+    Each task keeps a fixed-size sketch; the sketches are merged in two levels, so neither a key nor a large
+    number of sketches meets in one task, and at most 1/share keys per column reach the driver. The answer only
+    chooses how rows are spread; it never changes a result.
     """
     k = math.ceil(1 / share)
-    sketches = [F.expr(f"approx_top_k(`{c}`, {k}, {50 * k})").alias(c) for c in columns]
-    found = df.agg(F.count(F.lit(1)).alias("rows_in_total"), *sketches).first()
-    limit = found["rows_in_total"] * share
-    return {c: [e["item"] for e in found[c] if e["item"] is not None and e["count"] > limit] for c in columns}
+    tracked = 10 * k
+    merged = df.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_part")).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.expr(f"approx_top_k_accumulate(`{c}`, {tracked})").alias(c) for c in columns],
+    )
+    found = merged.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("_n"),
+        *[F.expr(f"approx_top_k_estimate(approx_top_k_combine(`{c}`, {tracked}), {k})").alias(c) for c in columns],
+    ).first()
+    limit = found["_n"] * share
+    return {
+        c: [e["item"] for e in found[c] or [] if e["item"] is not None and e["count"] > limit] for c in columns
+    }
 
 
 def lookup(

@@ -9,8 +9,7 @@ from ..operators.merge import dedupe, scd2, unknown_member, upsert
 from ..schemas import DIMENSIONS
 
 
-def clean_patients(raw: DataFrame) -> DataFrame:
-    """Distinct cleaned rows, invalid ones included (the reject report needs them)."""
+def patient_rows(raw: DataFrame) -> DataFrame:
     phone = F.trim("Phone")
     return raw.select(
         "PatientID",
@@ -19,7 +18,12 @@ def clean_patients(raw: DataFrame) -> DataFrame:
         C.age_band(F.col("Age")).alias("AgeBand"),
         phone.alias("Phone"),
         C.phone_digits(phone).alias("PhoneNormalized"),
-    ).distinct()
+    )
+
+
+def clean_patients(raw: DataFrame) -> DataFrame:
+    """Distinct cleaned rows, invalid ones included (the reject report needs them)."""
+    return patient_rows(raw).distinct()
 
 
 def patient_is_valid() -> Column:
@@ -34,23 +38,31 @@ def diagnosis_is_valid() -> Column:
     return F.col("DiagnosisID").isNotNull() & ~C.is_blank(F.col("DiagnosisName"))
 
 
-def clean_doctors(raw: DataFrame) -> DataFrame:
+def doctor_rows(raw: DataFrame) -> DataFrame:
     return raw.filter(doctor_is_valid()).select(
         "DoctorID",
         F.trim("FullName").alias("FullName"),
         F.trim("Specialty").alias("Specialty"),
         C.specialty_group(F.col("Specialty")).alias("SpecialtyGroup"),
-    ).distinct()
+    )
 
 
-def clean_diagnoses(raw: DataFrame) -> DataFrame:
+def clean_doctors(raw: DataFrame) -> DataFrame:
+    return doctor_rows(raw).distinct()
+
+
+def diagnosis_rows(raw: DataFrame) -> DataFrame:
     return raw.filter(diagnosis_is_valid()).select(
         "DiagnosisID",
         F.trim("ICDCode").alias("ICDCode"),
         F.trim("DiagnosisName").alias("DiagnosisName"),
         F.trim("TreatmentMethod").alias("TreatmentMethod"),
         C.diagnosis_class(F.col("ICDCode")).alias("DiagnosisClass"),
-    ).distinct()
+    )
+
+
+def clean_diagnoses(raw: DataFrame) -> DataFrame:
+    return diagnosis_rows(raw).distinct()
 
 
 def clean_visit_types(raw: DataFrame) -> DataFrame:
@@ -100,13 +112,16 @@ STAGED = {
 
 
 def source_rows(name: str, raw: DataFrame) -> DataFrame:
-    """Valid cleaned rows of a dimension; exactly one per ID where the dimension is versioned."""
+    """Valid cleaned rows of a dimension; exactly one per ID where the dimension is versioned.
+
+    Keeping one row per ID also removes exact copies, so there is no separate pass for those.
+    """
     if name == "patient":
-        return dedupe(clean_patients(raw).filter(patient_is_valid()), "PatientID")
+        return dedupe(patient_rows(raw).filter(patient_is_valid()), "PatientID")
     if name == "doctor":
-        return dedupe(clean_doctors(raw), "DoctorID")
+        return dedupe(doctor_rows(raw), "DoctorID")
     if name == "diagnosis":
-        return dedupe(clean_diagnoses(raw), "DiagnosisID")
+        return dedupe(diagnosis_rows(raw), "DiagnosisID")
     return clean_dates(raw) if name == "date" else clean_visit_types(raw)
 
 

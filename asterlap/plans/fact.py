@@ -63,18 +63,8 @@ def resolve_visits(
     return result
 
 
-def _or_unknown(name: str) -> dict[str, Column]:
-    """Business key, surrogate key and attributes of a dimension, with the unknown member where unresolved."""
-    business_key, surrogate_key, attributes = LOOKUPS[name]
-    unresolved = F.col(surrogate_key).isNull()
-    columns = {
-        business_key: F.when(unresolved, 0).otherwise(F.col(business_key)),
-        surrogate_key: F.coalesce(surrogate_key, F.lit(0)),
-    }
-    for source, alias in attributes.items():
-        value = UNKNOWN[name].get(source)
-        columns[alias] = F.col(alias) if value is None else F.when(unresolved, value).otherwise(F.col(alias))
-    return columns
+def _delivered(business_key: str) -> str:
+    return f"Delivered{business_key}"
 
 
 def _measures() -> dict[str, Column]:
@@ -90,48 +80,70 @@ def _measures() -> dict[str, Column]:
     }
 
 
-def _project(resolved: DataFrame, wanted: list[str]) -> DataFrame:
-    known = _measures()
-    for name in LOOKUPS:
-        known |= _or_unknown(name)
-    return resolved.filter("FactID IS NOT NULL").select(*[known.get(c, F.col(c)).alias(c) for c in wanted])
+MEASURES = [
+    "ServiceCost", "Profit", "MarginPercent", "VisitCount", "PatientCount", "RepeatRate", "AvgTreatmentCost",
+]
 
 
-def fact_visits(resolved: DataFrame) -> DataFrame:
-    """The fact table: surrogate keys and measures, one row per visit with a FactID."""
-    return _project(resolved, [
-        "VisitKey", "FactID", *[key for _, key, _ in LOOKUPS.values()],
-        "ServiceCost", "VisitCount", "Profit", "PatientCount", "RepeatRate", "AvgTreatmentCost", "MarginPercent",
-    ])
+def wide_visits(resolved: DataFrame) -> DataFrame:
+    """The stored form of the visits: IDs as delivered, surrogate keys, attributes, measures.
 
+    An unresolved reference has key 0 and the unknown member's attributes; an unreadable number is 0. The fact
+    table, the detailed visits and the missing-reference report are projections of this one table, and filters on
+    its attributes reach the files.
+    """
+    columns = [F.col("VisitKey"), F.col("FactID")]
+    for name, (business_key, surrogate_key, attributes) in LOOKUPS.items():
+        unresolved = F.col(surrogate_key).isNull()
+        columns.append(F.col(business_key).alias(_delivered(business_key)))
+        columns.append(F.coalesce(surrogate_key, F.lit(0)).alias(surrogate_key))
+        for source, alias in attributes.items():
+            value = UNKNOWN[name].get(source)
+            filled = F.col(alias) if value is None else F.when(unresolved, value).otherwise(F.col(alias))
+            columns.append(filled.alias(alias))
+    measures = _measures()
+    return resolved.select(*columns, *[measures[c].alias(c) for c in MEASURES])
+
+
+def _facts(wide: DataFrame, wanted: list[str]) -> DataFrame:
+    """Rows with a FactID; a business ID is 0 where its reference is unresolved."""
+    ids = {
+        business_key: F.when(F.col(key) == 0, 0).otherwise(F.col(_delivered(business_key))).alias(business_key)
+        for business_key, key, _ in LOOKUPS.values()
+    }
+    return wide.filter("FactID IS NOT NULL").select(*[ids.get(c, F.col(c)) for c in wanted])
 
-def visit_detailed(resolved: DataFrame) -> DataFrame:
-    """Each fact row beside its dimension attributes.
 
-    The attributes are already at hand after key resolution, so the star join costs no further join.
-    """
-    return _project(resolved, [
+def fact_visits(wide: DataFrame) -> DataFrame:
+    """The fact table: surrogate keys and measures."""
+    return _facts(wide, ["VisitKey", "FactID", *[key for _, key, _ in LOOKUPS.values()], *MEASURES])
+
+
+def visit_detailed(wide: DataFrame) -> DataFrame:
+    """Each fact row beside its dimension attributes: the star join, without a join."""
+    return _facts(wide, [
         "VisitKey", "FactID",
         "FullDate", "Year", "Month", "QuarterNumber", "MonthName", "WeekDayName", "IsWeekend", "AcademicPeriod",
         "PatientID", "PatientName", "Age", "AgeBand",
         "DoctorID", "DoctorName", "Specialty", "SpecialtyGroup",
         "DiagnosisID", "ICDCode", "DiagnosisName", "DiagnosisClass",
-        "VisitTypeID", "VisitName", "VisitCategory",
-        "ServiceCost", "Profit", "MarginPercent", "VisitCount", "PatientCount", "RepeatRate", "AvgTreatmentCost",
+        "VisitTypeID", "VisitName", "VisitCategory", *MEASURES,
     ])
 
 
-def compat_visits(resolved: DataFrame) -> DataFrame:
-    """Fact rows by business ID, 0 where the reference could not be resolved."""
-    return _project(resolved, _ORDER)
+def compat_visits(wide: DataFrame) -> DataFrame:
+    """Fact rows by business ID."""
+    return _facts(wide, _ORDER)
 
 
-def unresolved_visits(resolved: DataFrame) -> DataFrame:
-    """Visits with at least one reference no dimension knows."""
+def unresolved_visits(wide: DataFrame) -> DataFrame:
+    """Visits with at least one reference no dimension knows, by the IDs as delivered."""
     missing = F.lit(False)
-    for _, surrogate_key, _ in LOOKUPS.values():
-        missing = missing | F.col(surrogate_key).isNull()
-    return resolved.filter(missing)
+    for business_key, key, _ in LOOKUPS.values():
+        delivered = F.col(_delivered(business_key))
+        missing = missing | ((F.col(key) == 0) & (delivered.isNull() | (delivered != 0)))
+    ids = [F.col(_delivered(business_key)).alias(business_key) for business_key, _, _ in LOOKUPS.values()]
+    return wide.filter(missing).select("FactID", *ids)
 
 
 def _month_totals(fact: DataFrame, dates: DataFrame, key: str, extra: list[Column]) -> DataFrame:

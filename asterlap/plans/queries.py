@@ -28,7 +28,7 @@ MART_ALL = {c: c for c in ALL}
 
 
 def _v(wh: Warehouse) -> DataFrame:
-    return wh.table("visit_detailed")
+    return wh.visits()
 
 
 def _d(wh: Warehouse) -> DataFrame:

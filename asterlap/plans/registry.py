@@ -109,7 +109,7 @@ def sink_clear_and_load(wh: Warehouse) -> DataFrame:
     """Two refreshes of the business-ID tables, read back."""
     tables = {name: marts.compat_dimension(name, df) for name, df in wh.dimensions().items()}
     for _ in range(2):
-        written = sinks.clear_and_load(fact.compat_visits(wh.resolved()), tables, f"{wh.root}/sink")
+        written = sinks.clear_and_load(fact.compat_visits(wh.wide()), tables, f"{wh.root}/sink")
     return audit.row_counts({name: wh.spark.read.parquet(path) for name, path in written.items()})
 
 
@@ -157,7 +157,7 @@ def reject_all(wh: Warehouse) -> DataFrame:
 
 
 def dq_fk_missing(wh: Warehouse) -> DataFrame:
-    return quality.missing_references(fact.unresolved_visits(wh.resolved()))
+    return quality.missing_references(fact.unresolved_visits(wh.wide()))
 
 
 def validate_fk(wh: Warehouse) -> DataFrame:
@@ -243,16 +243,12 @@ def _next_load_time(loader: Loader) -> datetime:
 # --- cube --------------------------------------------------------------------------------------------------------
 
 def cube_facts(wh: Warehouse) -> DataFrame:
-    return fact.compat_visits(wh.resolved())
+    return fact.compat_visits(wh.wide())
 
 
-def raw_keyed_facts(wh: Warehouse) -> DataFrame:
+def null_keyed_facts(wh: Warehouse) -> DataFrame:
     """Visits by business ID, NULL where the dimension does not know the ID."""
-    resolved = wh.resolved().filter("FactID IS NOT NULL")
-    return resolved.withColumns({
-        business_key: F.when(F.col(key).isNotNull(), F.col(business_key))
-        for business_key, key, _ in fact.LOOKUPS.values()
-    })
+    return cube_facts(wh).withColumns({c: F.nullif(c, F.lit(0)) for c in star_cube.DIMENSIONS})
 
 
 # --- audit -------------------------------------------------------------------------------------------------------
@@ -351,7 +347,7 @@ OPERATORS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "compat_date": lambda wh: marts.compat_dimension("date", wh.dimension("date")),
     "compat_visit_type": lambda wh: marts.compat_dimension("visit_type", wh.dimension("visit_type")),
     "compat_diagnoses": lambda wh: marts.compat_dimension("diagnosis", wh.dimension("diagnosis")),
-    "compat_fact": lambda wh: fact.compat_visits(wh.resolved()),
+    "compat_fact": lambda wh: fact.compat_visits(wh.wide()),
     "mart_visit_detailed": lambda wh: wh.visits().drop("VisitKey"),
     "mart_doctor_performance": lambda wh: marts.doctor_performance(wh.visits()),
     "mart_diagnosis_performance": lambda wh: marts.diagnosis_performance(wh.visits()),
@@ -365,7 +361,7 @@ OPERATORS: dict[str, Callable[[Warehouse], DataFrame]] = {
     ),
     "cube_measures": lambda wh: star_cube.cube_query(cube_facts(wh), ["VisitTypeID"], list(star_cube.MEASURES)),
     "cube_unknown_member": lambda wh: star_cube.cube_query(
-        raw_keyed_facts(wh), ["DiagnosisID"], ["Visit Count", "Profit"]
+        null_keyed_facts(wh), ["DiagnosisID"], ["Visit Count", "Profit"]
     ),
     "cube_visits_by_diag_age": lambda wh: olap.totals(
         wh.visits(), ["DiagnosisID", "Age"], {"VisitCount": "VisitCount"}

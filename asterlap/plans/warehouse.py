@@ -26,9 +26,7 @@ class Warehouse:
         self._written: dict[str, DataFrame] = {}
         self._build: dict[str, Callable[[], DataFrame]] = {
             "stg_visits": self._staged_visits,
-            "visit_resolved": self._resolved,
-            "fact_visit": lambda: fact.fact_visits(self.resolved()),
-            "visit_detailed": lambda: fact.visit_detailed(self.resolved()),
+            "visit": self._wide_visits,
             "doctor_performance": lambda: marts.doctor_performance(self.visits()),
             "diagnosis_performance": lambda: marts.diagnosis_performance(self.visits()),
             "patient_segment": lambda: marts.patient_segment(self.visits()),
@@ -56,20 +54,20 @@ class Warehouse:
     def normalised(self) -> DataFrame:
         return fact.normalise_visits(self.raw("visits"))
 
-    def resolved(self) -> DataFrame:
-        return self.table("visit_resolved")
+    def wide(self) -> DataFrame:
+        return self.table("visit")
 
     def fact(self) -> DataFrame:
-        return fact.fact_visits(self.resolved())
+        return fact.fact_visits(self.wide())
 
     def visits(self) -> DataFrame:
-        return fact.visit_detailed(self.resolved())
+        return fact.visit_detailed(self.wide())
 
     def _staged_visits(self) -> DataFrame:
         return self.staging["visits"]().withColumn("VisitKey", F.monotonically_increasing_id() + 1)
 
-    def _resolved(self) -> DataFrame:
-        return fact.resolve_visits(self.normalised(), self.dimensions())
+    def _wide_visits(self) -> DataFrame:
+        return fact.wide_visits(fact.resolve_visits(self.normalised(), self.dimensions()))
 
     def _dimension(self, name: str) -> DataFrame:
         return dims.load_dimension(
