@@ -1,13 +1,14 @@
 """Lookups of a large table in a table that is unique on the key, safe for hot keys."""
 
 import math
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 50_000
 HOT_SHARE = 1 / 200
-SKETCH_GROUPS = 256
+SKETCH_GROUPS = 64
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
@@ -18,24 +19,22 @@ def fits(df: DataFrame, max_rows: int) -> bool:
 def hot_keys(df: DataFrame, columns: list[str], share: float = HOT_SHARE) -> dict[str, list]:
     """Keys holding more than ``share`` of the rows, found for all columns in one pass.
 
-    Each task keeps a fixed-size sketch; the sketches are merged in two levels, so neither a key nor a large
-    number of sketches meets in one task, and at most 1/share keys per column reach the driver. The answer only
-    chooses how rows are spread; it never changes a result.
+    Each task keeps a fixed-size sketch per column; the sketches are merged by groups of tasks, and the leading
+    keys of each group are added up. What reaches the driver is bounded by the number of groups, not by the data.
+    The answer only chooses how rows are spread; it never changes a result.
     """
     k = math.ceil(1 / share)
-    tracked = 10 * k
-    merged = df.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_part")).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.expr(f"approx_top_k_accumulate(`{c}`, {tracked})").alias(c) for c in columns],
-    )
-    found = merged.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("_n"),
-        *[F.expr(f"approx_top_k_estimate(approx_top_k_combine(`{c}`, {tracked}), {k})").alias(c) for c in columns],
-    ).first()
-    limit = found["_n"] * share
-    return {
-        c: [e["item"] for e in found[c] or [] if e["item"] is not None and e["count"] > limit] for c in columns
-    }
+    leaders = df.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_part")).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.expr(f"approx_top_k(`{c}`, {k}, {10 * k})").alias(c) for c in columns]
+    ).collect()
+    limit = sum(row["_n"] for row in leaders) * share
+    found = {}
+    for c in columns:
+        counted = Counter()
+        for row in leaders:
+            counted.update({entry["item"]: entry["count"] for entry in row[c]})
+        found[c] = [key for key, rows in counted.items() if key is not None and rows > limit]
+    return found
 
 
 def lookup(
