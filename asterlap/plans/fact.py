@@ -105,13 +105,23 @@ def wide_visits(resolved: DataFrame) -> DataFrame:
     return resolved.select(*columns, *[measures[c].alias(c) for c in MEASURES])
 
 
+def identified(normalised: DataFrame) -> DataFrame:
+    """Visits that become facts. They are stored on their own, so that no query has to read FactID to tell."""
+    return normalised.filter("FactID IS NOT NULL")
+
+
+def unidentified(normalised: DataFrame) -> DataFrame:
+    """Visits without a FactID: never facts, but their references are checked like all others."""
+    return normalised.filter("FactID IS NULL")
+
+
 def _facts(wide: DataFrame, wanted: list[str]) -> DataFrame:
-    """Rows with a FactID; a business ID is 0 where its reference is unresolved."""
+    """Columns of the facts; a business ID is 0 where its reference is unresolved."""
     ids = {
         business_key: F.when(F.col(key) == 0, 0).otherwise(F.col(_delivered(business_key))).alias(business_key)
         for business_key, key, _ in LOOKUPS.values()
     }
-    return wide.filter("FactID IS NOT NULL").select(*[ids.get(c, F.col(c)) for c in wanted])
+    return wide.select(*[ids.get(c, F.col(c)) for c in wanted])
 
 
 def fact_visits(wide: DataFrame) -> DataFrame:

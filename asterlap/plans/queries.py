@@ -311,10 +311,15 @@ def pivot_age(wh: Warehouse) -> DataFrame:
 
 
 def _drill_through(mart, name: str, columns: list[str]):
-    """Visits of the member with the largest revenue."""
+    """Visits of the member with the largest revenue.
+
+    One patient may have a great many of them on one day, so the row number ends the sort key: equal sort keys
+    would all go to one task.
+    """
     def query(wh: Warehouse) -> DataFrame:
         best = olap.leader(mart(wh), name, "RevenueAmount")
-        return _v(wh).filter(F.col(name) == best).select(*columns).orderBy("FullDate", "PatientName")
+        detail = _v(wh).filter(F.col(name) == best).select(*columns, "VisitKey")
+        return detail.orderBy("FullDate", "PatientName", "VisitKey").drop("VisitKey")
 
     return query
 

@@ -157,7 +157,7 @@ def reject_all(wh: Warehouse) -> DataFrame:
 
 
 def dq_fk_missing(wh: Warehouse) -> DataFrame:
-    return quality.missing_references(fact.unresolved_visits(wh.wide()))
+    return quality.missing_references(wh.unresolved())
 
 
 def validate_fk(wh: Warehouse) -> DataFrame:

@@ -26,7 +26,7 @@ class Warehouse:
         self._written: dict[str, DataFrame] = {}
         self._build: dict[str, Callable[[], DataFrame]] = {
             "stg_visits": self._staged_visits,
-            "visit": self._wide_visits,
+            "visit": lambda: self._resolve(fact.identified(self.normalised())),
             "doctor_performance": lambda: marts.doctor_performance(self.visits()),
             "diagnosis_performance": lambda: marts.diagnosis_performance(self.visits()),
             "patient_segment": lambda: marts.patient_segment(self.visits()),
@@ -55,6 +55,7 @@ class Warehouse:
         return fact.normalise_visits(self.raw("visits"))
 
     def wide(self) -> DataFrame:
+        """Visits with a FactID, beside the keys and attributes of their dimensions."""
         return self.table("visit")
 
     def fact(self) -> DataFrame:
@@ -66,8 +67,13 @@ class Warehouse:
     def _staged_visits(self) -> DataFrame:
         return self.staging["visits"]().withColumn("VisitKey", F.monotonically_increasing_id() + 1)
 
-    def _wide_visits(self) -> DataFrame:
-        return fact.wide_visits(fact.resolve_visits(self.normalised(), self.dimensions()))
+    def _resolve(self, visits: DataFrame) -> DataFrame:
+        return fact.wide_visits(fact.resolve_visits(visits, self.dimensions()))
+
+    def unresolved(self) -> DataFrame:
+        """Visits with an unknown reference, those without a FactID included."""
+        nameless = self._resolve(fact.unidentified(self.normalised()))
+        return fact.unresolved_visits(self.wide()).unionByName(fact.unresolved_visits(nameless))
 
     def _dimension(self, name: str) -> DataFrame:
         return dims.load_dimension(
