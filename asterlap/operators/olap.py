@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import literals as L
-from ..functions.measures import AMOUNT, percent_of
+from ..functions.measures import AMOUNT, amount, percent_of, quantity, units, visit_amount
 from .ordered import running_sum
 
 
@@ -18,13 +18,17 @@ def descending(column: str, *then: str) -> list[Column]:
 def totals(df: DataFrame, dims: list[str], measures: dict[str, str]) -> DataFrame:
     """Sum of each measure per combination of ``dims``; ``measures`` maps an output name to a column.
 
-    Money is reported as decimal(28,2), whole numbers as bigint.
+    Money is reported as decimal(28,2), whole numbers as bigint. Where the rows carry a measure in its smallest
+    unit, that is what is added up.
     """
     types = dict(df.dtypes)
-    return df.groupBy(*dims).agg(*[
-        F.sum(column).cast(AMOUNT if types[column].startswith("decimal") else "bigint").alias(alias)
-        for alias, column in measures.items()
-    ])
+
+    def total(alias: str, column: str) -> Column:
+        if units(column) in types:
+            return visit_amount(column, alias)
+        return (amount if types[column].startswith("decimal") else quantity)(column, alias)
+
+    return df.groupBy(*dims).agg(*[total(alias, column) for alias, column in measures.items()])
 
 
 def grouping_sets(df: DataFrame, dims: list[str], sets: list[list[str]], measures: dict[str, str]) -> DataFrame:
@@ -50,8 +54,11 @@ def cube(df: DataFrame, dims: list[str], measures: dict[str, str]) -> DataFrame:
 
 
 def cross_table(df: DataFrame, row: str, column: str, value: str, cells: dict[str, str]) -> DataFrame:
-    """Sum of ``value`` per row and column member; ``cells`` maps members to output names, empty cells are 0."""
-    table = df.groupBy(row).pivot(column, list(cells)).agg(F.sum(value))
+    """Sum of ``value`` per row and column member; ``cells`` maps members to output names, empty cells are 0.
+
+    The pivot runs on totals, one row per cell.
+    """
+    table = totals(df, [row, column], {"_total": value}).groupBy(row).pivot(column, list(cells)).agg(F.sum("_total"))
     zero = F.lit(0).cast(AMOUNT)
     return table.select(row, *[F.coalesce(F.col(f"`{m}`").cast(AMOUNT), zero).alias(a) for m, a in cells.items()])
 

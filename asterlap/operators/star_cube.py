@@ -1,8 +1,13 @@
-"""The cube over the visits: five key dimensions and a dictionary of summed measures."""
+"""The cube over the visits: five key dimensions and a dictionary of summed measures.
+
+The facts are visits by business ID that carry their units (``compat_visits(..., with_units=True)``).
+"""
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.cleaning import MONEY
+from ..functions.measures import visit_mean
 from .olap import totals
 
 DIMENSIONS = ["PatientID", "DoctorID", "DiagnosisID", "VisitTypeID", "DateID"]
@@ -43,5 +48,5 @@ def cube_query(
 
 def average_treatment_cost(fact: DataFrame, dims: list[str]) -> DataFrame:
     """Mean of the treatment cost, beside the cube's sum of it."""
-    mean = F.avg("AvgTreatmentCost").cast("decimal(18,2)").alias("MeanTreatmentCost")
+    mean = visit_mean("AvgTreatmentCost", MONEY, "MeanTreatmentCost")
     return with_unknown_members(fact).groupBy(*dims).agg(mean)

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cleaning as C
-from ..functions.measures import AMOUNT
+from ..functions.measures import AMOUNT, SCALES, from_units, to_units, units, visit_amount
 from ..operators.joins import BROADCAST_ROWS, hot_keys, lookup
 from .dims import UNKNOWN
 
@@ -83,14 +83,17 @@ def _measures() -> dict[str, Column]:
 MEASURES = [
     "ServiceCost", "Profit", "MarginPercent", "VisitCount", "PatientCount", "RepeatRate", "AvgTreatmentCost",
 ]
+_MEASURE_TYPES = {
+    "ServiceCost": C.MONEY, "Profit": C.MONEY, "AvgTreatmentCost": C.MONEY, "RepeatRate": C.RATE, "MarginPercent": C.RATE,
+}
 
 
 def wide_visits(resolved: DataFrame) -> DataFrame:
     """The stored form of the visits: IDs as delivered, surrogate keys, attributes, measures.
 
-    An unresolved reference has key 0 and the unknown member's attributes; an unreadable number is 0. The fact
-    table, the detailed visits and the missing-reference report are projections of this one table, and filters on
-    its attributes reach the files.
+    An unresolved reference has key 0 and the unknown member's attributes; an unreadable number is 0. Decimals are
+    kept as whole numbers of their smallest unit. The fact table, the detailed visits and the missing-reference
+    report are projections of this one table, and filters on its attributes reach the files.
     """
     columns = [F.col("VisitKey"), F.col("FactID")]
     for name, (business_key, surrogate_key, attributes) in LOOKUPS.items():
@@ -102,7 +105,9 @@ def wide_visits(resolved: DataFrame) -> DataFrame:
             filled = F.col(alias) if value is None else F.when(unresolved, value).otherwise(F.col(alias))
             columns.append(filled.alias(alias))
     measures = _measures()
-    return resolved.select(*columns, *[measures[c].alias(c) for c in MEASURES])
+    return resolved.select(
+        *columns, *[to_units(measures[c], c) if c in SCALES else measures[c].alias(c) for c in MEASURES]
+    )
 
 
 def identified(normalised: DataFrame) -> DataFrame:
@@ -115,21 +120,27 @@ def unidentified(normalised: DataFrame) -> DataFrame:
     return normalised.filter("FactID IS NULL")
 
 
-def _facts(wide: DataFrame, wanted: list[str]) -> DataFrame:
-    """Columns of the facts; a business ID is 0 where its reference is unresolved."""
-    ids = {
-        business_key: F.when(F.col(key) == 0, 0).otherwise(F.col(_delivered(business_key))).alias(business_key)
+def _facts(wide: DataFrame, wanted: list[str], with_units: bool) -> DataFrame:
+    """Columns of the facts; a business ID is 0 where its reference is unresolved.
+
+    ``with_units`` adds the measures in their smallest units, which the aggregations add up.
+    """
+    known = {
+        business_key: F.when(F.col(key) == 0, 0).otherwise(F.col(_delivered(business_key)))
         for business_key, key, _ in LOOKUPS.values()
     }
-    return wide.select(*[ids.get(c, F.col(c)) for c in wanted])
+    known |= {c: from_units(F.col(units(c)), c, dtype) for c, dtype in _MEASURE_TYPES.items()}
+    extra = [units(c) for c in SCALES] if with_units else []
+    return wide.select(*[known.get(c, F.col(c)).alias(c) for c in wanted], *extra)
 
 
-def fact_visits(wide: DataFrame) -> DataFrame:
+def fact_visits(wide: DataFrame, with_units: bool = False) -> DataFrame:
     """The fact table: surrogate keys and measures."""
-    return _facts(wide, ["VisitKey", "FactID", *[key for _, key, _ in LOOKUPS.values()], *MEASURES])
+    keys = [key for _, key, _ in LOOKUPS.values()]
+    return _facts(wide, ["VisitKey", "FactID", *keys, *MEASURES], with_units)
 
 
-def visit_detailed(wide: DataFrame) -> DataFrame:
+def visit_detailed(wide: DataFrame, with_units: bool = False) -> DataFrame:
     """Each fact row beside its dimension attributes: the star join, without a join."""
     return _facts(wide, [
         "VisitKey", "FactID",
@@ -138,12 +149,12 @@ def visit_detailed(wide: DataFrame) -> DataFrame:
         "DoctorID", "DoctorName", "Specialty", "SpecialtyGroup",
         "DiagnosisID", "ICDCode", "DiagnosisName", "DiagnosisClass",
         "VisitTypeID", "VisitName", "VisitCategory", *MEASURES,
-    ])
+    ], with_units)
 
 
-def compat_visits(wide: DataFrame) -> DataFrame:
+def compat_visits(wide: DataFrame, with_units: bool = False) -> DataFrame:
     """Fact rows by business ID."""
-    return _facts(wide, _ORDER)
+    return _facts(wide, _ORDER, with_units)
 
 
 def unresolved_visits(wide: DataFrame) -> DataFrame:
@@ -164,9 +175,9 @@ def _month_totals(fact: DataFrame, dates: DataFrame, key: str, extra: list[Colum
     calendar = dates.select("DateKey", "Year", "Month")
     daily = fact.groupBy("DateKey", key).agg(
         F.sum("VisitCount").alias("v"),
-        F.sum("ServiceCost").cast(AMOUNT).alias("c"),
-        F.sum("Profit").cast(AMOUNT).alias("p"),
-        F.sum("RepeatRate").cast("decimal(28,4)").alias("r"),
+        visit_amount("ServiceCost", "c"),
+        visit_amount("Profit", "p"),
+        F.sum(units("RepeatRate")).alias("r"),
         F.count(F.lit(1)).alias("n"),
     )
     return daily.join(calendar, "DateKey").groupBy("Year", "Month", key).agg(
@@ -177,18 +188,20 @@ def _month_totals(fact: DataFrame, dates: DataFrame, key: str, extra: list[Colum
     )
 
 
-def _mean(total: str, target: str, digits: int) -> Column:
+def _mean(total: Column, dtype: str, digits: int) -> Column:
     """Mean from a total and the row count, kept at ``digits`` before it is rounded to its type."""
-    count = F.sum("n").cast("decimal(19,0)")
-    return (F.sum(total).cast(f"decimal(28,{digits - 4})") / count).cast(f"decimal(28,{digits})").cast(target)
+    return (total / F.sum("n").cast("decimal(19,0)")).cast(f"decimal(28,{digits})").cast(dtype)
 
 
 def doctor_months(fact: DataFrame, dates: DataFrame) -> DataFrame:
+    """Totals by month and doctor; ``fact`` carries its units."""
     return _month_totals(fact, dates, "DoctorKey", [
-        _mean("c", C.MONEY, 6).alias("AvgRevenuePerVisit"),
-        _mean("p", C.MONEY, 6).alias("AvgProfitPerVisit"),
+        _mean(F.sum("c").cast(AMOUNT), C.MONEY, 6).alias("AvgRevenuePerVisit"),
+        _mean(F.sum("p").cast(AMOUNT), C.MONEY, 6).alias("AvgProfitPerVisit"),
     ])
 
 
 def diagnosis_months(fact: DataFrame, dates: DataFrame) -> DataFrame:
-    return _month_totals(fact, dates, "DiagnosisKey", [_mean("r", C.RATE, 8).alias("RepeatRateAvg")])
+    """Totals by month and diagnosis; ``fact`` carries its units."""
+    rates = from_units(F.sum("r"), "RepeatRate", "decimal(28,4)")
+    return _month_totals(fact, dates, "DiagnosisKey", [_mean(rates, C.RATE, 8).alias("RepeatRateAvg")])

@@ -1,17 +1,20 @@
-"""Marts: subject tables aggregated from the detailed visits, and the business-ID views of the dimensions."""
+"""Marts: subject tables aggregated from the detailed visits, and the business-ID views of the dimensions.
+
+The visits carry their measures in smallest units (``visit_detailed(..., with_units=True)``).
+"""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import MONEY, RATE
-from ..functions.measures import amount, mean, quantity, rows
+from ..functions.measures import quantity, rows, visit_amount, visit_mean
 
 
 def _totals():
     return [
         quantity("VisitCount", "VisitQty"),
-        amount("ServiceCost", "RevenueAmount"),
-        amount("Profit", "ProfitAmount"),
+        visit_amount("ServiceCost", "RevenueAmount"),
+        visit_amount("Profit", "ProfitAmount"),
     ]
 
 
@@ -20,9 +23,9 @@ def doctor_performance(visits: DataFrame) -> DataFrame:
     return visits.groupBy("DoctorID", "DoctorName", "Specialty", "SpecialtyGroup", "Year", "Month").agg(
         rows("RowCountForIndexedUse"),
         *_totals(),
-        mean("ServiceCost", MONEY, "AvgCheck"),
-        mean("MarginPercent", RATE, "AvgMarginPercent"),
-        mean("RepeatRate", RATE, "AvgRepeatRate"),
+        visit_mean("ServiceCost", MONEY, "AvgCheck"),
+        visit_mean("MarginPercent", RATE, "AvgMarginPercent"),
+        visit_mean("RepeatRate", RATE, "AvgRepeatRate"),
     )
 
 
@@ -30,8 +33,8 @@ def diagnosis_performance(visits: DataFrame) -> DataFrame:
     """Diagnosis by month."""
     return visits.groupBy("DiagnosisID", "ICDCode", "DiagnosisName", "DiagnosisClass", "Year", "Month").agg(
         *_totals(),
-        mean("RepeatRate", RATE, "AvgRepeatRate"),
-        mean("AvgTreatmentCost", MONEY),
+        visit_mean("RepeatRate", RATE, "AvgRepeatRate"),
+        visit_mean("AvgTreatmentCost", MONEY, "AvgTreatmentCost"),
     )
 
 
@@ -44,7 +47,7 @@ def patient_segment(visits: DataFrame) -> DataFrame:
         first.alias("FirstVisitDate"),
         last.alias("LastVisitDate"),
         F.datediff(last, first).alias("VisitSpanDays"),
-        mean("RepeatRate", RATE, "AvgRepeatRate"),
+        visit_mean("RepeatRate", RATE, "AvgRepeatRate"),
     )
 
 
@@ -52,8 +55,8 @@ def time_series(visits: DataFrame) -> DataFrame:
     """One row per calendar day with visits, plus one for visits without a valid date."""
     return visits.groupBy("FullDate", "Year", "Month", "MonthName", "QuarterNumber").agg(
         *_totals(),
-        mean("AvgTreatmentCost", MONEY),
-        mean("RepeatRate", RATE, "AvgRepeatRate"),
+        visit_mean("AvgTreatmentCost", MONEY, "AvgTreatmentCost"),
+        visit_mean("RepeatRate", RATE, "AvgRepeatRate"),
     )
 
 

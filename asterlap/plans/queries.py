@@ -10,7 +10,9 @@ from pyspark.sql import Window, WindowSpec
 
 from .. import literals as L
 from ..functions.cleaning import MONEY, RATE
-from ..functions.measures import AMOUNT, amount, mean, per, percent_of, quantity, rows
+from ..functions.measures import (
+    AMOUNT, amount, mean, per, percent_of, quantity, rows, visit_amount, visit_mean,
+)
 from ..operators import audit, olap
 from ..operators.olap import descending, totals
 from ..operators.ordered import previous_value, rank_descending
@@ -28,7 +30,7 @@ MART_ALL = {c: c for c in ALL}
 
 
 def _v(wh: Warehouse) -> DataFrame:
-    return wh.visits()
+    return wh.visits(with_units=True)
 
 
 def _d(wh: Warehouse) -> DataFrame:
@@ -56,10 +58,10 @@ def kpi_totals(wh: Warehouse) -> DataFrame:
     return _v(wh).agg(
         rows("FactRowQty"),
         quantity("VisitCount", "TotalVisits"),
-        amount("ServiceCost", "TotalRevenue"),
-        amount("Profit", "TotalProfit"),
-        mean("AvgTreatmentCost", RAW_MEAN, "MeanTreatmentCost"),
-        mean("RepeatRate", RAW_MEAN, "MeanRepeatRate"),
+        visit_amount("ServiceCost", "TotalRevenue"),
+        visit_amount("Profit", "TotalProfit"),
+        visit_mean("AvgTreatmentCost", RAW_MEAN, "MeanTreatmentCost"),
+        visit_mean("RepeatRate", RAW_MEAN, "MeanRepeatRate"),
     )
 
 
@@ -362,10 +364,10 @@ def management_panel(wh: Warehouse) -> DataFrame:
 
     return _v(wh).agg(
         quantity("VisitCount", "TotalVisits"),
-        amount("ServiceCost", "TotalRevenue"),
-        amount("Profit", "TotalProfit"),
-        mean("RepeatRate", RAW_MEAN, "AvgRepeatRate"),
-        mean("AvgTreatmentCost", RAW_MEAN),
+        visit_amount("ServiceCost", "TotalRevenue"),
+        visit_amount("Profit", "TotalProfit"),
+        visit_mean("RepeatRate", RAW_MEAN, "AvgRepeatRate"),
+        visit_mean("AvgTreatmentCost", RAW_MEAN, "AvgTreatmentCost"),
     ).select(
         "TotalVisits", "TotalRevenue", "TotalProfit",
         active("patient", "PatientKey").alias("ActivePatients"),
@@ -378,10 +380,10 @@ def management_panel(wh: Warehouse) -> DataFrame:
 def multidim_slice(wh: Warehouse) -> DataFrame:
     dims = ["Year", "DoctorName", "DiagnosisClass", "VisitCategory"]
     return _v(wh).groupBy(*dims).agg(
-        amount("ServiceCost", "RevenueAmount"),
-        amount("Profit", "ProfitAmount"),
+        visit_amount("ServiceCost", "RevenueAmount"),
+        visit_amount("Profit", "ProfitAmount"),
         quantity("VisitCount", "VisitQty"),
-        mean("MarginPercent", RATE, "AvgMarginPercent"),
+        visit_mean("MarginPercent", RATE, "AvgMarginPercent"),
     ).orderBy(*dims)
 
 

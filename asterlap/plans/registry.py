@@ -243,7 +243,7 @@ def _next_load_time(loader: Loader) -> datetime:
 # --- cube --------------------------------------------------------------------------------------------------------
 
 def cube_facts(wh: Warehouse) -> DataFrame:
-    return fact.compat_visits(wh.wide())
+    return fact.compat_visits(wh.wide(), with_units=True)
 
 
 def null_keyed_facts(wh: Warehouse) -> DataFrame:
@@ -282,7 +282,7 @@ def audit_log(wh: Warehouse) -> DataFrame:
 
 
 def describe_warehouse(wh: Warehouse) -> DataFrame:
-    facts, dates = wh.fact(), wh.dimension("date")
+    facts, dates = wh.fact(with_units=True), wh.dimension("date")
     tables = {f"dim_{name}": df for name, df in wh.dimensions().items()}
     tables |= {"fact_visit": facts}
     tables |= {
@@ -338,8 +338,8 @@ OPERATORS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "surrogate_key": surrogate_key,
     "unknown_member": unknown_member,
     "fact_visit_load": lambda wh: wh.fact().drop("VisitKey"),
-    "agg_doctor_month": lambda wh: fact.doctor_months(wh.fact(), wh.dimension("date")),
-    "agg_diagnosis_month": lambda wh: fact.diagnosis_months(wh.fact(), wh.dimension("date")),
+    "agg_doctor_month": lambda wh: fact.doctor_months(wh.fact(with_units=True), wh.dimension("date")),
+    "agg_diagnosis_month": lambda wh: fact.diagnosis_months(wh.fact(with_units=True), wh.dimension("date")),
     "full_load": full_load,
     "rebuild": rebuild,
     "compat_patients": lambda wh: marts.compat_dimension("patient", wh.dimension("patient")),
@@ -349,10 +349,10 @@ OPERATORS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "compat_diagnoses": lambda wh: marts.compat_dimension("diagnosis", wh.dimension("diagnosis")),
     "compat_fact": lambda wh: fact.compat_visits(wh.wide()),
     "mart_visit_detailed": lambda wh: wh.visits().drop("VisitKey"),
-    "mart_doctor_performance": lambda wh: marts.doctor_performance(wh.visits()),
-    "mart_diagnosis_performance": lambda wh: marts.diagnosis_performance(wh.visits()),
-    "mart_patient_segment": lambda wh: marts.patient_segment(wh.visits()),
-    "mart_time_series": lambda wh: marts.time_series(wh.visits()),
+    "mart_doctor_performance": lambda wh: marts.doctor_performance(wh.visits(with_units=True)),
+    "mart_diagnosis_performance": lambda wh: marts.diagnosis_performance(wh.visits(with_units=True)),
+    "mart_patient_segment": lambda wh: marts.patient_segment(wh.visits(with_units=True)),
+    "mart_time_series": lambda wh: marts.time_series(wh.visits(with_units=True)),
     "report_doctor_dashboard": lambda wh: reports.doctor_dashboard(wh.table("doctor_performance")),
     "report_diagnosis_dashboard": lambda wh: reports.diagnosis_dashboard(wh.table("diagnosis_performance")),
     "report_patient_age": lambda wh: reports.patient_age(wh.table("patient_segment")),

@@ -1,6 +1,7 @@
 """A loaded warehouse: each table is written to the shared folder when first asked for, and read from there on."""
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,10 +28,10 @@ class Warehouse:
         self._build: dict[str, Callable[[], DataFrame]] = {
             "stg_visits": self._staged_visits,
             "visit": lambda: self._resolve(fact.identified(self.normalised())),
-            "doctor_performance": lambda: marts.doctor_performance(self.visits()),
-            "diagnosis_performance": lambda: marts.diagnosis_performance(self.visits()),
-            "patient_segment": lambda: marts.patient_segment(self.visits()),
-            "time_series": lambda: marts.time_series(self.visits()),
+            "doctor_performance": lambda: marts.doctor_performance(self.visits(with_units=True)),
+            "diagnosis_performance": lambda: marts.diagnosis_performance(self.visits(with_units=True)),
+            "patient_segment": lambda: marts.patient_segment(self.visits(with_units=True)),
+            "time_series": lambda: marts.time_series(self.visits(with_units=True)),
         } | {f"dim_{name}": (lambda n=name: self._dimension(n)) for name in dims.STAGED}
 
     def table(self, name: str) -> DataFrame:
@@ -49,7 +50,9 @@ class Warehouse:
         return self.table(f"dim_{name}")
 
     def dimensions(self) -> dict[str, DataFrame]:
-        return {name: self.dimension(name) for name in dims.STAGED}
+        """All dimensions. They do not depend on each other, so missing ones are loaded side by side."""
+        with ThreadPoolExecutor(len(dims.STAGED)) as pool:
+            return dict(zip(dims.STAGED, pool.map(self.dimension, dims.STAGED)))
 
     def normalised(self) -> DataFrame:
         return fact.normalise_visits(self.raw("visits"))
@@ -58,11 +61,11 @@ class Warehouse:
         """Visits with a FactID, beside the keys and attributes of their dimensions."""
         return self.table("visit")
 
-    def fact(self) -> DataFrame:
-        return fact.fact_visits(self.wide())
+    def fact(self, with_units: bool = False) -> DataFrame:
+        return fact.fact_visits(self.wide(), with_units)
 
-    def visits(self) -> DataFrame:
-        return fact.visit_detailed(self.wide())
+    def visits(self, with_units: bool = False) -> DataFrame:
+        return fact.visit_detailed(self.wide(), with_units)
 
     def _staged_visits(self) -> DataFrame:
         return self.staging["visits"]().withColumn("VisitKey", F.monotonically_increasing_id() + 1)
