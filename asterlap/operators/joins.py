@@ -44,16 +44,16 @@ def lookup(
     spread: Column | str,
     hot: list | None = None,
     how: str = "left",
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast: bool | None = None,
 ) -> DataFrame:
     """Join ``facts`` to ``dimension`` (unique on ``key``) without gathering a hot key in one task.
 
-    A dimension of a checked size is broadcast. Beyond that size both sides are shuffled on (key, salt): rows of
-    the ``hot`` keys, and rows without a key, take a salt derived from ``spread``; the dimension rows of the hot
-    keys, at most 1/HOT_SHARE of them, are copied once per salt. ``spread`` must give the same value when a task
-    is run again, such as a stored row number.
+    A dimension of a checked size is broadcast; ``broadcast`` hands in a check already made. Otherwise both sides
+    are shuffled on (key, salt): rows of the ``hot`` keys, and rows without a key, take a salt derived from
+    ``spread``; the dimension rows of the hot keys, at most 1/HOT_SHARE of them, are copied once per salt.
+    ``spread`` must give the same value when a task is run again, such as a stored row number.
     """
-    if broadcast_rows and fits(dimension, broadcast_rows):
+    if fits(dimension, BROADCAST_ROWS) if broadcast is None else broadcast:
         return facts.join(F.broadcast(dimension), key, how)
     salts = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = F.col(spread) if isinstance(spread, str) else spread

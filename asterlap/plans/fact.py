@@ -4,8 +4,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cleaning as C
-from ..functions.measures import AMOUNT, SCALES, from_units, to_units, units, visit_amount
-from ..operators.joins import BROADCAST_ROWS, hot_keys, lookup
+from ..functions.measures import SCALES, from_units, quantity, to_units, units, visit_amount, visit_mean
+from ..operators.joins import BROADCAST_ROWS, fits, hot_keys, lookup
 from .dims import UNKNOWN
 
 _TEXTS = {
@@ -49,17 +49,22 @@ def resolve_visits(
 ) -> DataFrame:
     """Normalised visits with the surrogate key and attributes of each dimension's current row (NULL if none).
 
-    Five lookups, each a broadcast behind a size check or a shuffle that spreads hot keys. All hot keys are
-    found in one pass over the visits.
+    Five lookups, each a broadcast behind a size check or a shuffle that spreads hot keys. The shuffled ones come
+    first, while the rows are still narrow. All hot keys are found in one pass over the visits.
     """
-    hot = hot_keys(visits, [business_key for business_key, _, _ in LOOKUPS.values()])
-    result = visits
+    members = {}
     for name, (business_key, surrogate_key, attributes) in LOOKUPS.items():
-        members = dimensions[name]
-        if "IsCurrent" in members.columns:
-            members = members.filter("IsCurrent")
-        members = members.select(business_key, surrogate_key, *[F.col(c).alias(a) for c, a in attributes.items()])
-        result = lookup(result, members, business_key, spread, hot[business_key], broadcast_rows=broadcast_rows)
+        current = dimensions[name]
+        if "IsCurrent" in current.columns:
+            current = current.filter("IsCurrent")
+        members[name] = current.select(business_key, surrogate_key, *[F.col(c).alias(a) for c, a in attributes.items()])
+    small = {name: fits(df, broadcast_rows) for name, df in members.items()}
+    large_keys = [LOOKUPS[name][0] for name in LOOKUPS if not small[name]]
+    hot = hot_keys(visits, large_keys) if large_keys else {}
+    result = visits
+    for name in sorted(LOOKUPS, key=small.get):
+        business_key = LOOKUPS[name][0]
+        result = lookup(result, members[name], business_key, spread, hot.get(business_key), broadcast=small[name])
     return result
 
 
@@ -167,41 +172,22 @@ def unresolved_visits(wide: DataFrame) -> DataFrame:
     return wide.filter(missing).select("FactID", *ids)
 
 
-def _month_totals(fact: DataFrame, dates: DataFrame, key: str, extra: list[Column]) -> DataFrame:
-    """Totals per year, month and ``key``; facts of the unknown date keep their own NULL month.
-
-    Grouping by day first needs only the fact, so the calendar meets one row per day and key.
-    """
-    calendar = dates.select("DateKey", "Year", "Month")
-    daily = fact.groupBy("DateKey", key).agg(
-        F.sum("VisitCount").alias("v"),
-        visit_amount("ServiceCost", "c"),
-        visit_amount("Profit", "p"),
-        F.sum(units("RepeatRate")).alias("r"),
-        F.count(F.lit(1)).alias("n"),
+def _month_totals(wide: DataFrame, key: str, *means: Column) -> DataFrame:
+    """Totals per year, month and ``key``; facts of the unknown date keep their own NULL month."""
+    return wide.groupBy("Year", "Month", key).agg(
+        quantity("VisitCount", "VisitQty"),
+        visit_amount("ServiceCost", "RevenueAmount"),
+        visit_amount("Profit", "ProfitAmount"),
+        *means,
     )
-    return daily.join(calendar, "DateKey").groupBy("Year", "Month", key).agg(
-        F.sum("v").cast("bigint").alias("VisitQty"),
-        F.sum("c").cast(AMOUNT).alias("RevenueAmount"),
-        F.sum("p").cast(AMOUNT).alias("ProfitAmount"),
-        *extra,
-    )
-
 
-def _mean(total: Column, dtype: str, digits: int) -> Column:
-    """Mean from a total and the row count, kept at ``digits`` before it is rounded to its type."""
-    return (total / F.sum("n").cast("decimal(19,0)")).cast(f"decimal(28,{digits})").cast(dtype)
 
-
-def doctor_months(fact: DataFrame, dates: DataFrame) -> DataFrame:
-    """Totals by month and doctor; ``fact`` carries its units."""
-    return _month_totals(fact, dates, "DoctorKey", [
-        _mean(F.sum("c").cast(AMOUNT), C.MONEY, 6).alias("AvgRevenuePerVisit"),
-        _mean(F.sum("p").cast(AMOUNT), C.MONEY, 6).alias("AvgProfitPerVisit"),
-    ])
+def doctor_months(wide: DataFrame) -> DataFrame:
+    return _month_totals(
+        wide, "DoctorKey",
+        visit_mean("ServiceCost", C.MONEY, "AvgRevenuePerVisit"), visit_mean("Profit", C.MONEY, "AvgProfitPerVisit"),
+    )
 
 
-def diagnosis_months(fact: DataFrame, dates: DataFrame) -> DataFrame:
-    """Totals by month and diagnosis; ``fact`` carries its units."""
-    rates = from_units(F.sum("r"), "RepeatRate", "decimal(28,4)")
-    return _month_totals(fact, dates, "DiagnosisKey", [_mean(rates, C.RATE, 8).alias("RepeatRateAvg")])
+def diagnosis_months(wide: DataFrame) -> DataFrame:
+    return _month_totals(wide, "DiagnosisKey", visit_mean("RepeatRate", C.RATE, "RepeatRateAvg"))

@@ -282,11 +282,10 @@ def audit_log(wh: Warehouse) -> DataFrame:
 
 
 def describe_warehouse(wh: Warehouse) -> DataFrame:
-    facts, dates = wh.fact(with_units=True), wh.dimension("date")
     tables = {f"dim_{name}": df for name, df in wh.dimensions().items()}
-    tables |= {"fact_visit": facts}
+    tables |= {"fact_visit": wh.fact()}
     tables |= {
-        "agg_doctor_month": fact.doctor_months(facts, dates), "agg_diagnosis_month": fact.diagnosis_months(facts, dates),
+        "agg_doctor_month": fact.doctor_months(wh.wide()), "agg_diagnosis_month": fact.diagnosis_months(wh.wide()),
     }
     return audit.row_counts(tables)
 
@@ -338,8 +337,8 @@ OPERATORS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "surrogate_key": surrogate_key,
     "unknown_member": unknown_member,
     "fact_visit_load": lambda wh: wh.fact().drop("VisitKey"),
-    "agg_doctor_month": lambda wh: fact.doctor_months(wh.fact(with_units=True), wh.dimension("date")),
-    "agg_diagnosis_month": lambda wh: fact.diagnosis_months(wh.fact(with_units=True), wh.dimension("date")),
+    "agg_doctor_month": lambda wh: fact.doctor_months(wh.wide()),
+    "agg_diagnosis_month": lambda wh: fact.diagnosis_months(wh.wide()),
     "full_load": full_load,
     "rebuild": rebuild,
     "compat_patients": lambda wh: marts.compat_dimension("patient", wh.dimension("patient")),
@@ -372,9 +371,9 @@ OPERATORS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "measure_avg_treatment_cost": lambda wh: star_cube.average_treatment_cost(cube_facts(wh), ["DoctorID"]),
     "dq_date_weekday": lambda wh: quality.wrong_weekday(wh.dimension("date")),
     "dq_phone_duplicate": lambda wh: quality.shared_phone(wh.dimension("patient")),
-    "dq_negative_margin": lambda wh: quality.negative_margin(wh.fact()),
-    "dq_repeat_rate_range": lambda wh: quality.repeat_rate_range(wh.fact()),
-    "dq_avg_check_gap": lambda wh: quality.avg_check_gap(wh.fact()),
+    "dq_negative_margin": lambda wh: quality.fact_rule(wh.fact(), "NEGATIVE_MARGIN"),
+    "dq_repeat_rate_range": lambda wh: quality.fact_rule(wh.fact(), "REPEAT_RATE_RANGE"),
+    "dq_avg_check_gap": lambda wh: quality.fact_rule(wh.fact(), "AVG_CHECK_GAP"),
     "dq_run_all": dq_run_all,
     "dq_summary": lambda wh: _text_times(quality.summary(_registered_issues(wh))),
     "dq_close_issues": lambda wh: _text_times(

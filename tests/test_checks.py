@@ -114,9 +114,11 @@ def test_fact_rules(spark, rows):
         "FactID bigint, MarginPercent decimal(9,4), RepeatRate decimal(9,4), ServiceCost decimal(18,2), "
         "AvgTreatmentCost decimal(18,2)",
     )
-    assert rows(quality.negative_margin(fact), "EntityKey") == [("1",)]
-    assert rows(quality.repeat_rate_range(fact), "EntityKey") == [("2",), ("3",)]
-    assert rows(quality.avg_check_gap(fact), "EntityKey") == [("2",)]
+    assert rows(quality.fact_rule(fact, "NEGATIVE_MARGIN"), "EntityKey") == [("1",)]
+    assert rows(quality.fact_rule(fact, "REPEAT_RATE_RANGE"), "EntityKey") == [("2",), ("3",)]
+    assert rows(quality.fact_rule(fact, "AVG_CHECK_GAP"), "EntityKey") == [("2",)]
+    apart = [r for rule in quality.FACT_RULES for r in rows(quality.fact_rule(fact, rule))]
+    assert rows(quality.fact_rules(fact)) == sorted(apart)
 
 
 def test_missing_reference_text_shows_null_as_empty(spark, rows):

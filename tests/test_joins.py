@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from asterlap.operators import joins
 from asterlap.operators.joins import fits, hot_keys, lookup
 
 
@@ -34,18 +35,19 @@ def test_hot_keys_of_nothing(spark):
 @pytest.mark.parametrize("how", ["left", "inner", "left_anti", "left_semi"])
 @pytest.mark.parametrize("hot", [None, [1], [1, 5, 9999]])
 def test_salted_lookup_equals_plain_join(facts, dimension, rows, how, hot):
-    salted = lookup(facts, dimension, "k", "row_id", hot, how, broadcast_rows=0)
+    salted = lookup(facts, dimension, "k", "row_id", hot, how, broadcast=False)
     plain = facts.join(dimension, "k", how)
     assert salted.columns == plain.columns
     assert rows(salted) == rows(plain)
 
 
-def test_small_dimension_is_broadcast_and_large_one_is_not(facts, dimension):
+def test_small_dimension_is_broadcast_and_large_one_is_not(facts, dimension, monkeypatch):
     def plan(df):
         return df._jdf.queryExecution().optimizedPlan().toString()
 
     assert "strategy=broadcast" in plan(lookup(facts, dimension, "k", "row_id"))
-    assert "strategy=broadcast" not in plan(lookup(facts, dimension, "k", "row_id", broadcast_rows=599))
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 599)
+    assert "strategy=broadcast" not in plan(lookup(facts, dimension, "k", "row_id"))
 
 
 def test_hot_key_is_spread_over_salts(spark, facts, dimension):
