@@ -3,10 +3,12 @@
 import hashlib
 from collections.abc import Callable
 from datetime import datetime
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import literals as L
 from ..functions import cleaning as C
 from ..operators import audit, merge, olap, quality, rejects, star_cube, validate
 from ..schemas import STAGING
@@ -21,6 +23,7 @@ FIRST_LOAD = datetime(2024, 1, 1)
 SECOND_LOAD = datetime(2024, 2, 1)
 
 _warehouses: dict[tuple, Warehouse] = {}
+_lock = Lock()
 _exported: dict[str, str] = {}
 
 
@@ -33,11 +36,12 @@ def _fingerprint(spark: SparkSession, folder: str) -> tuple:
 def warehouse(spark: SparkSession, folder: str) -> Warehouse:
     """The session's warehouse over a folder of input tables."""
     key = (spark.sparkContext.applicationId, folder, _fingerprint(spark, folder))
-    if key not in _warehouses:
-        digest = hashlib.sha256(repr(key).encode()).hexdigest()[:16]
-        root = f"{shared_dir(spark)}/asterlap/{key[0]}/{digest}"
-        _warehouses[key] = Warehouse(spark, binding.staging(spark, folder), root)
-    return _warehouses[key]
+    with _lock:
+        if key not in _warehouses:
+            digest = hashlib.sha256(repr(key).encode()).hexdigest()[:16]
+            root = f"{shared_dir(spark)}/asterlap/{key[0]}/{digest}"
+            _warehouses[key] = Warehouse(spark, binding.staging(spark, folder), root)
+        return _warehouses[key]
 
 
 def _exported_files(wh: Warehouse) -> str:
@@ -113,6 +117,20 @@ def sink_clear_and_load(wh: Warehouse) -> DataFrame:
     return audit.row_counts({name: wh.spark.read.parquet(path) for name, path in written.items()})
 
 
+def param_upsert(wh: Warehouse) -> DataFrame:
+    """Doctors per specialty as parameters: those of the first delivery, updated by the second."""
+    def parameters(doctors: DataFrame, now: datetime) -> DataFrame:
+        return doctors.groupBy(F.col("Specialty").alias("ParameterName")).agg(
+            F.count(F.lit(1)).cast("string").alias("ParameterValue"),
+            F.lit("doctors").alias("ParameterDescription"),
+            F.lit(now).cast("timestamp").alias("UpdatedAt"),
+        )
+
+    second = _second_batch(wh, "doctor").filter("Specialty <> 'Khirurg'")
+    known = parameters(wh.raw("doctors"), FIRST_LOAD)
+    return _text_times(merge.upsert(known, parameters(second, SECOND_LOAD), "ParameterName"))
+
+
 # --- cleaning ----------------------------------------------------------------------------------------------------
 
 def age_band(wh: Warehouse) -> DataFrame:
@@ -290,6 +308,14 @@ def describe_warehouse(wh: Warehouse) -> DataFrame:
     return audit.row_counts(tables)
 
 
+def measure_catalog(wh: Warehouse) -> DataFrame:
+    """The measures on offer, with the total each has over all visits."""
+    visits = wh.visits()
+    summed = visits.agg(*[F.sum(name).cast("decimal(28,4)").alias(name) for name in L.MEASURES])
+    listed = F.array(*[F.struct(F.lit(name).alias("MeasureName"), F.col(name).alias("Total")) for name in L.MEASURES])
+    return audit.measure_catalog(wh.spark).join(F.broadcast(summed.select(F.inline(listed))), "MeasureName")
+
+
 def dq_run_all(wh: Warehouse) -> DataFrame:
     return quality.run_all(wh.dimension("date"), wh.dimension("patient"), wh.fact())
 
@@ -307,6 +333,7 @@ OPERATORS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "stg_visits_normalized": stg_visits_normalized,
     "stg_visits_strict": stg_visits_strict,
     "sink_clear_and_load": sink_clear_and_load,
+    "param_upsert": param_upsert,
     "dim_patient_clean": lambda wh: dims.clean_patients(wh.raw("patients")),
     "age_band": age_band,
     "dim_patient_dedupe": dim_patient_dedupe,
@@ -353,11 +380,18 @@ OPERATORS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "mart_patient_segment": lambda wh: marts.patient_segment(wh.visits(with_units=True)),
     "mart_time_series": lambda wh: marts.time_series(wh.visits(with_units=True)),
     "report_doctor_dashboard": lambda wh: reports.doctor_dashboard(wh.table("doctor_performance")),
+    "report_doctor_dashboard_month": lambda wh: reports.doctor_dashboard(wh.table("doctor_performance"), 1997, 5),
+    "report_diagnosis_dashboard_class": lambda wh: reports.diagnosis_dashboard(
+        wh.table("diagnosis_performance"), "Porazheniya pulpy"
+    ),
     "report_diagnosis_dashboard": lambda wh: reports.diagnosis_dashboard(wh.table("diagnosis_performance")),
     "report_patient_age": lambda wh: reports.patient_age(wh.table("patient_segment")),
     "cube_query": lambda wh: star_cube.cube_query(
         cube_facts(wh), ["DoctorID", "VisitTypeID"], ["Service Cost", "Profit", "Visit Count"], subtotals=True
     ),
+    "cube_slice": lambda wh: star_cube.cube_query(
+        cube_facts(wh), ["PatientID", "DiagnosisID"], ["Доход"], filters=F.col("VisitTypeID") == 2
+    ),
     "cube_measures": lambda wh: star_cube.cube_query(cube_facts(wh), ["VisitTypeID"], list(star_cube.MEASURES)),
     "cube_unknown_member": lambda wh: star_cube.cube_query(
         null_keyed_facts(wh), ["DiagnosisID"], ["Visit Count", "Profit"]
@@ -384,6 +418,7 @@ OPERATORS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "audit_log": audit_log,
     "audit_batch_status": lambda wh: _text_times(audit.batch_status(_finished_batch(wh))),
     "describe_warehouse": describe_warehouse,
+    "measure_catalog": measure_catalog,
 }
 
 STAGED_MEASURES = ["FactID", "DateID", "PatientID", "ServiceCost", "Profit", "RepeatRate", "AvgTreatmentCost"]

@@ -2,6 +2,8 @@
 
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,15 +34,18 @@ class Warehouse:
             "diagnosis_performance": lambda: marts.diagnosis_performance(self.visits(with_units=True)),
             "patient_segment": lambda: marts.patient_segment(self.visits(with_units=True)),
             "time_series": lambda: marts.time_series(self.visits(with_units=True)),
-        } | {f"dim_{name}": (lambda n=name: self._dimension(n)) for name in dims.STAGED}
+        } | {f"dim_{name}": partial(self._dimension, name) for name in dims.STAGED}
+        # Two callers asking for the same missing table must not write it twice.
+        self._locks = {name: Lock() for name in self._build}
 
     def table(self, name: str) -> DataFrame:
-        if name not in self._written:
-            path = f"{self.root}/{name}"
-            built = self._build[name]()
-            built.write.mode("overwrite").parquet(path)
-            self._written[name] = self.spark.read.schema(built.schema).parquet(path)
-        return self._written[name]
+        with self._locks[name]:
+            if name not in self._written:
+                path = f"{self.root}/{name}"
+                built = self._build[name]()
+                built.write.mode("overwrite").parquet(path)
+                self._written[name] = self.spark.read.schema(built.schema).parquet(path)
+            return self._written[name]
 
     def raw(self, name: str) -> DataFrame:
         """A staging table as delivered; the visits come numbered, from their stored copy."""

@@ -185,6 +185,18 @@ DESCRIBED = query(
 
 CUBE_SUMS = f"{total('ServiceCost', '\"Service Cost\"')}, {total('Profit', 'Profit')}, {count_of('VisitCount', '\"Visit Count\"')}"
 
+# Measures and their descriptions.
+MEASURES = {
+    "ServiceCost": "Vyruchka po uslugam", "Profit": "Pribyl po vizitam", "VisitCount": "Kolichestvo vizitov",
+    "PatientCount": "Kolichestvo patsientov", "RepeatRate": "Dolya povtornykh vizitov",
+    "AvgTreatmentCost": "Srednyaya stoimost lecheniya", "MarginPercent": "Marzhinalnost vizita",
+}
+DASHBOARD = f"""
+  select DiagnosisClass, ICDCode, DiagnosisName, Year, Month, VisitQty, RevenueAmount, ProfitAmount, AvgRepeatRate,
+         AvgTreatmentCost, {scaled('class_cents', 2, 28)} as ClassRevenue,
+         {percent(cents('RevenueAmount'), 'class_cents')} as ShareWithinClass
+  from (select *, sum({cents('RevenueAmount')}) over (partition by DiagnosisClass) as class_cents from mg)"""
+
 SQL = {
     "stg_read_csv": query("select * from stg_visits"),
     "stg_read_csv_codepage": query("select * from stg_patients"),
@@ -196,6 +208,14 @@ SQL = {
     "stg_visits_strict": query("select * from norm_visits where ServiceCost is not null"),
     "sink_clear_and_load": query(counts(
         *[(n, f"dim_{n}") for n in ["patient", "doctor", "date", "visit_type", "diagnosis"]], ("fact", "fact"))),
+    "param_upsert": query(
+        f"""select coalesce(s.Specialty, f.Specialty) as ParameterName,
+              cast(coalesce(s.n, f.n) as varchar) as ParameterValue, 'doctors' as ParameterDescription,
+              case when s.n is null then '{NOW}' else '{SECOND}' end as UpdatedAt
+            from (select Specialty, count(*) as n from stg_doctors group by all) f
+            full join (select Specialty, count(*) as n from raw_2 where Specialty <> 'Khirurg' group by all) s
+              using (Specialty)""",
+        raw_2=BATCH_2["stg_doctors"]),
     "dim_patient_clean": query("select * from clean_patients"),
     "age_band": query("select distinct PatientID, Age, AgeBand from clean_patients"),
     "dim_patient_dedupe": query(
@@ -285,11 +305,11 @@ SQL = {
     "report_doctor_dashboard": query(
         """select * exclude (RowCountForIndexedUse), cast(dense_rank() over (
              partition by Year, Month order by RevenueAmount desc) as int) as RevenueRank from md"""),
-    "report_diagnosis_dashboard": query(
-        f"""select DiagnosisClass, ICDCode, DiagnosisName, Year, Month, VisitQty, RevenueAmount, ProfitAmount,
-              AvgRepeatRate, AvgTreatmentCost, {scaled('class_cents', 2, 28)} as ClassRevenue,
-              {percent(cents('RevenueAmount'), 'class_cents')} as ShareWithinClass
-            from (select *, sum({cents('RevenueAmount')}) over (partition by DiagnosisClass) as class_cents from mg)"""),
+    "report_doctor_dashboard_month": query(
+        """select * exclude (RowCountForIndexedUse), cast(dense_rank() over (order by RevenueAmount desc) as int)
+             as RevenueRank from md where Year = 1997 and Month = 5"""),
+    "report_diagnosis_dashboard_class": query(DASHBOARD + " where DiagnosisClass = 'Porazheniya pulpy'"),
+    "report_diagnosis_dashboard": query(DASHBOARD),
     "report_patient_age": query(
         f"""select AgeBand, count(*) as PatientQty, {count_of('VisitQty', 'VisitQty')},
               {total('RevenueAmount', 'RevenueAmount')}, {total('ProfitAmount', 'ProfitAmount')},
@@ -297,6 +317,8 @@ SQL = {
     "cube_query": query(
         f"""select DoctorID, VisitTypeID, cast(grouping(DoctorID, VisitTypeID) as int) as Level, {CUBE_SUMS}
             from fact group by cube (DoctorID, VisitTypeID)"""),
+    "cube_slice": query(
+        f"select PatientID, DiagnosisID, {total('ServiceCost', '\"Доход\"')} from fact where VisitTypeID = 2 group by all"),
     "cube_measures": query(
         f"""select VisitTypeID, {CUBE_SUMS}, {total('AvgTreatmentCost', '"Avg Treatment Cost"')},
               {total('Profit', '"Прибыль"')}, {total('ServiceCost', '"Доход"')} from fact group by all"""),
@@ -322,4 +344,7 @@ SQL = {
     "audit_batch_status": query(
         f"select {BATCH}, 300 as DurationSeconds, 'etl' as Initiator, 'Load complete' as CommentText"),
     "describe_warehouse": DESCRIBED,
+    "measure_catalog": query(" union all ".join(
+        f"select '{name}' as MeasureName, '{text}' as MeasureDescription, cast(sum({name}) as decimal(28,4)) as Total from fact"
+        for name, text in MEASURES.items())),
 }
