@@ -10,17 +10,19 @@ most one summary row per bucket matters, which bounds the broadcast by the numbe
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import checkpointed
 
 _BUCKET = "_bucket"
 
 
 def _ranged(df: DataFrame, group: list[str], order: list[Column], buckets: int | None) -> DataFrame:
-    """Rows with the number of their range bucket, stored so that the boundaries cannot move afterwards."""
-    shared_dir(df.sparkSession)
-    buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(buckets, *[F.col(c) for c in group], *order)
-    return ranged.withColumn(_BUCKET, F.spark_partition_id()).checkpoint()
+    """Rows with the number of their range bucket, stored so that the boundaries cannot move afterwards.
+
+    Without a number of buckets, adaptive execution merges neighbouring ranges until they are worth a task.
+    """
+    keys = [*[F.col(c) for c in group], *order]
+    ranged = df.repartitionByRange(buckets, *keys) if buckets else df.repartitionByRange(*keys)
+    return checkpointed(ranged.withColumn(_BUCKET, F.spark_partition_id()))
 
 
 def _with_carry(ranged: DataFrame, carry: DataFrame, group: list[str]) -> DataFrame:

@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 from .. import literals as L
 from ..functions import cleaning as C
-from ..operators import audit, merge, olap, quality, rejects, star_cube, validate
+from ..operators import audit, merge, olap, quality, star_cube, validate
 from ..schemas import STAGING
 from ..session import shared_dir
 from ..sources import binding, delimited, sinks
-from . import dims, fact, marts, reports
+from . import dims, fact, marts, rejects, reports
 from .pipeline import Loader
 from .queries import QUERIES
 from .warehouse import LOAD_TIME, Warehouse

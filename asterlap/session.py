@@ -2,7 +2,7 @@
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -20,3 +20,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return folder.rstrip("/")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows of ``df``, computed once and stored in the shared folder."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint()

@@ -6,7 +6,8 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
-from asterlap.operators import audit, quality, rejects, validate
+from asterlap.operators import audit, quality, validate
+from asterlap.plans import rejects
 from asterlap.schemas import STAGING
 
 

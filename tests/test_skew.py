@@ -3,8 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from asterlap.plans import dims, fact
-from asterlap.operators import rejects
+from asterlap.plans import dims, fact, rejects
 
 
 @pytest.fixture(scope="module")
