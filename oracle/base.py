@@ -70,8 +70,14 @@ VISIT_QTY = count_of("VisitCount", "VisitQty")
 REVENUE = total("ServiceCost", "RevenueAmount")
 PROFIT = total("Profit", "ProfitAmount")
 
+def one_per_id(source: str, key: str, attributes: list[str]) -> str:
+    """The smallest row of each ID, NULL first."""
+    order = ", ".join(f"{c} nulls first" for c in attributes)
+    return f"select * from {source} qualify row_number() over (partition by {key} order by {order}) = 1"
+
+
 _WEEKDAY = "['ponedelnik','vtornik','sreda','chetverg','pyatnitsa','subbota','voskresene']"
-_BAND = """case when Age is null then 'Ne opredeleno' when Age <= 17 then 'Do 18 let' when Age <= 25 then '18-25'
+BAND = """case when Age is null then 'Ne opredeleno' when Age <= 17 then 'Do 18 let' when Age <= 25 then '18-25'
   when Age <= 35 then '26-35' when Age <= 45 then '36-45' when Age <= 60 then '46-60' else '60+' end"""
 _DATE_OF = "try_cast(printf('%04d-%02d-%02d', Year, Month, Day) as date)"
 
@@ -126,19 +132,21 @@ TABLES = {
                    cast(l_discount as decimal(4,2)) * 4 - 0.05 as rate
             from lineitem join orders on o_orderkey = l_orderkey)""",
     "clean_patients": f"""
-      select distinct PatientID, trim(FullName) as FullName, Age, {_BAND} as AgeBand, trim(Phone) as Phone,
+      select distinct PatientID, trim(FullName) as FullName, Age, {BAND} as AgeBand, trim(Phone) as Phone,
              replace(replace(replace(trim(Phone), ' ', ''), '+', ''), '-', '') as PhoneNormalized
       from stg_patients""",
-    "ok_patients": """
-      select * from clean_patients
-      where PatientID is not null and coalesce(FullName, '') <> '' and (Age is null or Age between 0 and 120)""",
-    "ok_doctors": """
+    "ok_patients": one_per_id(
+        "clean_patients where PatientID is not null and coalesce(FullName, '') <> ''"
+        " and (Age is null or Age between 0 and 120)",
+        "PatientID", ["FullName", "Age", "AgeBand", "Phone", "PhoneNormalized"]),
+    "clean_doctors": """
       select distinct DoctorID, trim(FullName) as FullName, trim(Specialty) as Specialty,
              case when Specialty in ('Terapevt', 'Khirurg') then 'Lechebnyy personal'
                   when Specialty in ('Ortoped', 'Ortodont') then 'Vosstanovitelnaya stomatologiya'
                   else 'Prochee' end as SpecialtyGroup
       from stg_doctors where DoctorID is not null and trim(coalesce(FullName, '')) <> ''""",
-    "ok_diagnoses": """
+    "ok_doctors": one_per_id("clean_doctors", "DoctorID", ["FullName", "Specialty", "SpecialtyGroup"]),
+    "clean_diagnoses": """
       select distinct DiagnosisID, trim(ICDCode) as ICDCode, trim(DiagnosisName) as DiagnosisName,
              trim(TreatmentMethod) as TreatmentMethod,
              case substr(ICDCode, 1, 3)
@@ -150,6 +158,8 @@ TABLES = {
                when 'K13' then 'Zabolevaniya slizistoy i slyunnykh zhelez'
                else 'Prochie diagnozy' end as DiagnosisClass
       from stg_diagnoses where DiagnosisID is not null and trim(coalesce(DiagnosisName, '')) <> ''""",
+    "ok_diagnoses": one_per_id(
+        "clean_diagnoses", "DiagnosisID", ["ICDCode", "DiagnosisName", "TreatmentMethod", "DiagnosisClass"]),
     "ok_visit_types": """
       select VisitTypeID, trim(VisitName) as VisitName, trim(VisitCode) as VisitCode,
              case upper(trim(VisitCode)) when 'PR' then 'Pervichnyy vizit' when 'PRI' then 'Pervichnyy vizit'

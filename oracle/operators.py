@@ -1,8 +1,8 @@
 """DuckDB SQL of the loading, checking, cube and audit operators."""
 
 from .base import (
-    END, NOW, PROFIT, REVENUE, TABLES, VERSIONS, VISIT_QTY, cents, count_of, half_up, mean_money, mean_rate, percent,
-    query, scaled, total,
+    BAND, END, NOW, PROFIT, REVENUE, TABLES, VERSIONS, VISIT_QTY, cents, count_of, half_up, mean_money, mean_rate,
+    one_per_id, percent, query, scaled, total,
 )
 
 STAGED = ["patients", "doctors", "dates", "visit_types", "diagnoses", "visits"]
@@ -217,17 +217,16 @@ SQL = {
               using (Specialty)""",
         raw_2=BATCH_2["stg_doctors"]),
     "dim_patient_clean": query("select * from clean_patients"),
-    "age_band": query("select distinct PatientID, Age, AgeBand from clean_patients"),
+    "age_band": query(f"select PatientID, Age, {BAND} as AgeBand from stg_patients"),
     "dim_patient_dedupe": query(
-        """select PatientID, FullName, Age, case when Age is null then 'Ne opredeleno' when Age <= 17 then 'Do 18 let'
-             when Age <= 25 then '18-25' when Age <= 35 then '26-35' when Age <= 45 then '36-45'
-             when Age <= 60 then '46-60' else '60+' end as AgeBand, Phone, PhoneNormalized
-           from (select PatientID, FullName, min(Age) as Age, Phone, PhoneNormalized
-                 from (select * from clean_patients union all
-                       select * replace (Age + case when PatientID % 10 = 0 then 1 else 0 end as Age) from clean_patients)
-                 where coalesce(FullName, '') <> '' and (Age is null or Age between 0 and 120) group by all)"""),
-    "dim_doctor_clean": query("select * from ok_doctors"),
-    "dim_diagnosis_clean": query("select * from ok_diagnoses"),
+        one_per_id(
+            "rebanded where coalesce(FullName, '') <> '' and (Age is null or Age between 0 and 120)",
+            "PatientID", ["FullName", "Age", "AgeBand", "Phone", "PhoneNormalized"]),
+        rebanded=f"""select distinct PatientID, FullName, Age, {BAND} as AgeBand, Phone, PhoneNormalized from
+          (select * from clean_patients union all
+           select * replace (Age + case when PatientID % 10 = 0 then 1 else 0 end as Age) from clean_patients)"""),
+    "dim_doctor_clean": query("select * from clean_doctors"),
+    "dim_diagnosis_clean": query("select * from clean_diagnoses"),
     "dim_visit_type_clean": query("select * from ok_visit_types"),
     "dim_date_build": query("select * from ok_dates"),
     "academic_period": query(
@@ -267,14 +266,14 @@ SQL = {
         ["FullName", "Age", "PhoneNormalized"], "clean_patients", "ok_patients"),
     "scd2_doctor": versions(
         "doctor", "DoctorID", "DoctorKey", ["FullName", "Specialty", "SpecialtyGroup"],
-        ["FullName", "Specialty", "SpecialtyGroup"], "ok_doctors"),
+        ["FullName", "Specialty", "SpecialtyGroup"], "clean_doctors", "ok_doctors"),
     "scd2_diagnosis": versions(
         "diagnosis", "DiagnosisID", "DiagnosisKey", ["ICDCode", "DiagnosisName", "TreatmentMethod", "DiagnosisClass"],
-        ["ICDCode", "DiagnosisName", "TreatmentMethod", "DiagnosisClass"], "ok_diagnoses"),
+        ["ICDCode", "DiagnosisName", "TreatmentMethod", "DiagnosisClass"], "clean_diagnoses", "ok_diagnoses"),
     "scd2_latest_version_lookup": query(
         """select n.DoctorID, n.Specialty as NewSpecialty, o.DoctorKey, o.FullName, o.Specialty
            from ok_doctors_2 n left join dim_doctor o using (DoctorID)""",
-        **second_source("stg_doctors", "ok_doctors")),
+        **second_source("stg_doctors", "clean_doctors", "ok_doctors")),
     "scd1_date": overwritten("date", "DateID", "DateKey", "stg_dates", "ok_dates"),
     "scd1_visit_type": overwritten("visit_type", "VisitTypeID", "VisitTypeKey", "stg_visit_types", "ok_visit_types"),
     "surrogate_key": query("select PatientKey, PatientID from dim_patient"),
