@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as registered
 import check
+from asterlap.plans import registry
+from oracle import SQL
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
@@ -17,10 +19,10 @@ def connection():
 
 
 def test_every_operator_has_sql():
-    assert set(registered.queries()) == set(registered.oracle_sql())
+    assert set(registry.queries()) == set(SQL)
 
 
-@pytest.mark.parametrize("name", list(registered.queries()))
+@pytest.mark.parametrize("name", list(registry.queries()))
 def test_operator(spark, connection, name):
     found = registered.queries()[name](spark, FOLDER)
     assert check.differences(found, connection.execute(registered.oracle_sql()[name])) == []
