@@ -60,3 +60,22 @@ def join_counted(left: DataFrame, right: DataFrame, keys: list[str], count: str,
     first = left.join(F.broadcast(heavy), keys)
     rest = left.join(F.broadcast(heavy.select(*keys)), keys, "left_anti").join(light, keys)
     return first.unionByName(rest)
+
+
+def arrow_batches(spark: SparkSession, rows: int = 500, size: str = "16m") -> None:
+    """Bounds the batches that Python tasks get, in rows and bytes, for this session."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores as needed to differ from the columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def with_text(df: DataFrame) -> DataFrame:
+    """doc_id and the text as UTF-8 bytes, empty for null."""
+    return df.select(df["doc_id"].cast("long").alias("doc_id"), text_of(df).cast("binary").alias("text"))

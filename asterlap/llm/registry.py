@@ -1,12 +1,14 @@
 """The registered queries of this subpackage and the SQL that some of them are checked against."""
 
-from . import quality_rules, warc_revisits
+from . import quality_rules, repeated_windows, warc_revisits
 
 QUERIES = {
     "op1_warc_revisits": warc_revisits.op1_warc_revisits,
+    "op6_repeated_windows": repeated_windows.op6_repeated_windows,
     "op7_quality_rules": quality_rules.op7_quality_rules,
 }
 SQL = {
     "op1_warc_revisits": warc_revisits.ORACLE_SQL,
+    "op6_repeated_windows": repeated_windows.ORACLE_SQL,
     "op7_quality_rules": quality_rules.ORACLE_SQL,
 }
