@@ -1,9 +1,10 @@
 """The registered queries of this subpackage and the SQL that some of them are checked against."""
 
-from . import quality_rules, repeated_windows, warc_revisits
+from . import dart_minhash, quality_rules, repeated_windows, warc_revisits
 
 QUERIES = {
     "op1_warc_revisits": warc_revisits.op1_warc_revisits,
+    "op4_dart_minhash": dart_minhash.op4_dart_minhash,
     "op6_repeated_windows": repeated_windows.op6_repeated_windows,
     "op7_quality_rules": quality_rules.op7_quality_rules,
 }
