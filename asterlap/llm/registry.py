@@ -1,15 +1,17 @@
 """The registered queries of this subpackage and the SQL that some of them are checked against."""
 
-from . import dart_minhash, quality_rules, repeated_windows, warc_revisits
+from . import dart_minhash, positional_index, quality_rules, repeated_windows, warc_revisits
 
 QUERIES = {
     "op1_warc_revisits": warc_revisits.op1_warc_revisits,
     "op4_dart_minhash": dart_minhash.op4_dart_minhash,
+    "op5_positional_index": positional_index.op5_positional_index,
     "op6_repeated_windows": repeated_windows.op6_repeated_windows,
     "op7_quality_rules": quality_rules.op7_quality_rules,
 }
 SQL = {
     "op1_warc_revisits": warc_revisits.ORACLE_SQL,
+    "op5_positional_index": positional_index.ORACLE_SQL,
     "op6_repeated_windows": repeated_windows.ORACLE_SQL,
     "op7_quality_rules": quality_rules.ORACLE_SQL,
 }
