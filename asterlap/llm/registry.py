@@ -1,13 +1,23 @@
 """The registered queries of this subpackage and the SQL that some of them are checked against."""
 
-from . import dart_minhash, positional_index, quality_rules, repeated_windows, warc_revisits
+from . import (
+    dart_minhash,
+    packing,
+    positional_index,
+    quality_rules,
+    repeated_windows,
+    token_records,
+    warc_revisits,
+)
 
 QUERIES = {
     "op1_warc_revisits": warc_revisits.op1_warc_revisits,
+    "op3_token_records": token_records.op3_token_records,
     "op4_dart_minhash": dart_minhash.op4_dart_minhash,
     "op5_positional_index": positional_index.op5_positional_index,
     "op6_repeated_windows": repeated_windows.op6_repeated_windows,
     "op7_quality_rules": quality_rules.op7_quality_rules,
+    "op8_packing": packing.op8_packing,
 }
 SQL = {
     "op1_warc_revisits": warc_revisits.ORACLE_SQL,
