@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import arrow_batches, table, text_of
-from .tokens import Tokens, spaced_words
+from .tokens import spaced_words, worker_tokens
 
 VOCABULARY = "byte_bpe_50k.json"
 LENGTH = 1024
@@ -109,7 +109,7 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int = END_ID, length: int = L
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Tokens(vocabulary, spaced_words)
+        tokens = worker_tokens(vocabulary, spaced_words)
         ends, spaced = cut_tables(tokens.tokenizer, tokens.tokenizer.get_vocab_size() + 1)
         sequence = TaskContext.get().partitionId() << 33
         # Pieces of documents that are not settled yet: doc_id, tokens of the document, its IDs before, IDs.

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import arrow_batches, scratch, stored, table, text_of
 from .shared_files import opened
-from .tokens import Tokens, words
+from .tokens import words, worker_tokens
 
 #: Fixed values of the format.
 MASK_DELTA = 0xA282EAD8
@@ -62,7 +62,7 @@ def write_records(docs: DataFrame, path: str, vocabulary: str, end_id: int = END
     ordered = rows.repartitionByRange("doc_id", "row").sortWithinPartitions("doc_id", "row").select("doc_id", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, task = Tokens(vocabulary, words), TaskContext.get()
+        tokens, task = worker_tokens(vocabulary, words), TaskContext.get()
         system, folder = opened(path)
         system.create_dir(folder, recursive=True)
         name, part = f"part-{task.partitionId():06d}-{task.taskAttemptId()}.records", task.partitionId()

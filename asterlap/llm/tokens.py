@@ -7,12 +7,13 @@ the whole text; pieces seen before come from a bounded memory.
 import os
 import re
 from collections.abc import Callable
+from functools import lru_cache
 
 #: Words without white space, for a tokenizer that drops white space; a cut at ASCII white space is always safe.
 WORD = re.compile(r"[^ \t-\r]+")
 #: ASCII white space and the word behind it, for a byte-level tokenizer; safe where the text has no other white space.
 SPACED = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
-OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
+OTHER_SPACE = re.compile("[%s]" % "".join(map(chr, [*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])))
 #: Texts are encoded as they are, not cut, if a piece is longer than this.
 LONG_PIECE = 400
 
@@ -53,3 +54,9 @@ def words(text: str) -> list[str]:
 
 def spaced_words(text: str) -> list[str]:
     return [text] if OTHER_SPACE.search(text) else SPACED.findall(text)
+
+
+@lru_cache(maxsize=2)
+def worker_tokens(path: str, pieces: Callable[[str], list[str]]) -> Tokens:
+    """One for all tasks of a Python worker."""
+    return Tokens(path, pieces)
