@@ -25,6 +25,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import arrow_batches, free_name, scratch, stored, table, text_of
 from .shared_files import read_partition
@@ -230,7 +231,7 @@ def _kept_text(text: bytes, keep: np.ndarray) -> bytes:
     return b"".join(out)
 
 
-def _removal(chunks: DataFrame, truth: str, size: int, make_row: Callable, schema: str) -> DataFrame:
+def _removal(chunks: DataFrame, truth: str, size: int, make_row: Callable, schema: str | StructType) -> DataFrame:
     """What ``make_row(texts, words, firsts, removed)`` returns for every piece of a chunk, as columns of ``schema``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,7 +306,7 @@ def cleaned(docs: DataFrame, size: int = WINDOW, chunk_bytes: int = CHUNK_BYTES)
         return pa.RecordBatch.from_arrays([*piece.columns[2:], pa.array(new, pa.binary()), pa.array(stay)], names=[*piece.schema.names[2:], text, whole])
 
     rows = chunks.select(chunk, text_of(chunks).cast("binary").alias(text), "text", *[f"`{c}`" for c in others])
-    schema = rows.drop(chunk, text).withColumn(text, F.lit(b"")).withColumn(whole, F.lit(True)).schema
+    schema = rows.drop(chunk, text).schema.add(text, "binary").add(whole, "boolean")
     done = _removal(rows, truth, size, row, schema).filter(F.col(whole))
     final = F.coalesce(F.col(text).cast("string"), F.col("text"))
     values = {"text": final, "n_chars": F.length(final).cast(dict(docs.dtypes).get("n_chars", "long"))}

@@ -5,8 +5,8 @@ goes on when the trie doesn't (its failure link) and how many pieces it has then
 read once, byte by byte, with no stepping back; its number of pieces is a sum of popped counts, and no piece is built.
 Counts of words seen before are remembered, up to a bound.
 
-The vocabulary is a tokenizers file: its pieces without end-of-word marks, or, where pieces start with ``##``, those
-for the rest of a word. A word is a run of anything but ASCII white space, in lower case. A word that can't be taken
+The vocabulary is a tokenizers file. Of a WordPiece model, pieces with the continuing prefix go on within a word; of
+any other, all pieces, without their end-of-word marks, may start a word or go on. A word is a run of anything but ASCII white space, in lower case. A word that can't be taken
 apart counts as one unknown token.
 
 Defined cases: null and empty texts have no words; words of any length are read in full; repeated rows and null IDs are
@@ -25,7 +25,6 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import arrow_batches, table, text_of
 
 VOCABULARY = "word_bpe_49k.json"
-MORE = "##"
 END = "</w>"
 #: Longer words aren't remembered.
 LONG_WORD = 64
@@ -43,14 +42,15 @@ def byte_letters() -> dict[str, int]:
 def vocabulary(path: str) -> tuple[set[bytes], set[bytes]]:
     """Pieces that may start a word, and pieces that may go on."""
     with open(path, encoding="utf-8") as f:
-        pieces = json.load(f)["model"]["vocab"]
-    letters = byte_letters()
+        model = json.load(f)["model"]
+    pieces, letters = model["vocab"], byte_letters()
 
     def plain(piece: str) -> bytes:
         return bytes(letters[c] for c in piece) if all(c in letters for c in piece) else piece.encode()
 
-    if any(p.startswith(MORE) and p != MORE for p in pieces):
-        return {p.encode() for p in pieces if not p.startswith(MORE)}, {p[len(MORE) :].encode() for p in pieces if p.startswith(MORE)}
+    if model["type"] == "WordPiece":
+        more = model["continuing_subword_prefix"]
+        return {p.encode() for p in pieces if not p.startswith(more)}, {p[len(more) :].encode() for p in pieces if p.startswith(more)}
     whole = {plain(p.removesuffix(END)) for p in pieces} - {b""}
     return whole, whole
 
