@@ -177,7 +177,7 @@ def candidates(chunks: DataFrame, replies: str, size: int, bits: int) -> DataFra
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for chunk, pieces in by_chunk(batches):
-            got = read_partition(replies, "chunk", chunk, ["part", "packed"])
+            got = read_partition(replies, "chunk", chunk, {"part": pa.int64(), "packed": pa.binary()})
             rows = [[np.empty(0, np.uint64)] for _ in range(ROWS)]
             for part, packed in sorted(zip(got["part"].to_pylist(), got["packed"].to_pylist())):
                 row, s = divmod(part, slices)
@@ -237,7 +237,7 @@ def _removal(chunks: DataFrame, truth: str, size: int, make_row: Callable, schem
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for chunk, pieces in by_chunk(batches):
-            got = read_partition(truth, "chunk", chunk, ["k1", "k2"])
+            got = read_partition(truth, "chunk", chunk, {"k1": pa.int64(), "k2": pa.int64()})
             k1, k2 = (got[c].to_numpy().view(np.uint64) for c in ("k1", "k2"))
             order = np.argsort(k1)
             k1, k2 = k1[order], k2[order]

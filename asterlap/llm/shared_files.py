@@ -10,10 +10,10 @@ def opened(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
-def read_partition(uri: str, column: str, value, columns: list[str]) -> pa.Table:
+def read_partition(uri: str, column: str, value, columns: dict[str, pa.DataType]) -> pa.Table:
     """Rows of one partition of a Parquet table that Spark has written with ``partitionBy(column)``."""
     system, path = opened(f"{uri}/{column}={value}")
     files = [f.path for f in system.get_file_info(fs.FileSelector(path, allow_not_found=True)) if f.base_name.startswith("part-")]
     if not files:
-        return pa.table({c: [] for c in columns})
-    return pa.concat_tables([pq.read_table(f, filesystem=system, columns=columns, partitioning=None) for f in files])
+        return pa.schema(columns).empty_table()
+    return pa.concat_tables([pq.read_table(f, filesystem=system, columns=list(columns), partitioning=None) for f in files])
