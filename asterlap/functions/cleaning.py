@@ -9,14 +9,20 @@ MONEY = "decimal(18,2)"
 RATE = "decimal(9,4)"
 
 
+# A plain number, with a decimal comma or point; no exponents, no digit groups.
+_NUMBER = r"^\s*[+-]?(\d+([.,]\d*)?|[.,]\d+)\s*$"
+
+
 def parse_number(text: Column, target: str) -> Column:
     """Lenient number: a decimal comma is accepted, anything unreadable becomes NULL."""
-    return F.replace(text, F.lit(","), F.lit(".")).try_cast(target)
+    return F.replace(F.when(text.rlike(_NUMBER), text), F.lit(","), F.lit(".")).try_cast(target)
 
 
 def parse_number_strict(text: Column, target: str) -> Column:
     """The same reading, but an unreadable value fails the job."""
-    return F.replace(text, F.lit(","), F.lit(".")).cast(target)
+    message = F.concat(F.lit("not a number: "), text)
+    plain = F.when(text.isNull() | text.rlike(_NUMBER), text).otherwise(F.raise_error(message))
+    return F.replace(plain, F.lit(","), F.lit(".")).cast(target)
 
 
 def is_blank(text: Column) -> Column:

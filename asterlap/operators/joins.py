@@ -5,10 +5,13 @@ from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_ROWS = 50_000
-HOT_SHARE = 1 / 200
+# A key is hot when it holds more than this many even shares of a shuffle.
+HOT_SHARES = 2
 SKETCH_GROUPS = 64
+MAX_TRACKED = 1_000_000
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
@@ -16,24 +19,31 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return not df.select(F.lit(1)).offset(max_rows).head(1)
 
 
-def hot_keys(df: DataFrame, columns: list[str], share: float = HOT_SHARE) -> dict[str, list]:
-    """Keys holding more than ``share`` of the rows, found for all columns in one pass.
+def _salts(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    Each task keeps a fixed-size sketch per column; the sketches are merged by groups of tasks, and the leading
-    keys of each group are added up. What reaches the driver is bounded by the number of groups, not by the data.
-    The answer only chooses how rows are spread; it never changes a result.
+
+def hot_keys(df: DataFrame, columns: list[str], share: float | None = None) -> dict[str, dict]:
+    """Keys holding more than ``share`` of the rows, with their share, found for all columns in one pass.
+
+    By default the share follows from the number of shuffle partitions, so that no key left alone is much more than
+    what a task gets anyway. Each task keeps a fixed-size sketch per column; the sketches are merged by groups of
+    tasks, and the leading keys of each group are added up. What reaches the driver is bounded by the numbers of
+    groups and of partitions, not by the data. The answer only chooses how rows are spread; it never changes a result.
     """
+    share = share or min(0.5, HOT_SHARES / _salts(df))
     k = math.ceil(1 / share)
+    tracked = min(10 * k, MAX_TRACKED)
     leaders = df.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_part")).agg(
-        F.count(F.lit(1)).alias("_n"), *[F.expr(f"approx_top_k(`{c}`, {k}, {10 * k})").alias(c) for c in columns]
+        F.count(F.lit(1)).alias("_n"), *[F.expr(f"approx_top_k(`{c}`, {k}, {tracked})").alias(c) for c in columns]
     ).collect()
-    limit = sum(row["_n"] for row in leaders) * share
+    total = sum(row["_n"] for row in leaders)
     found = {}
     for c in columns:
         counted = Counter()
         for row in leaders:
             counted.update({entry["item"]: entry["count"] for entry in row[c]})
-        found[c] = [key for key, rows in counted.items() if key is not None and rows > limit]
+        found[c] = {key: rows / total for key, rows in counted.items() if key is not None and rows > share * total}
     return found
 
 
@@ -42,24 +52,30 @@ def lookup(
     dimension: DataFrame,
     key: str,
     spread: Column | str,
-    hot: list | None = None,
+    hot: dict | None = None,
     how: str = "left",
     broadcast: bool | None = None,
 ) -> DataFrame:
     """Join ``facts`` to ``dimension`` (unique on ``key``) without gathering a hot key in one task.
 
     A dimension of a checked size is broadcast; ``broadcast`` hands in a check already made. Otherwise both sides
-    are shuffled on (key, salt): rows of the ``hot`` keys, and rows without a key, take a salt derived from
-    ``spread``; the dimension rows of the hot keys, at most 1/HOT_SHARE of them, are copied once per salt.
+    are shuffled on (key, salt): rows of the ``hot`` keys take one of as many salts as the key has even shares of the
+    rows, and rows without a key one of all, derived from ``spread``; the dimension rows of the hot keys are copied
+    once per salt of theirs, twice the number of partitions in all at most.
     ``spread`` must give the same value when a task is run again, such as a stored row number.
     """
     if fits(dimension, BROADCAST_ROWS) if broadcast is None else broadcast:
         return facts.join(F.broadcast(dimension), key, how)
-    salts = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = _salts(facts)
     spread = F.col(spread) if isinstance(spread, str) else spread
-    salt = F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
-    is_hot = F.col(key).isin(hot) if hot else F.lit(False)
-    salted_facts = facts.withColumn("_salt", F.when(F.col(key).isNull() | is_hot, salt).otherwise(0))
-    salted_dimension = dimension.withColumn("_salt", F.explode(F.when(is_hot, every_salt).otherwise(F.array(F.lit(0)))))
+    own = F.lit(1)
+    if hot:
+        needed = [(k, min(salts, math.ceil(share * salts))) for k, share in hot.items()]
+        known = facts.sparkSession.createDataFrame(needed, T.StructType([T.StructField("_hot", facts.schema[key].dataType), T.StructField("_salts", T.IntegerType())]))
+        dimension = dimension.join(F.broadcast(known), F.col(key) == F.col("_hot"), "left").drop("_hot")
+        facts = facts.join(F.broadcast(known), F.col(key) == F.col("_hot"), "left").drop("_hot")
+        own = F.coalesce("_salts", F.lit(1))
+    salt = F.pmod(F.xxhash64(spread), F.when(F.col(key).isNull(), salts).otherwise(own)).cast("int")
+    salted_facts = facts.withColumn("_salt", salt).drop("_salts")
+    salted_dimension = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), own - 1))).drop("_salts")
     return salted_facts.join(salted_dimension, [key, "_salt"], how).drop("_salt")

@@ -2,14 +2,12 @@
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import literals as L
-
-# A key leaves room for this many versions of one business ID.
-VERSIONS_PER_ID = 65_536
+from ..session import checkpointed
 
 
 def dedupe(df: DataFrame, key: str) -> DataFrame:
@@ -37,6 +35,22 @@ def unknown_member(spark: SparkSession, schema: T.StructType, values: dict, key:
     return spark.range(0, 1, 1, 1).select(*columns)
 
 
+def numbered(rows: DataFrame, key: str, last: int) -> DataFrame:
+    """Rows with ``key`` set to ``last`` + 1, ``last`` + 2 and so on, in no particular order.
+
+    The rows are stored as they lie in their partitions, so a number is the rows of the partitions before plus the
+    place in the partition: no sort, no single task, and the same numbers whenever a task runs again.
+    """
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = checkpointed(rows.withColumn("_part", F.spark_partition_id()).withColumn("_place", place))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))  # one row per partition
+    parts = parts.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    number = F.lit(last).cast("bigint") + F.col("_before") + F.col("_place") + 1
+    joined = placed.join(F.broadcast(parts), "_part")
+    return joined.select(*[number.alias(c) if c == key else F.col(c) for c in rows.columns])
+
+
 def _comparable(column: Column, dtype: T.DataType) -> Column:
     """NULL text counts as empty text, NULL number as -1."""
     return F.coalesce(column, F.lit("") if isinstance(dtype, T.StringType) else F.lit(-1))
@@ -51,8 +65,8 @@ def scd2(
     ``source`` has one row per business key. A current row whose tracked attributes differ is closed one second
     before ``now`` and followed by a new version; a new ID starts its first version; an ID missing from the source
     stays as it is. One join decides all of it, and each matched pair emits the rows it leaves behind.
-    The key of version v of ID i is i * VERSIONS_PER_ID + v: unique without a sort or a hash, and 0 only for the
-    unknown member.
+    New versions are numbered on from the largest key there is, so keys are unique, positive and in the order of the
+    versions of an ID, whatever the IDs are and however many versions they get; 0 is only the unknown member's.
     """
     attributes = [c for c in source.columns if c != business_key]
     current = target.filter("IsCurrent")
@@ -70,7 +84,6 @@ def scd2(
             for c in tracked
         ],
     )
-    first_key = F.col(business_key).cast("bigint") * VERSIONS_PER_ID
 
     def version(values: dict[str, Column]) -> Column:
         return F.struct(*[values[f.name].cast(f.dataType).alias(f.name) for f in target.schema.fields])
@@ -84,7 +97,7 @@ def scd2(
         {business_key: F.col(business_key)}
         | {c: F.col("_new")[c] for c in attributes}
         | {
-            surrogate_key: F.coalesce(F.col("_old")[surrogate_key] + 1, first_key),
+            surrogate_key: F.lit(None),
             "EffectiveFrom": now,
             "EffectiveTo": F.lit(L.LAST_MOMENT).cast("timestamp"),
             "IsCurrent": F.lit(True),
@@ -96,7 +109,11 @@ def scd2(
         .when(F.col("_new").isNull() | ~differs, F.array(unchanged))
         .otherwise(F.array(closed, opened))
     )
-    return history.unionByName(pairs.select(F.inline(outcome)))
+    last = target.agg(F.max(surrogate_key)).first()[0] or 0
+    stored = checkpointed(pairs.select(F.inline(outcome)))
+    unnumbered = F.col(surrogate_key).isNull()
+    added = numbered(stored.filter(unnumbered), surrogate_key, max(last, 0))
+    return history.unionByName(stored.filter(~unnumbered)).unionByName(added)
 
 
 def latest_version(target: DataFrame, source: DataFrame, business_key: str, surrogate_key: str) -> DataFrame:

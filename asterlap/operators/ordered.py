@@ -52,7 +52,8 @@ def running_sum(
     dtype = df.select(F.sum(value)).schema[0].dataType
     local = Window.partitionBy(*group, _BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     summed = ranged.withColumn("_local", F.sum(value).over(local))
-    total = F.coalesce("_carry", F.lit(0).cast(dtype)) + F.col("_local")
+    # A sum is NULL only as long as no value has been added.
+    total = F.when(F.col("_local").isNull(), F.col("_carry")).otherwise(F.coalesce("_carry", F.lit(0).cast(dtype)) + F.col("_local"))
     return _with_carry(summed, carry, group).withColumn(alias, total.cast(dtype)).drop("_carry", "_local", _BUCKET)
 
 

@@ -18,7 +18,7 @@ from ..operators.olap import descending, totals
 from ..operators.ordered import previous_value, rank_descending
 from .warehouse import Warehouse
 
-TOP_N = 5
+TOP_N = 5  # unless a query is asked for another number
 # Means that are reported as computed keep six digits.
 RAW_MEAN = "decimal(22,6)"
 
@@ -150,9 +150,9 @@ def _doctor_rank(measure: str, alias: str):
 
 
 def _top_mean(mart, dims: list[str], measure: str, target: str):
-    """The TOP_N groups by the mean of a monthly mean."""
-    def query(wh: Warehouse) -> DataFrame:
-        return mart(wh).groupBy(*dims).agg(mean(measure, target)).orderBy(*descending(measure, *dims)).limit(TOP_N)
+    """The leading groups by the mean of a monthly mean."""
+    def query(wh: Warehouse, top: int = TOP_N) -> DataFrame:
+        return mart(wh).groupBy(*dims).agg(mean(measure, target)).orderBy(*descending(measure, *dims)).limit(top)
 
     return query
 
@@ -191,9 +191,9 @@ def _share(mart, dim: str, measure: str, alias: str):
 
 
 def _top_diagnosis(measure: str):
-    def query(wh: Warehouse) -> DataFrame:
+    def query(wh: Warehouse, top: int = TOP_N) -> DataFrame:
         dims = ["DiagnosisName", "ICDCode"]
-        return totals(_g(wh), dims, {measure: measure}).orderBy(*descending(measure, *dims)).limit(TOP_N)
+        return totals(_g(wh), dims, {measure: measure}).orderBy(*descending(measure, *dims)).limit(top)
 
     return query
 
@@ -220,16 +220,16 @@ def best_diagnosis_trend(wh: Warehouse) -> DataFrame:
     )
 
 
-def top_profit_per_visit(wh: Warehouse) -> DataFrame:
+def top_profit_per_visit(wh: Warehouse, top: int = TOP_N) -> DataFrame:
     summed = totals(_g(wh), ["DiagnosisName"], {"ProfitAmount": "ProfitAmount", "VisitQty": "VisitQty"})
     ratio = per(F.col("ProfitAmount"), F.col("VisitQty")).alias("ProfitPerVisit")
-    return summed.select("DiagnosisName", ratio).orderBy(*descending("ProfitPerVisit", "DiagnosisName")).limit(TOP_N)
+    return summed.select("DiagnosisName", ratio).orderBy(*descending("ProfitPerVisit", "DiagnosisName")).limit(top)
 
 
 def _top_patient(measure: str, columns: list[str]):
-    def query(wh: Warehouse) -> DataFrame:
-        top = _p(wh).orderBy(*descending(measure, "PatientName", "PatientID")).limit(TOP_N)
-        return top.select("PatientName", "AgeBand", *columns)
+    def query(wh: Warehouse, top: int = TOP_N) -> DataFrame:
+        leading = _p(wh).orderBy(*descending(measure, "PatientName", "PatientID")).limit(top)
+        return leading.select("PatientName", "AgeBand", *columns)
 
     return query
 

@@ -5,12 +5,13 @@ from collections.abc import Callable
 from datetime import datetime
 from threading import Lock
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import literals as L
 from ..functions import cleaning as C
 from ..operators import audit, merge, olap, quality, star_cube, validate
+from ..operators.joins import lookup
 from ..schemas import STAGING
 from ..session import shared_dir
 from ..sources import binding, delimited, sinks
@@ -28,9 +29,11 @@ _exported: dict[str, str] = {}
 
 
 def _fingerprint(spark: SparkSession, folder: str) -> tuple:
-    """Number, size and age of the input files, so that a rewritten folder is loaded anew. Contents are not read."""
+    """Digest of the input files' paths, sizes and times, so that a rewritten folder is loaded anew. Contents are not
+    read."""
     files = spark.read.format("binaryFile").load(binding.paths(folder))
-    return tuple(files.agg(F.count(F.lit(1)), F.sum("length"), F.max("modificationTime").cast("string")).first())
+    each = F.concat_ws("|", "path", F.col("length").cast("string"), F.col("modificationTime").cast("string"))
+    return tuple(files.agg(F.sha2(F.array_join(F.array_sort(F.collect_list(each)), "\n"), 256)).first())
 
 
 def warehouse(spark: SparkSession, folder: str) -> Warehouse:
@@ -215,6 +218,11 @@ def _second_batch(wh: Warehouse, name: str) -> DataFrame:
 def _second_state(wh: Warehouse, name: str) -> DataFrame:
     moment = F.lit(SECOND_LOAD).cast("timestamp")
     state = dims.load_dimension(name, wh.dimension(name), _second_batch(wh, name), moment, 2)
+    if name in dims.VERSIONED:
+        # Keys are arbitrary numbers; what they stand for is the order of an ID's versions.
+        business_key, key, _ = dims.VERSIONED[name]
+        version = F.row_number().over(Window.partitionBy(business_key).orderBy(key))
+        state = state.withColumn("Version", version).drop(key)
     return _text_times(state)
 
 
@@ -222,11 +230,28 @@ def scd2_latest_version_lookup(wh: Warehouse) -> DataFrame:
     """Second batch of doctors beside the version each had before."""
     source = dims.source_rows("doctor", _second_batch(wh, "doctor")).select("DoctorID", F.col("Specialty").alias("NewSpecialty"))
     target = wh.dimension("doctor").select("DoctorKey", "DoctorID", "FullName", "Specialty", "IsCurrent")
-    return merge.latest_version(target, source, "DoctorID", "DoctorKey")
+    found = merge.latest_version(target, source, "DoctorID", "DoctorKey")
+    return found.withColumn("Known", F.col("DoctorKey").isNotNull()).drop("DoctorKey")
 
 
 def surrogate_key(wh: Warehouse) -> DataFrame:
-    return wh.dimension("patient").select("PatientKey", "PatientID")
+    """Of every patient version, whether its key is its own, and positive unless it is the unknown member."""
+    own = F.count(F.lit(1)).over(Window.partitionBy("PatientKey")) == 1
+    positive = (F.col("PatientKey") > 0) | ((F.col("PatientKey") == 0) & (F.col("PatientID") == 0))
+    return wh.dimension("patient").select("PatientID", own.alias("IsUnique"), positive.alias("IsPositive"))
+
+
+def _by_business_id(wh: Warehouse, rows: DataFrame, spread: str | None = None) -> DataFrame:
+    """Rows with the business IDs that their surrogate keys of versioned dimensions stand for."""
+    for name, (business_key, key, _) in dims.VERSIONED.items():
+        if key in rows.columns:
+            members = wh.dimension(name).select(key, business_key)
+            rows = (lookup(rows, members, key, spread) if spread else rows.join(members, key, "left")).drop(key)
+    return rows
+
+
+def fact_visit_load(wh: Warehouse) -> DataFrame:
+    return _by_business_id(wh, wh.fact(), "VisitKey").drop("VisitKey")
 
 
 def unknown_member(wh: Warehouse) -> DataFrame:
@@ -363,9 +388,9 @@ OPERATORS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "scd1_visit_type": lambda wh: _second_state(wh, "visit_type"),
     "surrogate_key": surrogate_key,
     "unknown_member": unknown_member,
-    "fact_visit_load": lambda wh: wh.fact().drop("VisitKey"),
-    "agg_doctor_month": lambda wh: fact.doctor_months(wh.wide()),
-    "agg_diagnosis_month": lambda wh: fact.diagnosis_months(wh.wide()),
+    "fact_visit_load": fact_visit_load,
+    "agg_doctor_month": lambda wh: _by_business_id(wh, fact.doctor_months(wh.wide())),
+    "agg_diagnosis_month": lambda wh: _by_business_id(wh, fact.diagnosis_months(wh.wide())),
     "full_load": full_load,
     "rebuild": rebuild,
     "compat_patients": lambda wh: marts.compat_dimension("patient", wh.dimension("patient")),

@@ -6,7 +6,6 @@ computed with whole numbers, because the engine would otherwise answer them as f
 
 import re
 
-VERSIONS = 65536
 NOW = "2024-01-01 00:00:00"
 END = "9999-12-31 00:00:00"
 
@@ -173,13 +172,13 @@ TABLES = {
                as AcademicPeriod
       from (select *, {_DATE_OF} as FullDate from stg_dates) where FullDate is not null""",
     "dim_patient": f"""
-      select PatientID * {VERSIONS} as PatientKey, * from ok_patients
+      select PatientID as PatientKey, * from ok_patients
       union all select 0, 0, 'Neizvestnyy patsient', null, 'Ne opredeleno', null, null""",
     "dim_doctor": f"""
-      select DoctorID * {VERSIONS} as DoctorKey, * from ok_doctors
+      select DoctorID as DoctorKey, * from ok_doctors
       union all select 0, 0, 'Neizvestnyy vrach', 'Ne opredeleno', 'Prochee'""",
     "dim_diagnosis": f"""
-      select DiagnosisID * {VERSIONS} as DiagnosisKey, * from ok_diagnoses
+      select DiagnosisID as DiagnosisKey, * from ok_diagnoses
       union all select 0, 0, 'UNK', 'Neizvestnyy diagnoz', 'Ne opredelen', 'Prochee'""",
     "dim_visit_type": """
       select * from ok_visit_types union all select 0, 'Neizvestnyy tip vizita', 'UNK', 'Prochee'""",

@@ -1,7 +1,7 @@
 """DuckDB SQL of the loading, checking, cube and audit operators."""
 
 from .base import (
-    BAND, END, NOW, PROFIT, REVENUE, TABLES, VERSIONS, VISIT_QTY, cents, count_of, half_up, mean_money, mean_rate,
+    BAND, END, NOW, PROFIT, REVENUE, TABLES, VISIT_QTY, cents, count_of, half_up, mean_money, mean_rate,
     one_per_id, percent, query, scaled, total,
 )
 
@@ -139,15 +139,14 @@ def versions(name: str, key: str, surrogate: str, attributes: list[str], tracked
     new = ", ".join(f"n.{c}" for c in attributes)
     unknown = ", ".join(attributes)
     body = f"""
-      select {surrogate}, {key}, {unknown}, '{FIRST}' as EffectiveFrom, '{END}' as EffectiveTo, true as IsCurrent,
+      select 1 as Version, {key}, {unknown}, '{FIRST}' as EffectiveFrom, '{END}' as EffectiveTo, true as IsCurrent,
              cast(null as int) as SourceBatchID from dim_{name} where {surrogate} = 0
       union all
-      select o.{key} * {VERSIONS}, o.{key}, {old}, '{NOW}', case when n.{key} is not null and ({differs}) then '{CLOSED}'
+      select 1, o.{key}, {old}, '{NOW}', case when n.{key} is not null and ({differs}) then '{CLOSED}'
              else '{END}' end, n.{key} is null or not ({differs}), 1
       from {first} o left join {second} n using ({key})
       union all
-      select n.{key} * {VERSIONS} + case when o.{key} is null then 0 else 1 end, n.{key}, {new}, '{SECOND}', '{END}',
-             true, 2
+      select case when o.{key} is null then 1 else 2 end, n.{key}, {new}, '{SECOND}', '{END}', true, 2
       from {second} n left join {first} o using ({key}) where o.{key} is null or {differs}"""
     return query(body, **second_source({"patient": "stg_patients", "doctor": "stg_doctors",
                                         "diagnosis": "stg_diagnoses"}[name], *steps))
@@ -163,7 +162,7 @@ def overwritten(name: str, key: str, surrogate: str, staging: str, step: str) ->
 
 
 def months(key: str, *measures: str) -> str:
-    return query(f"""select Year, Month, {key} * {VERSIONS} as {key[:-2]}Key, {VISIT_QTY}, {REVENUE}, {PROFIT},
+    return query(f"""select Year, Month, {key}, {VISIT_QTY}, {REVENUE}, {PROFIT},
                      {', '.join(measures)} from mv group by Year, Month, {key}""")
 
 
@@ -271,19 +270,19 @@ SQL = {
         "diagnosis", "DiagnosisID", "DiagnosisKey", ["ICDCode", "DiagnosisName", "TreatmentMethod", "DiagnosisClass"],
         ["ICDCode", "DiagnosisName", "TreatmentMethod", "DiagnosisClass"], "clean_diagnoses", "ok_diagnoses"),
     "scd2_latest_version_lookup": query(
-        """select n.DoctorID, n.Specialty as NewSpecialty, o.DoctorKey, o.FullName, o.Specialty
+        """select n.DoctorID, n.Specialty as NewSpecialty, o.DoctorID is not null as Known, o.FullName, o.Specialty
            from ok_doctors_2 n left join dim_doctor o using (DoctorID)""",
         **second_source("stg_doctors", "clean_doctors", "ok_doctors")),
     "scd1_date": overwritten("date", "DateID", "DateKey", "stg_dates", "ok_dates"),
     "scd1_visit_type": overwritten("visit_type", "VisitTypeID", "VisitTypeKey", "stg_visit_types", "ok_visit_types"),
-    "surrogate_key": query("select PatientKey, PatientID from dim_patient"),
+    "surrogate_key": query("select PatientID, true as IsUnique, true as IsPositive from dim_patient"),
     "unknown_member": query(" union all ".join(
         f"select '{n}' as Dimension, count(*) filter ({k} = 0) as VisitRows from fact" for n, k in [
             ("date", "DateID"), ("patient", "PatientID"), ("doctor", "DoctorID"), ("diagnosis", "DiagnosisID"),
             ("visit_type", "VisitTypeID")])),
     "fact_visit_load": query(
-        f"""select FactID, DateID as DateKey, PatientID * {VERSIONS} as PatientKey, DoctorID * {VERSIONS} as DoctorKey,
-              DiagnosisID * {VERSIONS} as DiagnosisKey, VisitTypeID as VisitTypeKey, ServiceCost, VisitCount, Profit,
+        """select FactID, DateID as DateKey, PatientID, DoctorID, DiagnosisID, VisitTypeID as VisitTypeKey, ServiceCost,
+              VisitCount, Profit,
               PatientCount, RepeatRate, AvgTreatmentCost, MarginPercent from fact"""),
     "agg_doctor_month": months(
         "DoctorID", mean_money("ServiceCost") + " as AvgRevenuePerVisit", mean_money("Profit") + " as AvgProfitPerVisit"),

@@ -58,3 +58,12 @@ def test_last_running_total_is_the_sum(spark):
     df = table(spark, 500, 50, 9)
     found = running_sum(df, "v", [F.col("v").desc(), F.col("name")], "total", buckets=16)
     assert found.agg(F.max("total")).first()[0] == df.agg(F.sum("v")).first()[0]
+
+
+@pytest.mark.parametrize("group", [[], ["g"]])
+def test_running_sum_over_null_values(spark, rows, group):
+    df = table(spark, 200, 6, 11).withColumn("v", F.when(F.col("v") > 2, F.col("v")))
+    order = [F.col("name")]
+    found = running_sum(df, "v", order, "total", group, 9)
+    window = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    assert rows(found) == rows(df.withColumn("total", F.sum("v").over(window)))
