@@ -65,6 +65,7 @@ REJECT_REASONS = {
     "stg.DimDiagnoses_Raw": "Ne ukazan diagnoz ili kod MKB",
     "stg.FactVisits_Raw": "Nevozmozhno preobrazovat chislovye pokazateli vizita",
 }
+MALFORMED_LINE = "Malformed line"
 
 # Descriptions written with data-quality issues.
 NEGATIVE_MARGIN_TEXT = "Marzhinalnost po vizitu otritsatelna, trebuetsya proverka sebestoimosti ili vyruchki."

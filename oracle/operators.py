@@ -198,7 +198,18 @@ DASHBOARD = f"""
 
 SQL = {
     "stg_read_csv": query("select * from stg_visits"),
-    "stg_read_csv_codepage": query("select * from stg_patients"),
+    "stg_read_csv_codepage": query("select * replace ('Пациент ' || FullName as FullName) from stg_patients"),
+    "stg_malformed_lines": query(
+        """select case when FactID % 97 = 0 then short when FactID % 89 = 0 then short || ';' || last || ';more'
+                  else short || ';' || last end as Line
+           from (select FactID, coalesce(AvgTreatmentCostText, '') as last,
+                   concat_ws(';', coalesce(FactID::varchar, ''), coalesce(DateID::varchar, ''),
+                     coalesce(PatientID::varchar, ''), coalesce(DoctorID::varchar, ''),
+                     coalesce(DiagnosisID::varchar, ''), coalesce(VisitTypeID::varchar, ''),
+                     coalesce(ServiceCostText, ''), case when FactID % 83 = 0 then 'x' else coalesce(VisitCount::varchar, '') end,
+                     coalesce(ProfitText, ''), coalesce(PatientCount::varchar, ''), coalesce(RepeatRateText, '')) as short
+                 from stg_visits)
+           where FactID % 97 = 0 or FactID % 89 = 0 or FactID % 83 = 0"""),
     "stg_load_all": query(READ),
     "stg_lineage": query(
         f"select *, 'DimPatients.csv' as SourceFileName, '{NOW}' as LoadedAt, 1 as BatchID from stg_patients"),
