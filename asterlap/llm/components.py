@@ -6,12 +6,11 @@ from pyspark.sql import functions as F
 from .common import join_counted, stored
 
 
-def _with_least(edges: DataFrame, larger: bool) -> DataFrame:
+def _with_least(edges: DataFrame, total: int, larger: bool) -> DataFrame:
     """(u, v, m): edges u-v, v larger (or smaller) than u, with the least neighbour m of u, or u itself."""
-    both = stored(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a")), "components-both")
+    both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("n"))
-    least = stored(least, "components-least")
-    joined = join_counted(both, least, ["u"], "n", both.count())
+    joined = join_counted(both, least, ["u"], "n", 2 * total)
     return joined.filter(F.col("v") > F.col("u") if larger else F.col("v") < F.col("u"))
 
 
@@ -19,20 +18,23 @@ def _edges(pairs: DataFrame) -> DataFrame:
     return pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether no node is both a centre (a) and a leaf (b), or a leaf of two centres."""
+    ends = edges.select(F.col("a").alias("u"), F.lit(0).alias("leaf")).union(edges.select("b", F.lit(1)))
+    seen = ends.groupBy("u").agg(F.sum("leaf").alias("leaf"), F.min("leaf").alias("least"))
+    return not seen.filter("leaf > 1 or (leaf = 1 and least = 0)").select(F.lit(1)).head(1)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(u, comp) of every node of the edges (a, b): comp is the least node of its component.
 
     A step replaces a node's edges by edges to its least neighbour, so a long path shrinks by halves and a hub stays a
-    star. It ends when a round changes nothing, told by count and a sum of hashes."""
-    now, mark = stored(_edges(edges), "components-edges"), None
-    while True:
-        found = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if found == mark or not found[0]:
-            break
-        mark = found
-        large = stored(_edges(_with_least(now, True).select(F.col("m").alias("a"), F.col("v").alias("b"))), "components-edges")
-        small = _with_least(large, False)
+    star. It ends when only stars are left."""
+    now = stored(_edges(edges), "components-edges")
+    while not _are_stars(now):
+        total = now.count()
+        large = stored(_edges(_with_least(now, total, True).select(F.col("m").alias("a"), F.col("v").alias("b"))), "components-edges")
+        small = _with_least(large, total, False)
         to_least = small.select(F.col("m").alias("a"), F.col("v").alias("b")).union(small.select(F.col("m").alias("a"), F.col("u").alias("b")))
         now = stored(_edges(to_least), "components-edges")
-    stars = now.select(F.col("b").alias("u"), F.col("a").alias("comp"))
-    return stars.union(now.select(F.col("a").alias("u"), F.col("a").alias("comp"))).distinct()
+    return now.select(F.col("b").alias("u"), F.col("a").alias("comp")).union(now.select(F.col("a").alias("u"), F.col("a").alias("comp")).distinct())

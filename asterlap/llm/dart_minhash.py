@@ -9,9 +9,10 @@ similarity as their chance. The work is linear in shingles and darts, however ma
 Bands of the signature are joined. Copies of one text are one class from the start. In each bucket of a band, texts are
 held against the bucket's first; candidates whose signatures agree too little to be near (over five standard deviations)
 go, the others are compared exactly on their shingles. Linked texts become components; then only texts of *different*
-components within a bucket are still open, and they are held against another text of the bucket, again and again while
-that joins components or leaves too many, and at last all that remain: so no link that the bands found is lost, and a
-large group of near copies never becomes all its pairs.
+components within a bucket are still open. Texts with too many shingles that no other text has cannot be near any; that
+bound is exact, linear, and settles most of a large group's distant copies. The others are held against another text of
+the bucket, again and again while that joins components and leaves many open, and at last against all that remain open:
+so no link that the bands found is lost, and a large group of near copies doesn't become all its pairs.
 
 Defined cases: a text of one to four words is one shingle; texts without words (null, empty) are near nothing and a
 class each; copies, repeated rows and null IDs included, share a class; class_id is the least ID of the class, null if
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import arrow_batches, document_key, free_name, join_counted, stored, table, text_of
@@ -220,12 +221,42 @@ def _all_open(rows: DataFrame) -> DataFrame:
     return met.select(F.col("u").alias("a"), F.col("v").alias("b")).distinct()
 
 
+def unshared(shingles: DataFrame) -> DataFrame:
+    """(u, size, common): how many shingles a text has, and how many of them any other text has too."""
+
+    def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [np.frombuffer(x, np.int64) for x in b.column(1).to_pylist()]
+            owners = np.repeat(b.column(0).to_numpy(), [len(x) for x in sets])
+            yield pa.RecordBatch.from_arrays([pa.array(owners), pa.array(np.concatenate(sets))], names=["u", "id"])
+
+    single = shingles.mapInArrow(flat, "u long, id long").groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.min("u").alias("u")).filter("n = 1")
+    alone = single.groupBy("u").agg(F.count(F.lit(1)).alias("alone"))
+    size = F.octet_length("ids") / 8
+    return shingles.select("u", size.alias("size")).join(alone, "u", "left").select("u", "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("common"))
+
+
 def _open_buckets(rows: DataFrame) -> DataFrame:
-    """band, n (texts), pairs (of texts of two components) of the buckets with several components."""
-    each = rows.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("n"))
+    """band, n (texts), least (shingles of the smallest), pairs (of texts of two components) of the buckets with several
+    components."""
+    each = rows.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("n"), F.min("size").alias("least"))
     squares = F.sum(F.col("n") * F.col("n"))
-    whole = each.groupBy("band").agg(F.sum("n").alias("n"), squares.alias("own"), F.count(F.lit(1)).alias("parts"))
-    return whole.filter("parts > 1").select("band", "n", ((F.col("n") * F.col("n") - F.col("own")) / 2).alias("pairs"))
+    whole = each.groupBy("band").agg(F.sum("n").alias("n"), F.min("least").alias("least"), squares.alias("own"), F.count(F.lit(1)).alias("parts"))
+    return whole.filter("parts > 1").select("band", "n", "least", ((F.col("n") * F.col("n") - F.col("own")) / 2).alias("pairs"))
+
+
+def _still_open(rows: DataFrame) -> tuple[DataFrame, int, float]:
+    """The rows of buckets with several components, their number, and the number of open pairs."""
+    buckets = stored(_open_buckets(rows), "minhash-buckets")
+    pairs, total = buckets.agg(F.coalesce(F.sum("pairs"), F.lit(0.0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    return join_counted(rows, buckets.drop("pairs"), ["band"], "n", total).drop("n"), total, pairs
+
+
+def _can_link(similarity: float = SIMILARITY) -> Column:
+    """Whether a text can be near any of its bucket: at best it has all its common shingles in common with a text that is
+    no smaller than those, or than the smallest of the bucket."""
+    best = F.col("common") / (F.col("size") + F.greatest("common", "least") - F.col("common"))
+    return best >= similarity - 1e-9
 
 
 def _units(rows: DataFrame) -> DataFrame:
@@ -242,32 +273,33 @@ def linked(docs: DataFrame, units: DataFrame) -> DataFrame:
     shared = stored(buckets.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "minhash-shared")
     total = shared.agg(F.sum("n")).first()[0] or 0
     members = stored(join_counted(buckets, shared, ["band"], "n", total).select("u", "band"), "minhash-members")
-    paired = stored(units.select("u", "k_id", "k_text", "sig").join(members.select("u").distinct(), "u", "left_semi"), "minhash-paired")
+    paired = stored(units.select("u", "k_id", "k_text", "sig").join(members, "u", "left_semi"), "minhash-paired")
     shingles = stored(shingles_of(docs, paired), "minhash-shingles")
 
-    rows, turn = members.withColumn("comp", F.col("u")), 0
-    edges = spark.createDataFrame([], "a long, b long")
     comps = spark.createDataFrame([], "u long, comp long")
-    tried, texts, joined = edges, paired.count(), 0
+    tried = spark.createDataFrame([], "a long, b long")
+    # In the first turn, every text is a component of its own, and every bucket that several share is open.
+    rows, turn, texts, joined = members.withColumn("comp", F.col("u")), 0, paired.count(), 0
+    open_pairs = total
     while total:
-        buckets = stored(_open_buckets(rows), "minhash-buckets")
-        open_pairs, total = buckets.agg(F.coalesce(F.sum("pairs"), F.lit(0.0)), F.coalesce(F.sum("n"), F.lit(0))).first()
-        if not total:
-            break
-        rows = stored(join_counted(rows, buckets, ["band"], "n", total).select("u", "band", "comp"), "minhash-open")
         last = turn > 0 and (open_pairs <= OPEN_PER_TEXT * texts or not joined)
         pairs = _all_open(rows) if last else _against_first(rows, turn, total)
-        pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "minhash-pairs")
-        tried = tried.union(pairs)
+        pairs = stored(pairs.join(tried, ["a", "b"], "left_anti") if turn else pairs, "minhash-pairs")
         new = stored(near(agreeing(pairs, paired), shingles), "minhash-links")
         joined = new.count()
         if joined:
-            edges = edges.union(new)
-            comps = stored(components(edges), "minhash-components")
+            known = comps.filter("u <> comp").select(F.col("comp").alias("a"), F.col("u").alias("b"))
+            comps = stored(components(known.union(new) if turn else new), "minhash-components")
         if last:
             break
-        turn += 1
-        rows = stored(_with_components(members.join(rows.select("band").distinct(), "band", "left_semi"), comps), "minhash-rows")
+        if not turn:
+            rows = rows.join(unshared(shingles), "u")
+        turn, tried = turn + 1, tried.union(pairs)
+        rows, total, open_pairs = _still_open(stored(_with_components(rows.drop("comp"), comps), "minhash-rows"))
+        if turn == 1 and total:
+            # Many texts of large groups are too far from all others: what they have alone says so, without pairs.
+            rows, total, open_pairs = _still_open(stored(rows.filter(_can_link()).drop("least"), "minhash-rows"))
+        rows = stored(rows.drop("least"), "minhash-open")
     return comps
 
 
