@@ -40,7 +40,9 @@ SIGNATURE = BANDS * BAND_ROWS
 LEAST_AGREEMENT = 0.6
 #: Open pairs (counted in every bucket) per text that shares buckets, up to which all that are open are compared.
 OPEN_PER_TEXT = 10
-#: Keys of texts that share buckets, 24 bytes each, are broadcast up to this number and shuffled beyond it.
+#: Firsts of buckets that a text is held against in a turn.
+LEADERS = 3
+#: Keys of buckets, texts or pairs, 8 to 24 bytes each, are broadcast up to this number of rows and shuffled beyond it.
 BROADCAST_ROWS = 1_000_000
 #: Odd numbers that tell the uses of a hash apart.
 STEPS = tuple(map(np.uint64, (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7, 0xA24BAED4963EE407, 0x9FB21C651E98DF25)))
@@ -201,17 +203,28 @@ def near(pairs: DataFrame, shingles: DataFrame, similarity: float = SIMILARITY)
             sets = ([np.frombuffer(x, np.uint64) for x in batch.column(c).to_pylist()] for c in (2, 3))
             yield batch.select([0, 1]).filter(pa.array([jaccard(x, y) >= similarity for x, y in zip(*sets)], pa.bool_()))
 
-    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ids_a", "ids_b")
+    # Few pairs go to the shingles, instead of all shingles to the pairs.
+    pairs = stored(pairs, "minhash-compared")
+    few = F.broadcast if pairs.count() <= BROADCAST_ROWS else (lambda df: df)
+    right = side("b").join(few(pairs.select("b")), "b", "left_semi")
+    both = side("a").join(few(pairs), "a").join(right, "b").select("a", "b", "ids_a", "ids_b")
     return both.mapInArrow(compare, "a long, b long")
 
 
 def _against_first(rows: DataFrame, turn: int, total: int) -> DataFrame:
-    """Pairs of each text with the first of its bucket (in another order each turn), where they are of two components."""
-    place = F.struct(F.xxhash64("band", "u", F.lit(turn)).alias("o"), "u", "comp")
+    """Pairs of each text with the firsts of its buckets (in another order each turn), where they are of two components:
+    the LEADERS that it shares most buckets with."""
+    order = F.xxhash64("band", "u", F.lit(turn))
+    if turn == 1:  # the text with the fewest shingles of its own is the likeliest to be near many
+        order = F.struct(F.col("size") - F.col("common"), order)
+    place = F.struct(order.alias("o"), "u", "comp")
     firsts = rows.groupBy("band").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
     firsts = stored(firsts.select("band", F.col("first.u").alias("f"), F.col("first.comp").alias("f_comp"), "n"), "minhash-firsts")
     met = join_counted(rows, firsts, ["band"], "n", total).filter("comp <> f_comp")
-    return met.select(F.least("u", "f").alias("a"), F.greatest("u", "f").alias("b")).distinct()
+    shared = met.groupBy("u", "f").agg(F.count(F.lit(1)).alias("n"))
+    most = F.slice(F.sort_array(F.collect_list(F.struct("n", "f")), asc=False), 1, LEADERS)  # of one for each band at most
+    best = shared.groupBy("u").agg(most.alias("most")).select("u", F.explode("most.f").alias("f"))
+    return best.select(F.least("u", "f").alias("a"), F.greatest("u", "f").alias("b")).distinct()
 
 
 def _all_open(rows: DataFrame) -> DataFrame:
@@ -272,7 +285,11 @@ def linked(docs: DataFrame, units: DataFrame) -> DataFrame:
     buckets = units.select("u", F.posexplode("sig").alias("place", "part")).select("u", F.xxhash64("place", "part").alias("band"))
     shared = stored(buckets.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "minhash-shared")
     total = shared.agg(F.sum("n")).first()[0] or 0
-    members = stored(join_counted(buckets, shared, ["band"], "n", total).select("u", "band"), "minhash-members")
+    if shared.count() <= BROADCAST_ROWS:
+        met = buckets.join(F.broadcast(shared.select("band")), "band", "left_semi")
+    else:
+        met = join_counted(buckets, shared, ["band"], "n", total)
+    members = stored(met.select("u", "band"), "minhash-members")
     paired = stored(units.select("u", "k_id", "k_text", "sig").join(members, "u", "left_semi"), "minhash-paired")
     shingles = stored(shingles_of(docs, paired), "minhash-shingles")
 
@@ -288,8 +305,7 @@ def linked(docs: DataFrame, units: DataFrame) -> DataFrame:
         new = stored(near(agreeing(pairs, paired), shingles), "minhash-links")
         joined = new.count()
         if joined:
-            known = comps.filter("u <> comp").select(F.col("comp").alias("a"), F.col("u").alias("b"))
-            comps = stored(components(known.union(new) if turn else new), "minhash-components")
+            comps = stored(_merged(comps, new) if turn else components(new), "minhash-components")
         if last:
             break
         if not turn:
@@ -303,6 +319,16 @@ def linked(docs: DataFrame, units: DataFrame) -> DataFrame:
     return comps
 
 
+def _merged(comps: DataFrame, new: DataFrame) -> DataFrame:
+    """The components (u, comp) with those joined that the new links (a, b) connect."""
+    side = lambda name: comps.select(F.col("u").alias(name), F.col("comp").alias(f"comp_{name}"))
+    between = new.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    between = between.select(F.coalesce("comp_a", "a").alias("a"), F.coalesce("comp_b", "b").alias("b"))
+    step = stored(components(between), "minhash-step")
+    moved = comps.join(step.select(F.col("u").alias("comp"), F.col("comp").alias("to")), "comp", "left")
+    return moved.select("u", F.coalesce("to", "comp").alias("comp")).unionByName(step.join(comps, "u", "left_anti"))
+
+
 def _with_components(rows: DataFrame, comps: DataFrame) -> DataFrame:
     return rows.join(comps, "u", "left").withColumn("comp", F.coalesce("comp", "u"))
 
