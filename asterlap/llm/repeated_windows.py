@@ -5,7 +5,8 @@ fall into, for each row of the sketch, sorted and differenced, so a chunk's sket
 window and row however wide the whole sketch is. Slices of the sketch (ranges of cells) are merged on their own: a cell
 counts as repeated if several chunks hit it, or one of them twice. Each chunk gets back which of its cells are repeated.
 A count can only be too high, so no repeated window is lost. In the second pass, only windows whose cells are repeated
-in every row are grouped exactly, by a 128-bit hash; a chunk sends each of them once, so no window is a hot key. The
+in every row are grouped exactly, by a 128-bit hash; a chunk sends each of them once, so no window is a hot key, and
+ranges of hashes are grouped on their own. The
 third pass removes the words that truly repeated windows cover. The sketch is as wide as the corpus needs and no part
 of it is broadcast: what a chunk needs is read from the shared folder.
 
@@ -89,15 +90,16 @@ def cells(pairs: np.ndarray, row: int, bits: int) -> np.ndarray:
     return (mixed * np.uint64(MIXERS[-1 - row])) >> np.uint64(64 - bits)
 
 
-def pack(offsets: np.ndarray) -> bytes:
-    """Sorted numbers below 2**32 as differences, compressed byte plane by byte plane."""
-    steps = np.diff(offsets, prepend=np.uint32(0)).astype("<u4")
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 4).T).tobytes())
+def pack(ordered: np.ndarray) -> bytes:
+    """Sorted numbers of 32 or 64 bits as differences, compressed byte plane by byte plane."""
+    steps = np.diff(ordered, prepend=ordered.dtype.type(0))
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, ordered.itemsize).T).tobytes())
 
 
-def unpack(packed: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(4, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.uint32)
+def unpack(packed: bytes, kind=np.uint32) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(size, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(kind).ravel(), dtype=kind)
 
 
 def _at_most_twice(ordered: np.ndarray) -> np.ndarray:
@@ -170,7 +172,8 @@ def member(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
 
 
 def candidates(chunks: DataFrame, replies: str, size: int, bits: int) -> DataFrame:
-    """(k1, k2, chunk, n): once for each chunk, the windows estimated repeated; n is 1, or 2 if the chunk has several."""
+    """(part, chunk, k1, k2, several): once for each chunk, the windows estimated repeated, by ranges of the first half of
+    their hash: the first halves packed, the second halves, and whether the chunk has the window several times."""
     slice_bits = min(bits, SLICE_BITS)
     slices = 1 << (bits - slice_bits)
 
@@ -183,38 +186,66 @@ def candidates(chunks: DataFrame, replies: str, size: int, bits: int) -> DataFra
                 row, s = divmod(part, slices)
                 rows[row].append(unpack(packed).astype(np.uint64) + np.uint64(s << slice_bits))
             flagged = [np.concatenate(r) for r in rows]
+            found = []
             for p in pieces:
                 pairs = batch_windows(_texts(p), size, hashes)[3]
                 for row in range(ROWS):
                     pairs = pairs[member(cells(pairs, row, bits), flagged[row])]
-                keys, counts = np.unique(pairs.view([("a", "<u8"), ("b", "<u8")]).ravel(), return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(keys["a"].view(np.int64)), pa.array(keys["b"].view(np.int64)),
-                        pa.array(np.full(len(keys), chunk)), pa.array(np.minimum(counts, 2)),
-                    ],
-                    names=["k1", "k2", "chunk", "n"],
-                )
+                found.append(pairs)
+            k1, k2, n = counted(*np.concatenate(found).T)
+            cuts = np.searchsorted(k1 >> np.uint64(64 - slices.bit_length()), np.arange(2 * slices + 1))
+            out = [(s, chunk, pack(k1[i:j]), k2[i:j].tobytes(), (n[i:j] > 1).tobytes()) for s, (i, j) in enumerate(zip(cuts.tolist(), cuts[1:].tolist())) if i < j]
+            columns = list(zip(*out)) or [()] * 5
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["part", "chunk", "k1", "k2", "several"])
 
-    return chunks.mapInArrow(make, "k1 long, k2 long, chunk long, n long")
+    return chunks.mapInArrow(make, "part long, chunk long, k1 binary, k2 binary, several binary")
+
+
+def counted(k1: np.ndarray, k2: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs in order, with their number (or the sum of their ``n``)."""
+    order = np.lexsort((k2, k1))
+    k1, k2 = k1[order], k2[order]
+    first = np.ones(len(k1), bool)
+    first[1:] = (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])
+    number = np.bincount(np.cumsum(first) - 1, None if n is None else n[order], first.sum()).astype(np.int64)
+    return k1[first], k2[first], number
 
 
 def repeated(windows: DataFrame) -> DataFrame:
-    """(chunk, k1, k2) of the windows that occur twice or more in all."""
-    grouped = windows.groupBy("k1", "k2").agg(F.sum("n").alias("n"), F.collect_set("chunk").alias("chunks"))
-    return grouped.filter("n > 1").select(F.explode("chunks").alias("chunk"), "k1", "k2")
+    """(chunk, k1, k2): those of the chunks' windows that occur twice or more in all. The exact grouping: a range of
+    hashes, with each chunk's windows once, is one task's group, of a size that the number of ranges bounds. To know its
+    own windows again, a chunk needs 80 bits of their hashes."""
+
+    def group(key: tuple[pa.Scalar, ...], part: pa.Table) -> pa.Table:
+        rows = [
+            (chunk, unpack(k1, np.uint64), np.frombuffer(k2, np.uint64), np.frombuffer(several, bool))
+            for chunk, k1, k2, several in zip(*(part.column(c).to_pylist() for c in ("chunk", "k1", "k2", "several")))
+        ]
+        all1, all2, more = (np.concatenate([r[i] for r in rows]) for i in (1, 2, 3))
+        k1, k2, n = counted(all1, all2, 1 + more.astype(np.int64))
+        k1, k2 = k1[n > 1], k2[n > 1]
+        out = []
+        for chunk, own1, own2, _ in rows:
+            hit = pairs_among(own1, own2, k1, k2)
+            if hit.any():
+                out.append((chunk, pack(own1[hit]), own2[hit].astype(np.uint16).tobytes()))
+        columns = list(zip(*out)) or [()] * 3
+        return pa.table({c: pa.array(v, k) for c, v, k in zip(("chunk", "k1", "k2"), columns, (pa.int64(), pa.binary(), pa.binary()))})
+
+    return windows.groupBy("part").applyInArrow(group, "chunk long, k1 binary, k2 binary")
 
 
-def _pairs_among(pairs: np.ndarray, k1: np.ndarray, k2: np.ndarray) -> np.ndarray:
-    """Which pairs are among (k1, k2), ordered by k1."""
-    found = np.zeros(len(pairs), bool)
-    maybe = np.flatnonzero(member(pairs[:, 0], k1))
-    places = np.searchsorted(k1, pairs[maybe, 0])
+def pairs_among(one: np.ndarray, two: np.ndarray, k1: np.ndarray, k2: np.ndarray) -> np.ndarray:
+    """Which pairs (one, two) are among (k1, k2), ordered by k1."""
+    found = np.zeros(len(one), bool)
+    maybe = np.flatnonzero(member(one, k1))
+    places = np.searchsorted(k1, one[maybe])
     while len(maybe):
-        found[maybe] |= k2[places] == pairs[maybe, 1]
+        found[maybe] |= k2[places] == two[maybe]
         places += 1
         more = places < len(k1)
-        more[more] = k1[places[more]] == pairs[maybe[more], 0]
+        more[more] = k1[places[more]] == one[maybe[more]]
         maybe, places = maybe[more], places[more]
     return found
 
@@ -237,14 +268,15 @@ def _removal(chunks: DataFrame, truth: str, size: int, make_row: Callable, schem
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for chunk, pieces in by_chunk(batches):
-            got = read_partition(truth, "chunk", chunk, {"k1": pa.int64(), "k2": pa.int64()})
-            k1, k2 = (got[c].to_numpy().view(np.uint64) for c in ("k1", "k2"))
+            got = read_partition(truth, "chunk", chunk, {"k1": pa.binary(), "k2": pa.binary()})
+            k1 = np.concatenate([np.empty(0, np.uint64), *(unpack(k, np.uint64) for k in got["k1"].to_pylist())])
+            k2 = np.frombuffer(b"".join(got["k2"].to_pylist()), np.uint16).astype(np.uint64)
             order = np.argsort(k1)
             k1, k2 = k1[order], k2[order]
             for p in pieces:
                 texts = _texts(p)
                 words, firsts, starts, pairs = batch_windows(texts, size, hashes)
-                hit = starts[_pairs_among(pairs, k1, k2)]
+                hit = starts[pairs_among(pairs[:, 0], pairs[:, 1] & np.uint64(0xFFFF), k1, k2)]
                 edge = np.zeros(sum(map(len, words)) + 1, np.int64)
                 np.add.at(edge, hit, 1)
                 np.add.at(edge, hit + size, -1)
