@@ -1,46 +1,63 @@
 """Token IDs of whole texts by the tokenizers library, with the pieces of text that recur encoded once.
 
 A text is cut only where the tokenizer's own splitting always ends a piece, so IDs joined piece by piece are those of
-the whole text; pieces seen before come from a bounded memory.
+the whole text; pieces seen before come from a bounded memory. ``words`` is for tokenizers that drop white space and
+case, ``spaced_words`` for byte-level ones.
 """
 
 import os
 import re
 from collections.abc import Callable
 from functools import lru_cache
+from itertools import accumulate, chain
 
+import numpy as np
+
+# Where texts are cut. White space is ASCII white space; marks are ASCII punctuation.
+_SPACE, _MARK = r" \t-\r", r"!-/:-@\[-`{-~"
 #: Words without white space, for a tokenizer that drops white space; a cut at ASCII white space is always safe.
-WORD = re.compile(r"[^ \t-\r]+")
+WORD = re.compile(f"[^{_SPACE}]+")
 #: ASCII white space and the word behind it, for a byte-level tokenizer; safe where the text has no other white space.
-SPACED = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
+SPACED = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 OTHER_SPACE = re.compile("[%s]" % "".join(map(chr, [*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])))
-#: Texts are encoded as they are, not cut, if a piece is longer than this.
+#: Texts of ASCII and Latin letters alone are also cut between a letter or digit and the marks behind it, where both
+#: tokenizers' patterns always end a piece; what follows the marks stays with them, for the sake of contractions.
+UNUSUAL = re.compile("[^\t-\r -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]")
+PLAIN_WORD = re.compile(f"[^{_SPACE}{_MARK}]+|[{_MARK}]+[^{_SPACE}{_MARK}]*")
+PLAIN_SPACED = re.compile(f"[{_SPACE}]*(?:[^{_SPACE}{_MARK}]+|[{_MARK}]+[^{_SPACE}{_MARK}]*)|[{_SPACE}]+")
+LETTERS = re.compile(" ?[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+#: Longer pieces aren't remembered.
 LONG_PIECE = 400
 
 
 class Tokens(dict):
     """IDs of texts as bytes, little-endian, four to an ID."""
 
-    def __init__(self, path: str, pieces: Callable[[str], list[str]], limit: int = 600_000):
+    def __init__(self, path: str, pieces: Callable[[str], list[str]], limit: int = 1_000_000):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer, self.bare = (Tokenizer.from_file(path) for _ in range(2))
+        self.tokenizer.encode_special_tokens = self.bare.encode_special_tokens = True
+        # A word of lower-case letters, with a blank before it or not, needs neither normalising nor splitting.
+        self.bare.normalizer = normalizers.Sequence([])
+        self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.pieces, self.limit = pieces, limit
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
-
         if len(self) > self.limit:
             self.clear()
         cut = [self.pieces(t) for t in texts]
-        new = list(set().union(*cut).difference(self)) if cut else []
-        for i in range(0, len(new), 10_000):
-            some = new[i : i + 10_000]
-            for piece, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self[piece] = np.array(found.ids, "<u4").tobytes()
+        new = list(set(chain.from_iterable(cut)).difference(self))
+        plain = [p for p in new if LETTERS.fullmatch(p)]
+        for tokenizer, some in ((self.bare, plain), (self.tokenizer, list(set(new).difference(plain)))):
+            for i in range(0, len(some), 10_000):
+                part = some[i : i + 10_000]
+                found = [e.ids for e in tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+                ids = np.fromiter(chain.from_iterable(found), "<u4").tobytes()
+                ends = [4 * n for n in accumulate(map(len, found))]
+                self.update(zip(part, (ids[i:j] for i, j in zip([0, *ends], ends))))
         out = [b"".join(map(self.__getitem__, ps)) for ps in cut]
         for piece in new:
             if len(piece) > LONG_PIECE:
@@ -49,10 +66,12 @@ class Tokens(dict):
 
 
 def words(text: str) -> list[str]:
-    return WORD.findall(text)
+    return WORD.findall(text) if UNUSUAL.search(text) else PLAIN_WORD.findall(text.lower())
 
 
 def spaced_words(text: str) -> list[str]:
+    if not UNUSUAL.search(text):
+        return PLAIN_SPACED.findall(text)
     return [text] if OTHER_SPACE.search(text) else SPACED.findall(text)
 
 

@@ -43,9 +43,10 @@ def test_records_come_back_in_any_order(spark, documents, tmp_path):
     index = T.write_records(documents(rows).repartition(3), path, WORD)
     ids = dict(zip([i for i, _ in rows], reference(WORD, [t for _, t in rows])))
     start = 0
+    sums = {r.doc_id: r.ids_crc32 for r in T.read_checksums(index, path).collect()}
     for r in sorted(T.read_records(index.orderBy("size"), path).collect()):
         own = np.frombuffer(r.ids, "<u4").tolist()
-        assert own == ids[r.doc_id] + [1] and r.start == start
+        assert own == ids[r.doc_id] + [1] and (r.start, r.n_tokens) == (start, len(own)) and sums[r.doc_id] == zlib.crc32(r.ids)
         start += len(own)
     assert T.read_records(index.filter("doc_id in (3, 77)"), path).count() == 2
 
