@@ -2,8 +2,12 @@
 
 Normalised lines are hashed; for each host, the distinct documents that have a line are counted; lines above the limit
 are removed; a document that this leaves depleted is rejected. Copies are not evidence of boilerplate: a document is
-known here by the least hash among its *other* lines, so exact copies count once and near copies seldom more often,
-while a line that different documents share is counted for each of them. Only DataFrame functions are used.
+known by all its normalised lines, and near copies (a Jaccard similarity of at least 0.8 of their shingles of five words)
+count once, while a line that different documents share is counted for each of them, however many lines they share.
+First, lines are counted over distinct texts, which are never fewer; only documents that hold a line above the limit are
+then held against each other: by sketches of their least shingle hashes, exact for texts of fewer shingles than a sketch
+has, in buckets of a band of it, each against the bucket's first, so a large group doesn't become all its pairs. Links
+become components. Only DataFrame functions are used.
 
 Defined cases: a null text is empty, has no words and fails; null hosts are one host; null IDs are kept as they are;
 every row is judged on its own, repeated rows included (as copies they count once); an empty table gives no rows;
@@ -14,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import SPACE, SPACE_CLASS, document_key, join_counted, let, stored, table, text_of
+from .components import components
 
 MIN_WORDS = 20
 WINDOW = 8
@@ -22,6 +27,12 @@ MAX_REPEATED_PERCENT = 30
 MAX_DOCUMENTS = 20
 MIN_KEPT_PERCENT = 30
 SYMBOLS = "[#*$%&|<>]"
+SHINGLE = 5
+SIMILARITY = 0.8
+#: Shingle hashes of a sketch; at most. A similarity of 0.8 between longer texts is known to 0.035 (standard deviation).
+SKETCH = 128
+#: A band is the two least hashes of a residue class, so a pair at 0.8 shares no bucket with a chance of 0.36**16.
+BANDS = 16
 
 
 def words(text: Column) -> Column:
@@ -55,16 +66,36 @@ def repeated_words(word_list: Column, window: int = WINDOW) -> Column:
     return let(word_list, of)
 
 
+def sketch(word_list: Column) -> Column:
+    """The least hashes of a text's shingles, ascending, each once; fewer words are one shingle."""
+
+    def of(ws: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(ws) - SHINGLE + 1, F.lit(1)))
+        return F.slice(F.sort_array(F.array_distinct(F.transform(starts, lambda i: F.hash(F.slice(ws, i, SHINGLE))))), 1, SKETCH)
+
+    return let(word_list, of)
+
+
+def likeness(a: Column, b: Column) -> Column:
+    """The Jaccard similarity that two sketches show."""
+    union = F.array_union(a, b)
+    whole = (F.size(a) < SKETCH) & (F.size(b) < SKETCH)
+    least = F.when(whole, union).otherwise(F.slice(F.sort_array(union), 1, SKETCH))
+    return let(least, lambda u: F.size(F.array_intersect(F.array_intersect(a, b), u)) / F.size(u))
+
+
 def normal_line(line: Column) -> Column:
     """Lower case, white space as single blanks."""
     return F.trim(F.regexp_replace(F.lower(line), SPACE_CLASS + "+", " "))
 
 
 def profiles(docs: DataFrame) -> DataFrame:
-    """A row per document: its measures, its host, and the hash and number of words of every line with a word."""
+    """A row per document: its measures, its host, the hash and number of words of every line with a word, its sketch, and
+    ``doc``, which rows of a host share whose lines are equal."""
     text = text_of(docs)
     split = docs.select(
         "doc_id", *document_key(docs), text.alias("t"), F.coalesce(docs["source"], F.lit("")).alias("host"), words(text).alias("ws"),
+        words(F.lower(text)).alias("lower"),
         F.filter(F.split(text, "\n"), lambda x: x.rlike("[^ \\t\\n\\x0B\\f\\r]")).alias("ls"),
     )
     line = lambda x: let(normal_line(x), lambda n: F.struct(F.substring(F.md5(n), 1, 16).alias("h"), F.size(F.split(n, " ")).alias("w")))
@@ -74,30 +105,35 @@ def profiles(docs: DataFrame) -> DataFrame:
         F.regexp_count("t", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         (F.size("ls") - F.size(F.array_distinct("ls"))).cast("long").alias("n_dup_lines"),
         repeated_words(F.col("ws")).cast("long").alias("n_repeat_words"),
-        F.transform("ls", line).alias("lines"),
+        F.transform("ls", line).alias("lines"), sketch(F.col("lower")).alias("sketch"),
     )
-    least = F.array_sort(F.array_distinct(F.transform("lines", lambda x: x["h"])))
-    return measured.withColumn("least", F.slice(least, 1, 2))
-
-
-def frequent_lines(lines: DataFrame, limit: int = MAX_DOCUMENTS) -> DataFrame:
-    """host, h, occurrences of the lines (host, h, other) that more than ``limit`` different documents of a host have."""
-    documents = lines.groupBy("host", "h", "other").agg(F.count(F.lit(1)).alias("n"))
+    return measured.withColumn("doc", F.xxhash64("host", F.transform("lines", lambda x: x["h"])))
+
+
+def near_copies(documents: DataFrame) -> DataFrame:
+    """(doc, same) of the documents (doc, host, sketch; stored) that have near copies in their host: ``same`` is equal for
+    all that links join."""
+    own = lambda b: F.filter("sketch", lambda v: F.pmod(v, F.lit(BANDS)) == b)
+    bucket = lambda b: let(own(b), lambda hs: F.when(F.size(hs) > 0, F.xxhash64("host", b, F.slice(hs, 1, 2))))
+    buckets = F.array_compact(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), bucket))
+    placed = stored(documents.select("doc", F.explode(buckets).alias("bucket")), "quality-buckets")
+    shared = placed.groupBy("bucket").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    pairs = join_counted(placed, stored(shared, "quality-firsts"), ["bucket"], "n", placed.count())
+    pairs = stored(pairs.filter("doc <> first").select("doc", "first").distinct(), "quality-pairs")
+    firsts = pairs.groupBy("first").agg(F.count(F.lit(1)).alias("n")).join(documents.select(F.col("doc").alias("first"), F.col("sketch").alias("other")), "first")
+    both = join_counted(pairs, stored(firsts, "quality-sketches"), ["first"], "n", pairs.count()).join(documents.select("doc", "sketch"), "doc")
+    links = both.filter(likeness(F.col("sketch"), F.col("other")) >= SIMILARITY)
+    return components(links.select(F.col("doc").alias("a"), F.col("first").alias("b"))).select(F.col("u").alias("doc"), F.col("comp").alias("same"))
+
+
+def _above(documents: DataFrame, limit: int) -> DataFrame:
+    """host, h, occurrences of the lines (host, h, document, n) that more than ``limit`` documents of a host have."""
     counted = documents.groupBy("host", "h").agg(F.count(F.lit(1)).alias("documents"), F.sum("n").alias("occurrences"))
     return counted.filter(F.col("documents") > limit).select("host", "h", "occurrences")
 
 
-def _tables(docs: DataFrame, limit: int) -> tuple[DataFrame, DataFrame, int]:
-    """Stored profiles, stored frequent lines, and how many lines there are."""
-    rows = stored(profiles(docs), "quality-profiles")
-    total = rows.agg(F.sum(F.size("lines"))).first()[0] or 0
-    return rows, stored(frequent_lines(_lines(rows), limit), "quality-lines"), total
-
-
 def _lines(rows: DataFrame) -> DataFrame:
-    line = rows.select("row", "host", "least", F.explode("lines").alias("l")).select("row", "host", "least", "l.h", "l.w")
-    other = F.when(F.col("h") != F.col("least")[0], F.col("least")[0]).otherwise(F.coalesce(F.get("least", F.lit(1)), F.col("h")))
-    return line.select("row", "host", "h", "w", other.alias("other"))
+    return rows.select("row", "host", "doc", F.explode("lines").alias("l")).select("row", "host", "doc", "l.h", "l.w")
 
 
 def _verdict(rows: DataFrame, removed: DataFrame) -> DataFrame:
@@ -112,15 +148,23 @@ def _verdict(rows: DataFrame, removed: DataFrame) -> DataFrame:
 
 def _taken(docs: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
     """Stored profiles, and their lines above the limit."""
-    rows, frequent, total = _tables(docs, limit)
-    return rows, join_counted(_lines(rows), frequent, ["host", "h"], "occurrences", total)
+    rows = stored(profiles(docs), "quality-profiles")
+    total = rows.agg(F.sum(F.size("lines"))).first()[0] or 0
+    by = lambda lines, document: lines.groupBy("host", "h", document).agg(F.count(F.lit(1)).alias("n"))
+    often = stored(_above(by(_lines(rows), "doc"), limit), "quality-often")
+    lines = stored(join_counted(_lines(rows), often, ["host", "h"], "occurrences", total).drop("occurrences"), "quality-lines")
+    one = lines.groupBy("doc").agg(F.min("row").alias("row"))
+    documents = stored(rows.select("row", "host", "sketch").join(one, "row").drop("row"), "quality-documents")
+    known = by(lines, "doc").join(near_copies(documents), "doc", "left").groupBy("host", "h", F.coalesce("same", "doc").alias("document"))
+    frequent = stored(_above(known.agg(F.sum("n").alias("n")), limit), "quality-frequent")
+    return rows, join_counted(lines, frequent, ["host", "h"], "occurrences", total)
 
 
 def judge(docs: DataFrame, limit: int = MAX_DOCUMENTS) -> DataFrame:
     """Each row's measures, the words that the removal of lines takes (n_line_words), and the verdict."""
     rows, taken = _taken(docs, limit)
     removed = taken.groupBy("row").agg(F.sum("w").alias("n_line_words"))
-    return _verdict(rows, removed).drop("row", "k_id", "k_text", "host", "lines", "least")
+    return _verdict(rows, removed).drop("row", "k_id", "k_text", "host", "lines", "sketch", "doc")
 
 
 def clean(docs: DataFrame, limit: int = MAX_DOCUMENTS) -> DataFrame:

@@ -61,3 +61,16 @@ def test_odd_rows(odd, documents):
     assert len(got) == len(rows)
     assert Q.clean(df).columns == df.columns
     assert Q.judge(documents([])).count() == 0 and Q.clean(documents([])).count() == 0
+
+
+def test_documents_that_share_several_lines_are_distinct(documents):
+    shared = [f"{prose(k, 8)}" for k in range(3)]
+    rows = [(i, "\n".join([*shared[: 1 + i % 3], prose(100 + i, 5), prose(600 + i, 60)])) for i in range(23)]
+    depleted = [(100 + i, "\n".join([prose(3, 40), prose(4, 40), prose(700 + i, 25)]), "t") for i in range(25)]
+    near = [(200 + i, "\n".join([prose(5, 60), prose(6, 60), prose(800 + i, 2)]), "u") for i in range(400)]
+    again = [(i + 1000, text.upper().replace("\n", " \n\n"), *host) for i, text, *host in rows + depleted + near]
+    got = {r.doc_id: r for r in Q.judge(documents(rows + depleted + near + again)).collect()}
+    assert all(got[i].n_line_words == got[i + 1000].n_line_words == 8 for i in range(23) if i % 3 == 0), "in 23 documents"
+    assert all(got[i].n_line_words == 8 for i in range(23)), "the other lines are in fewer"
+    assert all(got[100 + i].n_line_words == 80 and not got[100 + i].kept and not got[1100 + i].kept for i in range(25))
+    assert all(got[200 + i].kept and not got[200 + i].n_line_words for i in range(400)), "near copies are one document"
