@@ -1,7 +1,7 @@
 """Token IDs of whole texts by the tokenizers library, with the pieces of text that recur encoded once.
 
 A text is cut only where the tokenizer's own splitting always ends a piece, so IDs joined piece by piece are those of
-the whole text; pieces seen before come from a bounded memory. ``words`` is for tokenizers that drop white space and
+the whole text; pieces seen before come from a bounded memory. A text that may hold an added token is encoded whole. ``words`` is for tokenizers that drop white space and
 case, ``spaced_words`` for byte-level ones.
 """
 
@@ -33,13 +33,16 @@ LONG_PIECE = 400
 class Tokens(dict):
     """IDs of texts as bytes, little-endian, four to an ID."""
 
-    def __init__(self, path: str, pieces: Callable[[str], list[str]], limit: int = 1_000_000):
+    def __init__(self, path: str, pieces: Callable[[str], list[str]], limit: int = 1_000_000, added_as_text: bool = True):
+        """``added_as_text``: the marks of special tokens are ordinary text; the library's default is that they aren't."""
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer, self.bare = (Tokenizer.from_file(path) for _ in range(2))
-        self.tokenizer.encode_special_tokens = self.bare.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = self.bare.encode_special_tokens = added_as_text
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [t.content.lower() for t in added if not (added_as_text and t.special)]
         # A word of lower-case letters, with a blank before it or not, needs neither normalising nor splitting.
         self.bare.normalizer = normalizers.Sequence([])
         self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
@@ -48,7 +51,7 @@ class Tokens(dict):
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self) > self.limit:
             self.clear()
-        cut = [self.pieces(t) for t in texts]
+        cut = [[t] if self.has_added(t) else self.pieces(t) for t in texts]
         new = list(set(chain.from_iterable(cut)).difference(self))
         plain = [p for p in new if LETTERS.fullmatch(p)]
         for tokenizer, some in ((self.bare, plain), (self.tokenizer, list(set(new).difference(plain)))):
@@ -64,6 +67,10 @@ class Tokens(dict):
                 del self[piece]
         return out
 
+    def has_added(self, text: str) -> bool:
+        """Whether an added token may be in the text, in whatever case."""
+        return bool(self.added) and any(t in text or t in text.lower() for t in self.added)
+
 
 def words(text: str) -> list[str]:
     return WORD.findall(text) if UNUSUAL.search(text) else PLAIN_WORD.findall(text.lower())
@@ -77,5 +84,5 @@ def spaced_words(text: str) -> list[str]:
 
 @lru_cache(maxsize=2)
 def worker_tokens(path: str, pieces: Callable[[str], list[str]]) -> Tokens:
-    """One for all tasks of a Python worker."""
-    return Tokens(path, pieces)
+    """One for all tasks of a Python worker, with the library's defaults."""
+    return Tokens(path, pieces, added_as_text=False)

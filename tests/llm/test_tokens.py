@@ -10,7 +10,7 @@ from tokenizers import Tokenizer
 from asterlap.llm import packing as K
 from asterlap.llm import token_counts as C
 from asterlap.llm import token_records as T
-from asterlap.llm.tokens import Tokens, spaced_words, words
+from asterlap.llm.tokens import Tokens, spaced_words, worker_tokens, words
 
 WORD, BYTE = (public_tokenizers.path(f) for f in (T.VOCABULARY, K.VOCABULARY))
 
@@ -157,3 +157,15 @@ def test_piece_counts_of_documents(odd, documents):
     split = [(r[1] or "").lower().encode().split() for r in rows]
     assert got == sorted((str(r[0]), len(ws), sum(max(1, count(w)) for w in ws), sum(not count(w) for w in ws)) for r, ws in zip(rows, split))
     assert C.counts(documents([]), WORD).count() == 0
+
+
+def test_ids_are_those_of_the_library_with_its_defaults(documents, tmp_path):
+    texts = strange(1500) + ["a <|endoftext|> b", "A <|EndOfText|>b", "<|startoftext|>", "x" * 500 + "<|endoftext|>", " <|endoftext|> \n\n<|endoftext|>"]
+    for path, pieces in ((WORD, words), (BYTE, spaced_words)):
+        expected = [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+        assert [np.frombuffer(b, "<u4").tolist() for b in worker_tokens(path, pieces).encode(texts)] == expected
+    rows = [(i, t) for i, t in enumerate(texts[-5:])]
+    index = T.write_records(documents(rows), f"file://{tmp_path}/added", WORD)
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in T.read_records(index, f"file://{tmp_path}/added").collect()}
+    assert got[0] == [320, 49407, 321, 1]
+    assert sum(r.length for r in K.pack(documents(rows[:1]), BYTE).collect()) == 5
