@@ -51,14 +51,15 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(*document_key(docs), words(text_of(docs)).alias("ws"))
 
 
-def anchors(docs: DataFrame, wins: DataFrame, number: int = ANCHORS) -> DataFrame:
-    """(win, rank, term, off, occurrences): the rarest terms of each window all of whose terms occur in the corpus."""
+def anchors(docs: DataFrame, wins: DataFrame, number: int = ANCHORS, whole: bool = True) -> DataFrame:
+    """(win, rank, term, off, occurrences): the rarest terms of each window that occur in the corpus; with ``whole``, of
+    windows all of whose terms do."""
     placed = stored(wins.select("win", "n", F.posexplode("terms").alias("off", "term")), "index-terms")
     vocabulary = _small(stored(placed.select("term").distinct(), "index-vocabulary"))
     counts = keyed(docs).select(F.explode("ws").alias("term")).join(vocabulary, "term").groupBy("term").agg(F.count(F.lit(1)).alias("occurrences"))
     known = placed.join(stored(counts, "index-counts"), "term")
     by_window = Window.partitionBy("win")
-    ranked = known.withColumn("found", F.count(F.lit(1)).over(by_window)).filter("found = n")
+    ranked = known.withColumn("found", F.count(F.lit(1)).over(by_window)).filter(F.col("found") == F.col("n") if whole else F.lit(True))
     ranked = ranked.withColumn("rank", F.row_number().over(by_window.orderBy("occurrences", "off")))
     return stored(ranked.filter(F.col("rank") <= number).select("win", "rank", "term", "off", "occurrences"), "index-anchors")
 
@@ -96,10 +97,11 @@ def phrases(docs: DataFrame, wins: DataFrame) -> DataFrame:
 
 
 def near(docs: DataFrame, benchmark: DataFrame, slop: int = 20, size: int = WINDOW) -> DataFrame:
-    """(k_id, k_text, item_id, win, distance): windows whose two rarest terms come within ``slop`` words of each other
-    in a document, in any order, with the least distance. Places meet in stretches of ``slop`` words, not all pairs."""
+    """(k_id, k_text, item_id, win, distance): windows whose two rarest terms, of those that occur in the corpus, come
+    within ``slop`` words of each other in a document, in any order, with the least distance; the other terms needn't be
+    there, and a window of which one term at most occurs is near nothing. Places meet in stretches of ``slop`` words."""
     wins, items = windows(benchmark, size)
-    chosen = anchors(docs, wins, 2)
+    chosen = anchors(docs, wins, 2, whole=False)
     index = postings(docs, chosen.select("term").distinct())
     at = lambda rank, pos: index.join(chosen.filter(F.col("rank") == rank).select("win", "term", "off"), "term").select("win", "k_id", "k_text", F.col("pos").alias(pos))
     stretch = F.floor(F.col("p") / slop)

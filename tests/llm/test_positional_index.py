@@ -79,3 +79,11 @@ def test_odd_rows(spark, odd, documents):
     assert P.clean(df, benchmark(spark, items)).columns == df.columns
     assert result(P.judge(df, benchmark(spark, []))) == expected(rows, [])
     assert P.judge(documents([]), benchmark(spark, items)).count() == 0 and P.clean(documents([]), benchmark(spark, items)).count() == 0
+
+
+def test_proximity_of_items_with_words_the_corpus_lacks(spark, documents):
+    items = [(1, "alpha missing omega common common"), (2, "alpha missing"), (3, "missing absent")]
+    docs = [(1, "omega " + "common " * 5 + "alpha"), (2, "alpha " + "common " * 40 + "omega")]
+    got = P.near(documents(docs), benchmark(spark, items), slop=20).select("k_id", "item_id", "distance").collect()
+    assert [tuple(r) for r in got] == [(1, 1, 6)]
+    assert P.phrases(documents(docs), P.windows(benchmark(spark, items))[0]).count() == 0
