@@ -38,7 +38,7 @@ RUNS = (
 
 def features(word: bytes) -> tuple[bytes, bytes]:
     """A word in lower case, and its shape."""
-    shape = word[:64]
+    shape = word
     for pattern, sign in RUNS:
         shape = pattern.sub(sign, shape)
     return word.lower(), shape

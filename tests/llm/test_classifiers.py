@@ -98,3 +98,7 @@ def test_held_out_accuracy_of_the_queries(spark, name, label, least):
     labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
     got = QUERIES[name](spark, FOLDER).join(labels, "doc_id").filter("held_out").selectExpr(f"avg(int(predicted = {label}))").first()
     assert got[0] > least
+
+
+def test_shapes_are_those_of_whole_words():
+    assert Q.features(b"x" * 64 + b"9A!!!") == (b"x" * 64 + b"9a!!!", b"a0A!!")
