@@ -33,6 +33,8 @@ SIMILARITY = 0.8
 SKETCH = 128
 #: A band is the two least hashes of a residue class, so a pair at 0.8 shares no bucket with a chance of 0.36**16.
 BANDS = 16
+#: Keys of documents, 16 bytes each, are broadcast up to this number of rows and shuffled beyond it.
+BROADCAST_ROWS = 1_000_000
 
 
 def words(text: Column) -> Column:
@@ -67,13 +69,13 @@ def repeated_words(word_list: Column, window: int = WINDOW) -> Column:
 
 
 def sketch(word_list: Column) -> Column:
-    """The least hashes of a text's shingles, ascending, each once; fewer words are one shingle."""
+    """The least hashes of a text's shingles in lower case, ascending, each once; fewer words are one shingle."""
 
-    def of(ws: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.size(ws) - SHINGLE + 1, F.lit(1)))
-        return F.slice(F.sort_array(F.array_distinct(F.transform(starts, lambda i: F.hash(F.slice(ws, i, SHINGLE))))), 1, SKETCH)
+    def of(hs: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(hs) - SHINGLE + 1, F.lit(1)))
+        return F.slice(F.sort_array(F.array_distinct(F.transform(starts, lambda i: F.hash(F.slice(hs, i, SHINGLE))))), 1, SKETCH)
 
-    return let(word_list, of)
+    return let(F.transform(word_list, lambda w: F.xxhash64(F.lower(w))), of)
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -95,7 +97,6 @@ def profiles(docs: DataFrame) -> DataFrame:
     text = text_of(docs)
     split = docs.select(
         "doc_id", *document_key(docs), text.alias("t"), F.coalesce(docs["source"], F.lit("")).alias("host"), words(text).alias("ws"),
-        words(F.lower(text)).alias("lower"),
         F.filter(F.split(text, "\n"), lambda x: x.rlike("[^ \\t\\n\\x0B\\f\\r]")).alias("ls"),
     )
     line = lambda x: let(normal_line(x), lambda n: F.struct(F.substring(F.md5(n), 1, 16).alias("h"), F.size(F.split(n, " ")).alias("w")))
@@ -105,7 +106,7 @@ def profiles(docs: DataFrame) -> DataFrame:
         F.regexp_count("t", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         (F.size("ls") - F.size(F.array_distinct("ls"))).cast("long").alias("n_dup_lines"),
         repeated_words(F.col("ws")).cast("long").alias("n_repeat_words"),
-        F.transform("ls", line).alias("lines"), sketch(F.col("lower")).alias("sketch"),
+        F.transform("ls", line).alias("lines"), sketch(F.col("ws")).alias("sketch"),
     )
     return measured.withColumn("doc", F.xxhash64("host", F.transform("lines", lambda x: x["h"])))
 
@@ -154,6 +155,8 @@ def _taken(docs: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
     often = stored(_above(by(_lines(rows), "doc"), limit), "quality-often")
     lines = stored(join_counted(_lines(rows), often, ["host", "h"], "occurrences", total).drop("occurrences"), "quality-lines")
     one = lines.groupBy("doc").agg(F.min("row").alias("row"))
+    one = stored(one, "quality-holders")
+    one = F.broadcast(one) if one.count() <= BROADCAST_ROWS else one
     documents = stored(rows.select("row", "host", "sketch").join(one, "row").drop("row"), "quality-documents")
     known = by(lines, "doc").join(near_copies(documents), "doc", "left").groupBy("host", "h", F.coalesce("same", "doc").alias("document"))
     frequent = stored(_above(known.agg(F.sum("n").alias("n")), limit), "quality-frequent")
