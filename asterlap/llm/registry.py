@@ -1,6 +1,7 @@
 """The registered queries of this subpackage and the SQL that some of them are checked against."""
 
 from . import (
+    conversation_repair,
     dart_minhash,
     packing,
     positional_index,
@@ -24,10 +25,12 @@ QUERIES = {
     "op8_packing": packing.op8_packing,
     "op9_quality_ftrl": quality_ftrl.op9_quality_ftrl,
     "op10_token_counts": token_counts.op10_token_counts,
+    "op11_conversation_repair": conversation_repair.op11_conversation_repair,
 }
 SQL = {
     "op1_warc_revisits": warc_revisits.ORACLE_SQL,
     "op5_positional_index": positional_index.ORACLE_SQL,
     "op6_repeated_windows": repeated_windows.ORACLE_SQL,
     "op7_quality_rules": quality_rules.ORACLE_SQL,
+    "op11_conversation_repair": conversation_repair.ORACLE_SQL,
 }
