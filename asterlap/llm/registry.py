@@ -8,6 +8,7 @@ from . import (
     quality_ftrl,
     quality_rules,
     repeated_windows,
+    term_pipeline,
     token_counts,
     token_records,
     toxicity,
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_quality_ftrl": quality_ftrl.op9_quality_ftrl,
     "op10_token_counts": token_counts.op10_token_counts,
     "op11_conversation_repair": conversation_repair.op11_conversation_repair,
+    "op13_term_pipeline": term_pipeline.op13_term_pipeline,
 }
 SQL = {
     "op1_warc_revisits": warc_revisits.ORACLE_SQL,
@@ -33,4 +35,5 @@ SQL = {
     "op6_repeated_windows": repeated_windows.ORACLE_SQL,
     "op7_quality_rules": quality_rules.ORACLE_SQL,
     "op11_conversation_repair": conversation_repair.ORACLE_SQL,
+    "op13_term_pipeline": term_pipeline.ORACLE_SQL,
 }
