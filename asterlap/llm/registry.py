@@ -1,6 +1,7 @@
 """The registered queries of this subpackage and the SQL that some of them are checked against."""
 
 from . import (
+    ball_tree,
     conversation_repair,
     dart_minhash,
     packing,
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_quality_ftrl": quality_ftrl.op9_quality_ftrl,
     "op10_token_counts": token_counts.op10_token_counts,
     "op11_conversation_repair": conversation_repair.op11_conversation_repair,
+    "op12_ball_tree": ball_tree.op12_ball_tree,
     "op13_term_pipeline": term_pipeline.op13_term_pipeline,
 }
 SQL = {
@@ -35,5 +37,6 @@ SQL = {
     "op6_repeated_windows": repeated_windows.ORACLE_SQL,
     "op7_quality_rules": quality_rules.ORACLE_SQL,
     "op11_conversation_repair": conversation_repair.ORACLE_SQL,
+    "op12_ball_tree": ball_tree.ORACLE_SQL,
     "op13_term_pipeline": term_pipeline.ORACLE_SQL,
 }
