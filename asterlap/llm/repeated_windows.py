@@ -185,7 +185,8 @@ def candidates(chunks: DataFrame, replies: str, size: int, bits: int) -> DataFra
             for part, packed in sorted(zip(got["part"].to_pylist(), got["packed"].to_pylist())):
                 row, s = divmod(part, slices)
                 rows[row].append(unpack(packed).astype(np.uint64) + np.uint64(s << slice_bits))
-            flagged = [np.concatenate(r) for r in rows]
+            # Several tasks may have read the chunk, each with replies of its own.
+            flagged = [np.unique(np.concatenate(r)) for r in rows]
             found = []
             for p in pieces:
                 pairs = batch_windows(_texts(p), size, hashes)[3]
@@ -229,13 +230,18 @@ def repeated(windows: DataFrame) -> DataFrame:
         for chunk, own1, own2, _ in rows:
             hit = pairs_among(own1, own2, k1, k2)
             if hit.any():
-                out.append((chunk, pack(own1[hit]), own2[hit].astype(np.uint16).tobytes()))
+                out.append((chunk, pack(own1[hit]), _high(own2[hit]).tobytes()))
         columns = list(zip(*out)) or [()] * 3
         return pa.table({c: pa.array(v, k) for c, v, k in zip(("chunk", "k1", "k2"), columns, (pa.int64(), pa.binary(), pa.binary()))})
 
     return windows.groupBy("part").applyInArrow(group, "chunk long, k1 binary, k2 binary")
 
 
+def _high(k2: np.ndarray) -> np.ndarray:
+    """The high 16 bits, on which every word of a window bears; the low ones of a product of 64 bits are weaker."""
+    return (k2 >> np.uint64(48)).astype(np.uint16)
+
+
 def pairs_among(one: np.ndarray, two: np.ndarray, k1: np.ndarray, k2: np.ndarray) -> np.ndarray:
     """Which pairs (one, two) are among (k1, k2), ordered by k1."""
     found = np.zeros(len(one), bool)
@@ -270,13 +276,13 @@ def _removal(chunks: DataFrame, truth: str, size: int, make_row: Callable, schem
         for chunk, pieces in by_chunk(batches):
             got = read_partition(truth, "chunk", chunk, {"k1": pa.binary(), "k2": pa.binary()})
             k1 = np.concatenate([np.empty(0, np.uint64), *(unpack(k, np.uint64) for k in got["k1"].to_pylist())])
-            k2 = np.frombuffer(b"".join(got["k2"].to_pylist()), np.uint16).astype(np.uint64)
+            k2 = np.frombuffer(b"".join(got["k2"].to_pylist()), np.uint16)
             order = np.argsort(k1)
             k1, k2 = k1[order], k2[order]
             for p in pieces:
                 texts = _texts(p)
                 words, firsts, starts, pairs = batch_windows(texts, size, hashes)
-                hit = starts[pairs_among(pairs[:, 0], pairs[:, 1] & np.uint64(0xFFFF), k1, k2)]
+                hit = starts[pairs_among(pairs[:, 0], _high(pairs[:, 1]), k1, k2)]
                 edge = np.zeros(sum(map(len, words)) + 1, np.int64)
                 np.add.at(edge, hit, 1)
                 np.add.at(edge, hit + size, -1)

@@ -85,3 +85,22 @@ def test_windows_stay_within_their_text_and_memory_is_bounded():
     words, firsts, starts, pairs = batch_windows(texts, 3, WordHashes(limit=2))
     assert firsts.tolist() == [0, 3, 3, 5] and starts.tolist() == [0, 5, 6]
     assert (pairs[0] == pairs[1]).all() and (pairs[0] != pairs[2]).all()
+
+
+def test_chunks_that_several_tasks_read(spark, documents):
+    """A stored chunk of many row groups is split among tasks, each of which makes a sketch and gets replies of its own."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    changed = {"spark.sql.files.maxPartitionBytes": "20000", "spark.sql.files.openCostInBytes": "0", "spark.sql.files.minPartitionNum": "20"}
+    try:
+        hadoop.setInt("parquet.block.size", 8000)
+        for key, value in changed.items():
+            spark.conf.set(key, value)
+        texts = corpus(3, 400)
+        chunks = R.in_chunks(documents([(i, t) for i, t in enumerate(texts)]).coalesce(1), "of_chunk")
+        assert chunks.select("of_chunk").distinct().count() == 1 and chunks.rdd.getNumPartitions() > 4
+        got = {r.doc_id: r.n_removed for r in R.removed(documents([(i, t) for i, t in enumerate(texts)]).coalesce(1)).collect()}
+    finally:
+        hadoop.unset("parquet.block.size")
+        for key in changed:
+            spark.conf.unset(key)
+    assert [got[i] for i in range(len(texts))] == [cut for _, cut, _ in brute(texts, 35)]
