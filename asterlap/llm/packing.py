@@ -46,8 +46,8 @@ def cut_tables(tokenizer, size: int) -> tuple[np.ndarray, np.ndarray]:
     return ends, spaced
 
 
-def allowed_cuts(ids: np.ndarray, document_ends: np.ndarray, ends: np.ndarray, spaced: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places in a run at which it may be cut (0 and its end included, ascending), and what each costs."""
+def allowed_cuts(ids: np.ndarray, document_ends: np.ndarray, ends: np.ndarray, spaced: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """Places in a run at which it may be cut (0 and its end included, ascending, at most ``length`` apart), and what each costs."""
     last = ends[ids[:-1]] & (spaced[ids[1:]])
     places = np.flatnonzero(last) + 1
     cost = np.full(len(ids) + 1, -1, np.int64)
@@ -56,8 +56,9 @@ def allowed_cuts(ids: np.ndarray, document_ends: np.ndarray, ends: np.ndarray, s
     cost[[0, len(ids)]] = AT_DOCUMENT
     places = np.flatnonzero(cost >= 0)
     gaps = np.diff(places)
-    for i in np.flatnonzero(gaps > LONG_STRETCH).tolist():
-        between = np.arange(places[i] + STEP, places[i + 1], STEP)
+    step = min(STEP, length)
+    for i in np.flatnonzero(gaps > min(LONG_STRETCH, length)).tolist():
+        between = np.arange(places[i] + step, places[i + 1], step)
         cost[between] = ELSEWHERE
     places = np.flatnonzero(cost >= 0)
     return places, cost[places]
@@ -122,7 +123,7 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int = END_ID, length: int = L
             sizes = np.array([len(w[3]) // 4 for w in waiting], np.int64)
             places = np.cumsum(sizes)
             ids = np.frombuffer(b"".join(w[3] for w in waiting), "<u4")
-            cuts = best_cuts(*allowed_cuts(ids, places, ends, spaced), length)
+            cuts = best_cuts(*allowed_cuts(ids, places, ends, spaced, length), length)
             if not final:
                 cuts = cuts[:-2]  # the last sequences may be cut otherwise once it is known what follows
             if len(cuts) < 2:

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 import zlib
 
 import numpy as np
@@ -169,3 +170,15 @@ def test_ids_are_those_of_the_library_with_its_defaults(documents, tmp_path):
     got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in T.read_records(index, f"file://{tmp_path}/added").collect()}
     assert got[0] == [320, 49407, 321, 1]
     assert sum(r.length for r in K.pack(documents(rows[:1]), BYTE).collect()) == 5
+
+
+@pytest.mark.parametrize("length", [8, 16, 64])
+def test_short_sequences(documents, length):
+    """A stretch without a sentence end that is longer than a sequence is cut within."""
+    rows = [(1, "ab " * 90), (2, prose(2, 200)), (3, ""), (4, "x" * 500)]
+    got = K.pack(documents(rows), BYTE, length=length, with_ids=True).collect()
+    assert sum(r.length for r in got) == sum(len(x) + 1 for x in reference(BYTE, [t for _, t in rows]))
+    filled = Counter()
+    for r in got:
+        filled[r.sequence_id] += r.length
+    assert max(filled.values()) <= length
