@@ -11,6 +11,7 @@ RATE = "decimal(9,4)"
 
 # A plain number, with a decimal comma or point; no exponents, no digit groups.
 _NUMBER = r"^\s*[+-]?(\d+([.,]\d*)?|[.,]\d+)\s*$"
+_WHOLE = r"^\s*[+-]?\d+\s*$"
 
 
 def parse_number(text: Column, target: str) -> Column:
@@ -18,13 +19,23 @@ def parse_number(text: Column, target: str) -> Column:
     return F.replace(F.when(text.rlike(_NUMBER), text), F.lit(","), F.lit(".")).try_cast(target)
 
 
-def parse_number_strict(text: Column, target: str) -> Column:
-    """The same reading, but an unreadable value fails the job."""
-    message = F.concat(F.lit("not a number: "), text)
-    plain = F.when(text.isNull() | text.rlike(_NUMBER), text).otherwise(F.raise_error(message))
+def _or_fail(text: Column, readable: Column, where: Column | str) -> Column:
+    where = F.lit(where) if isinstance(where, str) else where
+    message = F.concat(where, F.lit("is not a number: "), F.coalesce(text, F.lit("<NULL>")))
+    return F.when(readable, text).otherwise(F.raise_error(message))
+
+
+def parse_number_strict(text: Column, target: str, where: Column | str = "value ") -> Column:
+    """The same reading, but an unreadable value fails the job, with ``where`` in its message."""
+    plain = _or_fail(text, text.isNull() | text.rlike(_NUMBER), where)
     return F.replace(plain, F.lit(","), F.lit(".")).cast(target)
 
 
+def parse_whole_strict(text: Column, target: str, where: Column | str = "value ") -> Column:
+    """A whole number, which must be there."""
+    return F.trim(_or_fail(text, text.isNotNull() & text.rlike(_WHOLE), where)).cast(target)
+
+
 def is_blank(text: Column) -> Column:
     return text.isNull() | (F.trim(text) == "")
 

@@ -103,3 +103,9 @@ UNKNOWN_DATE = {
 
 # Validity bounds of a dimension row.
 FIRST_MOMENT, LAST_MOMENT = "1900-01-01 00:00:00", "9999-12-31 00:00:00"
+
+# Parameters of a load and what they are for. Fixed values.
+PARAMETERS = {
+    "BaseCsvPath": "Katalog s CSV-faylami dlya iskhodnoy zagruzki",
+    "EnableVerboseLogging": "Flag podrobnogo protokolirovaniya ETL-protsessa",
+}

@@ -67,6 +67,12 @@ def loaded_members(name: str, dimension: DataFrame, surrogate_key: str) -> DataF
     return members.filter("IsCurrent") if "IsCurrent" in dimension.columns else members
 
 
+def count_members(columns: list[str], surrogate_key: str) -> Column:
+    """The number of such rows, as an aggregate that can be observed while the dimension is written."""
+    member = F.col(surrogate_key) > 0
+    return F.count_if(member & F.col("IsCurrent") if "IsCurrent" in columns else member)
+
+
 def batch_counts(read: DataFrame, loaded: DataFrame, rejected: DataFrame) -> DataFrame:
     """Rows read, loaded and rejected, from per-table counts."""
     def total(counts: DataFrame) -> Column:

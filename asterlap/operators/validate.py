@@ -1,11 +1,26 @@
 """Checks of declared keys, references and mandatory columns; each returns the offending keys as a DataFrame."""
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ordered import previous_value
+
+#: Offending keys that an error's text names; its report has them all.
+NAMED_KEYS = 5
+
 
 class KeyPolicyError(ValueError):
-    """A key check found offending rows."""
+    """A key check found offending rows; ``report`` is the DataFrame of all of them."""
+
+    def __init__(self, message: str, report: DataFrame | None = None):
+        super().__init__(message)
+        self.report = report
+
+
+def _text(column: str, kind: str) -> Column:
+    return F.date_format(column, "yyyy-MM-dd HH:mm:ss") if kind == "timestamp" else F.col(column).cast("string")
 
 
 def duplicated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -13,6 +28,39 @@ def duplicated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("KeyRows")).filter("KeyRows > 1")
 
 
+def duplicates_of_all(declared: list[tuple[str, DataFrame, list[str]]]) -> DataFrame:
+    """(TableName, KeyName, ErrorType, KeyValue, KeyRows) of the duplicates of every declared (table, rows, key).
+
+    Rows are counted map-side, so a key that fills a third of a table is one row per task. A NULL shows as nothing.
+    """
+    found = []
+    for name, df, keys in declared:
+        kinds = dict(df.dtypes)
+        value = F.concat_ws("|", *[F.coalesce(_text(k, kinds[k]), F.lit("")) for k in keys])
+        found.append(duplicated_keys(df, keys).select(
+            F.lit(name).alias("TableName"), F.lit("+".join(keys)).alias("KeyName"), F.lit("duplicate").alias("ErrorType"),
+            value.alias("KeyValue"), "KeyRows",
+        ))
+    return reduce(DataFrame.unionByName, found)
+
+
+def version_faults(name: str, dimension: DataFrame, business_key: str, surrogate_key: str) -> DataFrame:
+    """IDs of a versioned dimension whose versions overlap (one begins before the one before it ends) or of which not
+    exactly one is current; the columns are those of ``duplicates_of_all``. No ID's versions need to fit a task."""
+    bounds = dimension.select(business_key, surrogate_key, "EffectiveFrom", "EffectiveTo")
+    after = previous_value(bounds, "EffectiveTo", ["EffectiveFrom", surrogate_key], "EndBefore", [business_key])
+    overlaps = after.filter("EndBefore >= EffectiveFrom").groupBy(business_key).agg(F.count(F.lit(1)).alias("KeyRows"))
+    current = dimension.groupBy(business_key).agg(F.count_if("IsCurrent").alias("KeyRows")).filter("KeyRows <> 1")
+    kinds = [("overlap", overlaps), ("not one current version", current)]
+    return reduce(DataFrame.unionByName, [
+        df.select(
+            F.lit(name).alias("TableName"), F.lit(business_key).alias("KeyName"), F.lit(kind).alias("ErrorType"),
+            F.col(business_key).cast("string").alias("KeyValue"), "KeyRows",
+        )
+        for kind, df in kinds
+    ])
+
+
 def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Referencing keys without a parent, with their number of rows; NULL references are not orphans.
 
@@ -23,6 +71,27 @@ def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str
     return used.join(known, child_key, "left_anti")
 
 
+#: Of each reference, by its column: the referenced rows and their key.
+References = dict[str, tuple[DataFrame, str]]
+
+
+def _parent_keys(parents: References) -> DataFrame:
+    return reduce(DataFrame.unionByName, [
+        parent.select(F.lit(c).alias("Reference"), F.col(key).cast("string").alias("KeyValue")) for c, (parent, key) in parents.items()
+    ])
+
+
+def orphans_of_all(child: DataFrame, parents: References) -> DataFrame:
+    """(Reference, KeyValue, KeyRows) of the orphans of every reference, from one pass over the child.
+
+    Each row gives a pair of reference and key per reference; the pairs are counted map-side, and only the distinct ones
+    are shuffled and held against all parents in one join.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("Reference"), F.col(c).cast("string").alias("KeyValue")) for c in parents])
+    used = child.select(F.inline(pairs)).filter("KeyValue IS NOT NULL").groupBy("Reference", "KeyValue")
+    return used.agg(F.count(F.lit(1)).alias("KeyRows")).join(_parent_keys(parents), ["Reference", "KeyValue"], "left_anti")
+
+
 def null_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """Number of NULLs per column, all counted in one pass."""
     counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
@@ -30,28 +99,33 @@ def null_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     return counted.select(F.inline(pairs))
 
 
+def null_counts_of_all(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
+    """(TableName, ColumnName, NullRows) of the mandatory columns of every table, with one pass over each."""
+    return reduce(DataFrame.unionByName, [
+        null_counts(df, columns).select(F.lit(name).alias("TableName"), "ColumnName", "NullRows") for name, (df, columns) in tables.items()
+    ])
+
+
 def require_unique(df: DataFrame, keys: list[str]) -> None:
-    sample = duplicated_keys(df, keys).head(3)
-    if sample:
-        raise KeyPolicyError(f"duplicate key {keys}: {[tuple(r) for r in sample]}")
+    _stop(duplicated_keys(df, keys), f"duplicate key {keys}")
 
 
-def key_policy(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """All key errors between a child and its parent: unresolved, duplicated and NULL keys, one row each kind and key."""
-    found = [
-        orphans(child, child_key, parent, parent_key)
-        .select(F.lit("KeyNotFound").alias("ErrorType"), F.col(child_key).cast("string").alias("KeyValue"), "KeyRows"),
-        duplicated_keys(parent, [parent_key])
-        .select(F.lit("KeyDuplicate").alias("ErrorType"), F.col(parent_key).cast("string").alias("KeyValue"), "KeyRows"),
-        parent.filter(F.col(parent_key).isNull()).groupBy().agg(F.count(F.lit(1)).alias("KeyRows"))
-        .filter("KeyRows > 0")
-        .select(F.lit("NullKey").alias("ErrorType"), F.lit(None).cast("string").alias("KeyValue"), "KeyRows"),
-    ]
-    return found[0].unionByName(found[1]).unionByName(found[2])
+def key_policy(child: DataFrame, parents: References) -> DataFrame:
+    """(Reference, ErrorType, KeyValue, KeyRows): all key errors between a child and its parents: keys that no parent
+    has, keys that a parent has more than once, and NULL keys of parents. One pass over the child, one over the parents."""
+    known = _parent_keys(parents).groupBy("Reference", "KeyValue").agg(F.count(F.lit(1)).alias("KeyRows"))
+    error = F.when(F.col("KeyValue").isNull(), "NullKey").when(F.col("KeyRows") > 1, "KeyDuplicate")
+    wrong = known.select("Reference", error.alias("ErrorType"), "KeyValue", "KeyRows").filter("ErrorType IS NOT NULL")
+    lost = orphans_of_all(child, parents).select("Reference", F.lit("KeyNotFound").alias("ErrorType"), "KeyValue", "KeyRows")
+    return lost.unionByName(wrong)
 
 
-def require_key_policy(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> None:
+def require_key_policy(child: DataFrame, parents: References) -> None:
     """Report and stop: raises when any key error exists."""
-    sample = key_policy(child, child_key, parent, parent_key).head(5)
+    _stop(key_policy(child, parents), "key errors")
+
+
+def _stop(report: DataFrame, what: str) -> None:
+    sample = report.head(NAMED_KEYS)
     if sample:
-        raise KeyPolicyError(f"{child_key} -> {parent_key}: {[tuple(r) for r in sample]}")
+        raise KeyPolicyError(f"{what}: {report.count()} keys, such as {[tuple(r) for r in sample]}", report)

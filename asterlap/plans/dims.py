@@ -125,10 +125,13 @@ def source_rows(name: str, raw: DataFrame) -> DataFrame:
     return clean_dates(raw) if name == "date" else clean_visit_types(raw)
 
 
+def surrogate_key(name: str) -> str:
+    return (VERSIONED | OVERWRITTEN)[name][1]
+
+
 def empty_dimension(spark: SparkSession, name: str) -> DataFrame:
     """The dimension before its first load: only the unknown member."""
-    key = VERSIONED[name][1] if name in VERSIONED else OVERWRITTEN[name][1]
-    return unknown_member(spark, DIMENSIONS[name], UNKNOWN[name], key)
+    return unknown_member(spark, DIMENSIONS[name], UNKNOWN[name], surrogate_key(name))
 
 
 def load_dimension(name: str, target: DataFrame, raw: DataFrame, now: Column, batch_id: int) -> DataFrame:

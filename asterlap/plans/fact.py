@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from ..functions import cleaning as C
 from ..functions.measures import SCALES, from_units, quantity, to_units, units, visit_amount, visit_mean
 from ..operators.joins import BROADCAST_ROWS, fits, hot_keys, lookup
+from ..schemas import STAGING
 from .dims import UNKNOWN
 
 _TEXTS = {
@@ -35,15 +36,27 @@ LOOKUPS = {
 }
 
 
-def normalise_visits(raw: DataFrame, strict: bool = False) -> DataFrame:
-    """Visits with their number texts read: unreadable becomes NULL, or fails the job when ``strict``."""
-    read = C.parse_number_strict if strict else C.parse_number
+def normalise_visits(raw: DataFrame) -> DataFrame:
+    """Visits with their number texts read, unreadable ones as NULL; other columns, such as the lineage, stay."""
     extra = [c for c in raw.columns if c not in _ORDER and c not in [text for text, _ in _TEXTS.values()]]
     return raw.select(
-        *[read(F.col(_TEXTS[c][0]), _TEXTS[c][1]).alias(c) if c in _TEXTS else F.col(c) for c in _ORDER], *extra
+        *[C.parse_number(F.col(_TEXTS[c][0]), _TEXTS[c][1]).alias(c) if c in _TEXTS else F.col(c) for c in _ORDER], *extra
     )
 
 
+def strict_visits(text: DataFrame, file_name: str = "FactVisits.csv") -> DataFrame:
+    """Visits of a file whose columns all came as text, every value read strictly.
+
+    A value that can't be read, or a whole number that is missing, fails the job with the file, the row's FactID, the
+    column and the value: the first such column of the row.
+    """
+    row = F.concat(F.lit(f"{file_name}, FactID "), F.coalesce("FactID", F.lit("<NULL>")), F.lit(": "))
+    kinds = {f.name: f.dataType.simpleString() for f in STAGING["visits"].fields}
+    read = {c: C.parse_number_strict(F.col(t), kind, F.concat(row, F.lit(f"{t} "))) for c, (t, kind) in _TEXTS.items()}
+    whole = {c: C.parse_whole_strict(F.col(c), kinds[c], F.concat(row, F.lit(f"{c} "))) for c in _ORDER if c not in _TEXTS}
+    return text.select(*[(read | whole)[c].alias(c) for c in _ORDER])
+
+
 def resolve_visits(
     visits: DataFrame, dimensions: dict[str, DataFrame], spread: str = "VisitKey", broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
@@ -93,8 +106,8 @@ _MEASURE_TYPES = {
 }
 
 
-def wide_visits(resolved: DataFrame) -> DataFrame:
-    """The stored form of the visits: IDs as delivered, surrogate keys, attributes, measures.
+def wide_visits(resolved: DataFrame, batch_id: int | None, loaded_at: Column) -> DataFrame:
+    """The stored form of the visits: IDs as delivered, surrogate keys, attributes, measures, batch and load time.
 
     An unresolved reference has key 0 and the unknown member's attributes; an unreadable number is 0. Decimals are
     kept as whole numbers of their smallest unit. The fact table, the detailed visits and the missing-reference
@@ -111,7 +124,8 @@ def wide_visits(resolved: DataFrame) -> DataFrame:
             columns.append(filled.alias(alias))
     measures = _measures()
     return resolved.select(
-        *columns, *[to_units(measures[c], c) if c in SCALES else measures[c].alias(c) for c in MEASURES]
+        *columns, *[to_units(measures[c], c) if c in SCALES else measures[c].alias(c) for c in MEASURES],
+        F.lit(batch_id).cast("int").alias("SourceBatchID"), loaded_at.alias("LoadedAt"),
     )
 
 
@@ -140,9 +154,9 @@ def _facts(wide: DataFrame, wanted: list[str], with_units: bool) -> DataFrame:
 
 
 def fact_visits(wide: DataFrame, with_units: bool = False) -> DataFrame:
-    """The fact table: surrogate keys and measures."""
+    """The fact table: surrogate keys and measures, and the batch that loaded them."""
     keys = [key for _, key, _ in LOOKUPS.values()]
-    return _facts(wide, ["VisitKey", "FactID", *keys, *MEASURES], with_units)
+    return _facts(wide, ["VisitKey", "FactID", *keys, *MEASURES, "SourceBatchID", "LoadedAt"], with_units)
 
 
 def visit_detailed(wide: DataFrame, with_units: bool = False) -> DataFrame:
@@ -162,6 +176,24 @@ def compat_visits(wide: DataFrame, with_units: bool = False) -> DataFrame:
     return _facts(wide, _ORDER, with_units)
 
 
+def orphan_tests() -> dict[str, Column]:
+    """For each reference, whether a row of ``wide_visits`` names a member that its dimension doesn't know."""
+    return {
+        business_key: (F.col(key) == 0) & F.col(_delivered(business_key)).isNotNull() & (F.col(_delivered(business_key)) != 0)
+        for business_key, key, _ in LOOKUPS.values()
+    }
+
+
+def orphan_report(wide: DataFrame) -> DataFrame:
+    """Reference, ErrorType, KeyValue, KeyRows of all keys that were not found, from one scan."""
+    named = F.array_compact(F.array(*[
+        F.when(test, F.struct(F.lit(c).alias("Reference"), F.col(_delivered(c)).cast("string").alias("KeyValue")))
+        for c, test in orphan_tests().items()
+    ]))
+    each = wide.select(F.inline(named)).groupBy("Reference", "KeyValue").agg(F.count(F.lit(1)).alias("KeyRows"))
+    return each.select("Reference", F.lit("KeyNotFound").alias("ErrorType"), "KeyValue", "KeyRows")
+
+
 def unresolved_visits(wide: DataFrame) -> DataFrame:
     """Visits with at least one reference no dimension knows, by the IDs as delivered."""
     missing = F.lit(False)
@@ -179,6 +211,7 @@ def _month_totals(wide: DataFrame, key: str, *means: Column) -> DataFrame:
         visit_amount("ServiceCost", "RevenueAmount"),
         visit_amount("Profit", "ProfitAmount"),
         *means,
+        F.max("LoadedAt").alias("LoadedAt"),
     )
 
 

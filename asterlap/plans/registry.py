@@ -3,20 +3,23 @@
 import hashlib
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 from threading import Lock
+from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import literals as L
 from ..functions import cleaning as C
 from ..operators import audit, merge, olap, quality, star_cube, validate
 from ..operators.joins import lookup
-from ..schemas import STAGING
-from ..session import shared_dir
+from ..schemas import FILES, STAGING
+from ..session import checkpointed, shared_dir
 from ..sources import binding, delimited, sinks
 from . import dims, fact, marts, rejects, reports
-from .pipeline import Loader
+from .pipeline import STOP, Loader
 from .queries import QUERIES
 from .warehouse import LOAD_TIME, Warehouse
 
@@ -26,6 +29,8 @@ SECOND_LOAD = datetime(2024, 2, 1)
 _warehouses: dict[tuple, Warehouse] = {}
 _lock = Lock()
 _exported: dict[str, str] = {}
+_loaders: dict[str, Loader] = {}
+_loading = Lock()
 
 
 def _fingerprint(spark: SparkSession, folder: str) -> tuple:
@@ -104,26 +109,38 @@ def stg_load_all(wh: Warehouse) -> DataFrame:
     return audit.row_counts(_staged_files(wh))
 
 
+def _row_text(name: str) -> Column:
+    """A staged row as one text, so that rows of all six tables fit one result."""
+    return F.concat_ws(";", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in STAGING[name].names]).alias("RowText")
+
+
 def stg_lineage(wh: Warehouse) -> DataFrame:
-    return _text_times(delimited.with_lineage(wh.raw("patients"), "DimPatients.csv", LOAD_TIME, 1))
+    """Every row of all six staging tables, with where it came from."""
+    tables = {name: delimited.with_lineage(wh.raw(name), FILES[name], LOAD_TIME, 1) for name in STAGING}
+    return _text_times(reduce(DataFrame.unionByName, [df.select(_row_text(n), *delimited.LINEAGE) for n, df in tables.items()]))
 
 
 def stg_truncate(wh: Warehouse) -> DataFrame:
-    """Loading twice leaves one copy: the second load replaces the first."""
-    path = f"{wh.root}/files_twice/DimDoctors.csv"
+    """Loading the six files twice leaves one copy of each row: the second load replaces the first."""
+    base = f"{wh.root}/files_twice"
     for _ in range(2):
-        sinks.write_delimited(wh.raw("doctors"), path)
-    return delimited.read_delimited(wh.spark, path, STAGING["doctors"])
+        sinks.export_staging({name: wh.raw(name) for name in STAGING}, base)
+    read = {name: delimited.read_delimited(wh.spark, f"{base}/{FILES[name]}", STAGING[name]) for name in STAGING}
+    return reduce(DataFrame.unionByName, [df.select(F.lit(name).alias("TableName"), _row_text(name)) for name, df in read.items()])
 
 
 def stg_visits_normalized(wh: Warehouse) -> DataFrame:
-    return wh.normalised().drop("VisitKey")
+    staged = delimited.with_lineage(wh.raw("visits").drop("VisitKey"), FILES["visits"], LOAD_TIME, 1)
+    return _text_times(fact.normalise_visits(staged))
 
 
 def stg_visits_strict(wh: Warehouse) -> DataFrame:
-    """Strict reading of the visits whose cost is a number; the others would fail the job."""
-    readable = wh.raw("visits").filter(F.col("ServiceCostText").rlike(r"^-?\d+(,\d+)?$"))
-    return fact.normalise_visits(readable, strict=True).drop("VisitKey")
+    """All visits from a file read as text, after a redelivery that corrects the unreadable costs by the average."""
+    path = f"{wh.root}/files_corrected/FactVisits.csv"
+    corrected = F.when(F.col("ServiceCostText") == "n/a", F.col("AvgTreatmentCostText")).otherwise(F.col("ServiceCostText"))
+    sinks.write_delimited(wh.raw("visits").select(*STAGING["visits"].names).withColumn("ServiceCostText", corrected), path)
+    text = T.StructType([T.StructField(c, T.StringType()) for c in STAGING["visits"].names])
+    return fact.strict_visits(delimited.read_delimited(wh.spark, path, text))
 
 
 def sink_clear_and_load(wh: Warehouse) -> DataFrame:
@@ -196,15 +213,62 @@ def dq_fk_missing(wh: Warehouse) -> DataFrame:
 
 
 def validate_fk(wh: Warehouse) -> DataFrame:
-    return validate.orphans(wh.raw("visits"), "DiagnosisID", wh.raw("diagnoses"), "DiagnosisID")
+    """Keys in the visits that no loaded dimension has, of all five references."""
+    return validate.orphans_of_all(wh.raw("visits"), {k: (wh.dimension(n), k) for n, (k, _, _) in fact.LOOKUPS.items()})
+
+
+def _damaged_history(wh: Warehouse, name: str) -> DataFrame:
+    """A versioned dimension after two batches, damaged: of every third ID the closed versions end a day late, of every
+    fifth they are still current, and every seventh ID is there twice."""
+    business_key, _, _ = dims.VERSIONED[name]
+    key = F.col(business_key)
+    state = dims.load_dimension(name, wh.dimension(name), _second_batch(wh, name), F.lit(SECOND_LOAD).cast("timestamp"), 2)
+    late = F.when(~F.col("IsCurrent") & (key % 3 == 0), F.col("EffectiveTo") + F.expr("INTERVAL 1 DAY")).otherwise(F.col("EffectiveTo"))
+    changed = state.withColumns({"EffectiveTo": late, "IsCurrent": F.col("IsCurrent") | (key % 5 == 0)})
+    return checkpointed(changed.unionByName(changed.filter(key % 7 == 0)))
+
+
+def validate_unique_key(wh: Warehouse) -> DataFrame:
+    """Every declared key of the warehouse as loaded, of the visits as delivered, and of damaged histories."""
+    loaded = [("dw.FactVisit", wh.fact(), ["VisitKey"]), ("stg.FactVisits_Raw", wh.raw("visits"), ["FactID"])]
+    loaded += [(f"dw.{n}", wh.dimension(n), [dims.surrogate_key(n)]) for n in dims.STAGED]
+    loaded += [(f"dw.{n}", wh.dimension(n), [k]) for n, (k, _) in dims.OVERWRITTEN.items()]
+    loaded += [
+        ("dw.agg_doctor_month", fact.doctor_months(wh.wide()), ["Year", "Month", "DoctorKey"]),
+        ("dw.agg_diagnosis_month", fact.diagnosis_months(wh.wide()), ["Year", "Month", "DiagnosisKey"]),
+    ]
+    histories = {n: _damaged_history(wh, n) for n in dims.VERSIONED}
+    for name, (k, _, _) in dims.VERSIONED.items():
+        loaded += [(f"dw.{name}", wh.dimension(name), [k, "EffectiveTo", "IsCurrent"]), (f"damaged {name}", histories[name], [k, "EffectiveTo", "IsCurrent"])]
+    faults = [validate.version_faults(f"dw.{n}", wh.dimension(n), k, key) for n, (k, key, _) in dims.VERSIONED.items()]
+    # A row that is there twice is a duplicate, not a version that overlaps with itself.
+    once = {n: df.dropDuplicates([dims.surrogate_key(n)]) for n, df in histories.items()}
+    faults += [validate.version_faults(f"damaged {n}", once[n], k, key) for n, (k, key, _) in dims.VERSIONED.items()]
+    return reduce(DataFrame.unionByName, [validate.duplicates_of_all(loaded), *faults])
+
+
+def _mandatory(wh: Warehouse) -> dict[str, tuple[DataFrame, list[str]]]:
+    versioned = ["EffectiveFrom", "EffectiveTo", "IsCurrent"]
+    return {
+        "stg.vw_FactVisits_Normalized": (wh.normalised().drop("VisitKey"), STAGED_MEASURES),
+        "dw.FactVisit": (wh.fact(), ["VisitKey", "FactID", *[k for _, k, _ in fact.LOOKUPS.values()], *[m for m in fact.MEASURES if m != "MarginPercent"], "LoadedAt"]),
+        "dw.DimPatient": (wh.dimension("patient"), ["PatientKey", "PatientID", "FullName", *versioned]),
+        "dw.DimDoctor": (wh.dimension("doctor"), ["DoctorKey", "DoctorID", "FullName", *versioned]),
+        "dw.DimDiagnosis": (wh.dimension("diagnosis"), ["DiagnosisKey", "DiagnosisID", *versioned]),
+        "dw.DimDate": (wh.dimension("date"), ["DateKey", "DateID", "IsWeekend"]),
+        "dw.DimVisitType": (wh.dimension("visit_type"), ["VisitTypeKey", "VisitTypeID", "VisitName", "VisitCode"]),
+    }
 
 
 def validate_key_policy(wh: Warehouse) -> DataFrame:
-    """Doctors delivered with every seventh twice and every eleventh without its ID, against the visits."""
-    doctors = wh.raw("doctors")
-    twice = doctors.unionByName(doctors.filter("DoctorID % 7 = 0"))
-    delivered = twice.withColumn("DoctorID", F.when(F.col("DoctorID") % 11 != 0, F.col("DoctorID")))
-    return validate.key_policy(wh.raw("visits"), "DoctorID", delivered, "DoctorID")
+    """All five dimensions delivered with every seventh member twice and every eleventh without its ID, against the
+    visits."""
+    delivered = {}
+    for name, (key, _, _) in fact.LOOKUPS.items():
+        raw = wh.raw(dims.STAGED[name]).select(key)
+        twice = raw.unionByName(raw.filter(F.col(key) % 7 == 0))
+        delivered[key] = twice.withColumn(key, F.when(F.col(key) % 11 != 0, F.col(key))), key
+    return validate.key_policy(wh.raw("visits"), delivered)
 
 
 # --- dimension and fact loads ------------------------------------------------------------------------------------
@@ -265,7 +329,7 @@ def _by_business_id(wh: Warehouse, rows: DataFrame, spread: str | None = None) -
 
 
 def fact_visit_load(wh: Warehouse) -> DataFrame:
-    return _by_business_id(wh, wh.fact(), "VisitKey").drop("VisitKey")
+    return _text_times(_by_business_id(wh, wh.fact(), "VisitKey").drop("VisitKey"))
 
 
 def unknown_member(wh: Warehouse) -> DataFrame:
@@ -277,24 +341,90 @@ def unknown_member(wh: Warehouse) -> DataFrame:
     return counted.select(F.inline(pairs))
 
 
+def _second_files(wh: Warehouse) -> str:
+    """The second delivery as files: changed dimensions, and visits without every seventh, every fifth at another cost."""
+    base = f"{wh.root}/files_second"
+    if base not in _exported:
+        visits = wh.raw("visits").filter("FactID % 7 <> 0")
+        cost = F.when(F.col("FactID") % 5 == 0, F.lit("100,5")).otherwise(F.col("ServiceCostText"))
+        tables = {table: _second_batch(wh, name) for name, table in dims.STAGED.items()}
+        sinks.export_staging(tables | {"visits": visits.withColumn("ServiceCostText", cost)}, base)
+        _exported[base] = base
+    return base
+
+
+def _loader(wh: Warehouse, name: str, loads: Callable[[Loader], None]) -> Loader:
+    """A warehouse folder of its own after ``loads``, which run once in a session."""
+    with _loading:
+        key = f"{wh.root}/{name}"
+        if key not in _loaders:
+            loader = Loader(wh.spark, f"{key}-{uuid4().hex[:8]}")
+            loads(loader)
+            _loaders[key] = loader
+        return _loaders[key]
+
+
+def _loaded_state(loader: Loader) -> DataFrame:
+    """Rows and money of every table of a loaded warehouse, by batch and by whether a version is current, and the counts
+    of the batches that succeeded."""
+    read, money = loader.store.read, "decimal(28,2)"
+
+    def part(name: str, df: DataFrame, batch: Column, current: Column, amount: Column) -> DataFrame:
+        grouped = df.groupBy(F.lit(name).alias("ObjectName"), batch.cast("int").alias("BatchID"), current.cast("boolean").alias("IsCurrent"))
+        return grouped.agg(F.count(F.lit(1)).alias("RowQty"), amount.cast(money).alias("Amount"))
+
+    none, of_batch, nothing = F.lit(None), F.col("BatchID"), F.max(F.lit(None))
+    parts = []
+    for name in dims.STAGED:
+        df = read(f"dim_{name}")
+        parts.append(part(f"dim_{name}", df, F.col("SourceBatchID"), F.col("IsCurrent") if "IsCurrent" in df.columns else none, nothing))
+    parts.append(part("fact_visit", loader.visits(), F.col("SourceBatchID"), none, F.sum("ServiceCost")))
+    parts += [part(n, read(n), none, none, F.sum("RevenueAmount")) for n in ("agg_doctor_month", "agg_diagnosis_month")]
+    parts += [part(n, read(n), of_batch, none, nothing) for n in ("rejected_rows", "data_quality_issue")]
+    counted = F.array(*[F.struct(F.lit(c).alias("ObjectName"), F.col(c).alias("RowQty")) for c in ("RowsRead", "RowsLoaded", "RowsRejected")])
+    batches = loader.batches().filter("Status = 'SUCCESS'").select("BatchID", F.inline(counted))
+    parts.append(batches.select("ObjectName", "BatchID", none.cast("boolean").alias("IsCurrent"), "RowQty", none.cast(money).alias("Amount")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def full_load(wh: Warehouse) -> DataFrame:
-    loader = Loader(wh.spark, f"{wh.root}/full_load")
-    loader.rebuild(_exported_files(wh), _next_load_time(loader))
-    return loader.describe()[0]
+    """Two deliveries, the second on top of the first: versions carried on, rejects and issues added, facts replaced."""
+    def loads(loader: Loader) -> None:
+        loader.full_load(_exported_files(wh), FIRST_LOAD)
+        loader.full_load(_second_files(wh), SECOND_LOAD)
+
+    return _loaded_state(_loader(wh, "full_load", loads))
 
 
 def rebuild(wh: Warehouse) -> DataFrame:
-    """Issues by rule after the warehouse was loaded, rebuilt and checked."""
-    loader = Loader(wh.spark, f"{wh.root}/rebuild")
-    loader.rebuild(_exported_files(wh), _next_load_time(loader))
-    issues = loader.store.read("data_quality_issue")
-    return quality.summary(issues).drop("LastIssueAt")
+    """Issues by rule after the warehouse was loaded with the second delivery, rebuilt from the first and checked."""
+    def loads(loader: Loader) -> None:
+        loader.full_load(_second_files(wh), FIRST_LOAD)
+        loader.rebuild(_exported_files(wh), SECOND_LOAD)
+
+    return quality.summary(_loader(wh, "rebuild", loads).store.read("data_quality_issue")).drop("LastIssueAt")
+
+
+def _stopped(wh: Warehouse) -> Loader:
+    """A warehouse whose rebuild from the second delivery stopped at the facts, at keys that were not found."""
+    def loads(loader: Loader) -> None:
+        loader.full_load(_exported_files(wh), FIRST_LOAD)
+        try:
+            loader.rebuild(_second_files(wh), SECOND_LOAD, on_orphans=STOP)
+        except validate.KeyPolicyError:
+            return
+        raise AssertionError("the load didn't stop")
+
+    return _loader(wh, "stopped", loads)
 
 
-def _next_load_time(loader: Loader) -> datetime:
-    """A load time after every earlier load of the same warehouse."""
-    earlier = loader.batches().agg(F.max("BatchID")).first()[0] or 0
-    return FIRST_LOAD.replace(year=FIRST_LOAD.year + earlier)
+def audit_failed_batch(wh: Warehouse) -> DataFrame:
+    """The batches around a failed load, with the error lines of their log."""
+    loader = _stopped(wh)
+    errors = loader.store.read("etl_log").filter("LogLevel = 'ERROR'").groupBy("BatchID").agg(
+        F.count(F.lit(1)).alias("ErrorLines"), F.max("LogMessage").alias("ErrorMessage"))
+    status = audit.batch_status(loader.batches()).join(errors, "BatchID", "left")
+    return _text_times(status.withColumn("ErrorLines", F.coalesce("ErrorLines", F.lit(0).cast("long"))))
 
 
 # --- cube --------------------------------------------------------------------------------------------------------
@@ -391,10 +521,11 @@ OPERATORS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "reject_visits": lambda wh: rejects.visits(wh.raw("visits")),
     "reject_all": reject_all,
     "dq_fk_missing": dq_fk_missing,
-    "validate_unique_key": lambda wh: validate.duplicated_keys(wh.raw("visits"), ["FactID"]),
+    "validate_unique_key": validate_unique_key,
     "validate_fk": validate_fk,
-    "validate_not_null": lambda wh: validate.null_counts(wh.normalised().drop("VisitKey"), STAGED_MEASURES),
+    "validate_not_null": lambda wh: validate.null_counts_of_all(_mandatory(wh)),
     "validate_key_policy": validate_key_policy,
+    "validate_key_policy_in_load": lambda wh: _stopped(wh).store.read("key_error"),
     "scd2_patient": lambda wh: _second_state(wh, "patient"),
     "scd2_doctor": lambda wh: _second_state(wh, "doctor"),
     "scd2_diagnosis": lambda wh: _second_state(wh, "diagnosis"),
@@ -404,10 +535,11 @@ OPERATORS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "surrogate_key": surrogate_key,
     "unknown_member": unknown_member,
     "fact_visit_load": fact_visit_load,
-    "agg_doctor_month": lambda wh: _by_business_id(wh, fact.doctor_months(wh.wide())),
-    "agg_diagnosis_month": lambda wh: _by_business_id(wh, fact.diagnosis_months(wh.wide())),
+    "agg_doctor_month": lambda wh: _text_times(_by_business_id(wh, fact.doctor_months(wh.wide()))),
+    "agg_diagnosis_month": lambda wh: _text_times(_by_business_id(wh, fact.diagnosis_months(wh.wide()))),
     "full_load": full_load,
     "rebuild": rebuild,
+    "rebuild_stopped": lambda wh: _loaded_state(_stopped(wh)),
     "compat_patients": lambda wh: marts.compat_dimension("patient", wh.dimension("patient")),
     "compat_doctors": lambda wh: marts.compat_dimension("doctor", wh.dimension("doctor")),
     "compat_date": lambda wh: marts.compat_dimension("date", wh.dimension("date")),
@@ -456,6 +588,7 @@ OPERATORS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "audit_batch_counts": audit_batch_counts,
     "audit_start_finish": lambda wh: _text_times(_finished_batch(wh)),
     "audit_log": audit_log,
+    "audit_failed_batch": audit_failed_batch,
     "audit_batch_status": lambda wh: _text_times(audit.batch_status(_finished_batch(wh))),
     "describe_warehouse": describe_warehouse,
     "measure_catalog": measure_catalog,

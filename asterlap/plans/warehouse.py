@@ -76,7 +76,7 @@ class Warehouse:
         return self.staging["visits"]().withColumn("VisitKey", F.monotonically_increasing_id() + 1)
 
     def _resolve(self, visits: DataFrame) -> DataFrame:
-        return fact.wide_visits(fact.resolve_visits(visits, self.dimensions()))
+        return fact.wide_visits(fact.resolve_visits(visits, self.dimensions()), self.batch_id, self.now)
 
     def unresolved(self) -> DataFrame:
         """Visits with an unknown reference, those without a FactID included."""

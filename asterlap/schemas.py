@@ -80,4 +80,5 @@ REJECT = _schema(
     "SourceTable string, BusinessKey string, RejectionReason string, Payload string, "
     "BatchID int, RejectedAt timestamp"
 )
+KEY_ERROR = _schema("BatchID int, Reference string, ErrorType string, KeyValue string, KeyRows bigint")
 PARAMETER = _schema("ParameterName string, ParameterValue string, ParameterDescription string, UpdatedAt timestamp")

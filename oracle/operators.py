@@ -1,5 +1,7 @@
 """DuckDB SQL of the loading, checking, cube and audit operators."""
 
+import re
+
 from .base import (
     BAND, END, NOW, PROFIT, REVENUE, TABLES, VISIT_QTY, cents, count_of, half_up, mean_money, mean_rate,
     one_per_id, percent, query, scaled, total,
@@ -163,7 +165,7 @@ def overwritten(name: str, key: str, surrogate: str, staging: str, step: str) ->
 
 def months(key: str, *measures: str) -> str:
     return query(f"""select Year, Month, {key}, {VISIT_QTY}, {REVENUE}, {PROFIT},
-                     {', '.join(measures)} from mv group by Year, Month, {key}""")
+                     {', '.join(measures)}, '{NOW}' as LoadedAt from mv group by Year, Month, {key}""")
 
 
 LOADED = counts(
@@ -196,6 +198,140 @@ DASHBOARD = f"""
          {percent(cents('RevenueAmount'), 'class_cents')} as ShareWithinClass
   from (select *, sum({cents('RevenueAmount')}) over (partition by DiagnosisClass) as class_cents from mg)"""
 
+FILES = {
+    "patients": "DimPatients.csv", "doctors": "DimDoctors.csv", "dates": "DimDate.csv", "visit_types": "DimVisitType.csv",
+    "diagnoses": "DimDiagnoses.csv", "visits": "FactVisits.csv",
+}
+COLUMNS = {
+    "patients": "PatientID FullName Age Phone", "doctors": "DoctorID FullName Specialty", "dates": "DateID Day Month Year WeekDay",
+    "visit_types": "VisitTypeID VisitName VisitCode", "diagnoses": "DiagnosisID ICDCode DiagnosisName TreatmentMethod",
+    "visits": "FactID DateID PatientID DoctorID DiagnosisID VisitTypeID ServiceCostText VisitCount ProfitText PatientCount RepeatRateText AvgTreatmentCostText",
+}
+REFERENCES = {"date": "DateID", "visit_type": "VisitTypeID", "patient": "PatientID", "doctor": "DoctorID", "diagnosis": "DiagnosisID"}
+STAGED_AS = {"patient": "patients", "doctor": "doctors", "diagnosis": "diagnoses", "date": "dates", "visit_type": "visit_types"}
+
+
+def row_text(name: str) -> str:
+    return "concat_ws(';', " + ", ".join(f"coalesce({c}::varchar, '')" for c in COLUMNS[name].split()) + ")"
+
+
+def again(sql: str) -> str:
+    """A statement about the first delivery as one about the second."""
+    return re.sub(r"\b(" + "|".join(TABLES) + r")\b", r"\1_2", sql)
+
+
+def _seen_ids(name: str) -> str:
+    key, table = REFERENCES[name], "ok_" + STAGED_AS[name]
+    return f"select {key} from {table} union select {key} from {table}_2 union select 0"
+
+
+#: The second delivery on top of the first: its files, cleaned by the statements of the first, and what can be referred to.
+SECOND_DELIVERY = {f"{name}_2": sql for name, sql in BATCH_2.items()} | {
+    "stg_visits_2": "select * replace (case when FactID % 5 = 0 then '100,5' else ServiceCostText end as ServiceCostText) from stg_visits where FactID % 7 <> 0",
+} | {f"{name}_2": again(TABLES[name]) for name in [
+    "clean_patients", "ok_patients", "clean_doctors", "ok_doctors", "clean_diagnoses", "ok_diagnoses", "ok_visit_types", "ok_dates", "norm_visits",
+]} | {f"dim_{name}_2": _seen_ids(name) for name in REFERENCES} | {
+    "all_dates": "select DateID, Year, Month from ok_dates_2 union all select DateID, Year, Month from ok_dates where DateID not in (select DateID from ok_dates_2)",
+}
+#: Keys of the second delivery's visits that neither delivery's dimensions have.
+LOST = " union all ".join(
+    f"""select '{key}' as Reference, 'KeyNotFound' as ErrorType, cast({key} as varchar) as KeyValue, count(*) as KeyRows from norm_visits_2
+        where {key} not in (select {key} from {'ok_' + STAGED_AS[n]}_2) group by {key}""" for n, key in REFERENCES.items())
+
+
+def state(name: str, batch: str, source: str, current: str = "null", amount: str = "null") -> str:
+    return (f"select '{name}' as ObjectName, ({batch})::int as BatchID, ({current})::boolean as IsCurrent, count(*) as RowQty, "
+            f"cast({amount} as decimal(28,2)) as Amount from {source} group by all having count(*) > 0")
+
+
+def counted(batch: int, counts: str) -> str:
+    return f"""select unnest(['RowsRead', 'RowsLoaded', 'RowsRejected']) as ObjectName, {batch}::int as BatchID, null::boolean as IsCurrent,
+      unnest([RowsRead::bigint, RowsLoaded::bigint, RowsRejected::bigint]) as RowQty, null::decimal(28,2) as Amount from (select {counts})"""
+
+
+_UNKNOWN = [(n, "true" if n in ("patient", "doctor", "diagnosis") else "null") for n in REFERENCES]
+_MONTHS = "(select Year, Month, {key}, sum(ServiceCost) as s from mv group by Year, Month, {key})"
+STATE_1 = " union all ".join([
+    *[state(f"dim_{n}", "null", f"(select 1 from dim_{n} where coalesce({REFERENCES[n]}, 0) = 0)", c) for n, c in _UNKNOWN],
+    *[state(f"dim_{n}", "1", f"ok_{STAGED_AS[n]}", c) for n, c in _UNKNOWN],
+    state("fact_visit", "1", "fact", amount="sum(ServiceCost)"),
+    state("agg_doctor_month", "null", _MONTHS.format(key="DoctorID"), amount="sum(s)"),
+    state("agg_diagnosis_month", "null", _MONTHS.format(key="DiagnosisID"), amount="sum(s)"),
+    state("rejected_rows", "1", f"({' union all '.join(REJECTS.values())})"), state("data_quality_issue", "1", f"({MISSING})"),
+    counted(1, BATCH_COUNTS),
+])
+_VERSIONS = {
+    "patient": ("PatientID", ["FullName", "Age", "PhoneNormalized"], "ok_patients"),
+    "doctor": ("DoctorID", ["FullName", "Specialty", "SpecialtyGroup"], "ok_doctors"),
+    "diagnosis": ("DiagnosisID", ["ICDCode", "DiagnosisName", "TreatmentMethod", "DiagnosisClass"], "ok_diagnoses"),
+}
+
+
+def _history(name: str) -> str:
+    """(ID, EffectiveFrom, EffectiveTo, IsCurrent, SourceBatchID) of all versions after both deliveries."""
+    key, tracked, table = _VERSIONS[name]
+    differs = " or ".join(f"o.{c} is distinct from n.{c}" for c in tracked)
+    return f"""select 0 as ID, '{FIRST}' as EffectiveFrom, '{END}' as EffectiveTo, true as IsCurrent, null::int as SourceBatchID
+      union all select o.{key}, '{NOW}', case when n.{key} is not null and ({differs}) then '{CLOSED}' else '{END}' end,
+        n.{key} is null or not ({differs}), 1 from {table} o left join {table}_2 n using ({key})
+      union all select n.{key}, '{SECOND}', '{END}', true, 2 from {table}_2 n left join {table} o using ({key}) where o.{key} is null or {differs}"""
+
+
+_FACTS_2 = """(select FactID, coalesce(d.DateID, 0) as DateID, d.Year, d.Month, coalesce(r.DoctorID, 0) as DoctorID, coalesce(g.DiagnosisID, 0) as DiagnosisID,
+  coalesce(ServiceCost, 0) as ServiceCost from norm_visits_2 n left join all_dates d on d.DateID = n.DateID
+  left join dim_doctor_2 r on r.DoctorID = n.DoctorID left join dim_diagnosis_2 g on g.DiagnosisID = n.DiagnosisID)"""
+_MONTHS_2 = "(select Year, Month, {key}, sum(ServiceCost) as s from " + _FACTS_2 + " group by Year, Month, {key})"
+_REJECTED_2 = again(" union all ".join(REJECTS.values()))
+_MEMBERS_2 = " + ".join([
+    *[f"(select count(*) from ({_history(n)}) where IsCurrent and ID <> 0)" for n in _VERSIONS],
+    *[f"(select count(*) from dim_{n}_2 where {REFERENCES[n]} <> 0)" for n in ("date", "visit_type")], "(select count(*) from norm_visits_2)"])
+_READ_2 = " + ".join(f"(select count(*) from stg_{n}_2)" for n in STAGED)
+STATE_1_AND_2 = " union all ".join([
+    *[f"select 'dim_{n}' as ObjectName, SourceBatchID as BatchID, IsCurrent, count(*) as RowQty, null::decimal(28,2) as Amount from ({_history(n)}) group by all" for n in _VERSIONS],
+    *[state(f"dim_{n}", b, f"({rows})") for n in ("date", "visit_type") for b, rows in [
+        ("2", f"select 1 from ok_{STAGED_AS[n]}_2"), ("null", "select 1"),
+        ("1", f"select 1 from ok_{STAGED_AS[n]} where {REFERENCES[n]} not in (select {REFERENCES[n]} from ok_{STAGED_AS[n]}_2)")]],
+    state("fact_visit", "2", _FACTS_2, amount="sum(ServiceCost)"),
+    state("agg_doctor_month", "null", _MONTHS_2.format(key="DoctorID"), amount="sum(s)"),
+    state("agg_diagnosis_month", "null", _MONTHS_2.format(key="DiagnosisID"), amount="sum(s)"),
+    state("rejected_rows", "1", f"({' union all '.join(REJECTS.values())})"), state("rejected_rows", "2", f"({_REJECTED_2})"),
+    state("data_quality_issue", "1", f"({MISSING})"), state("data_quality_issue", "2", f"({again(MISSING)})"),
+    counted(1, BATCH_COUNTS),
+    counted(2, f"{_READ_2} as RowsRead, {_MEMBERS_2} as RowsLoaded, (select count(*) from ({_REJECTED_2})) as RowsRejected"),
+])
+
+
+def _damage_faults(name: str) -> str:
+    """Duplicates, overlaps and IDs with not one current version in a damaged history."""
+    key = _VERSIONS[name][0]
+    damaged = f"""(select ID, EffectiveFrom, IsCurrent or ID % 5 = 0 as IsCurrent,
+      case when not IsCurrent and ID % 3 = 0 then strftime(EffectiveTo::timestamp + interval 1 day, '%Y-%m-%d %H:%M:%S') else EffectiveTo end as EffectiveTo
+      from ({_history(name)}))"""
+    return f"""select 'damaged {name}' as TableName, '{key}+EffectiveTo+IsCurrent' as KeyName, 'duplicate' as ErrorType,
+        concat_ws('|', ID, EffectiveTo, IsCurrent) as KeyValue, count(*) as KeyRows
+        from (select * from {damaged} union all select * from {damaged} where ID % 7 = 0) group by ID, EffectiveTo, IsCurrent having count(*) > 1
+      union all select 'damaged {name}', '{key}', 'overlap', ID::varchar, count(*) from
+        (select ID, lag(EffectiveTo) over (partition by ID order by EffectiveFrom) >= EffectiveFrom as o from {damaged}) where o group by ID
+      union all select 'damaged {name}', '{key}', 'not one current version', ID::varchar, count(*) filter (IsCurrent) from {damaged}
+        group by ID having count(*) filter (IsCurrent) <> 1"""
+
+
+UNIQUE_KEYS = query(
+    """select 'stg.FactVisits_Raw' as TableName, 'FactID' as KeyName, 'duplicate' as ErrorType, FactID::varchar as KeyValue, count(*) as KeyRows
+       from stg_visits group by FactID having count(*) > 1 union all """ + " union all ".join(_damage_faults(n) for n in _VERSIONS), **SECOND_DELIVERY)
+
+_VERSIONED_KEYS = [("EffectiveFrom", "1"), ("EffectiveTo", "1"), ("IsCurrent", "1")]
+MANDATORY = [
+    ("stg.vw_FactVisits_Normalized", "norm_visits", [(c, c) for c in ["FactID", "DateID", "PatientID", "ServiceCost", "Profit", "RepeatRate", "AvgTreatmentCost"]]),
+    ("dw.FactVisit", "fact", [("VisitKey", "1"), ("FactID", "FactID"), *[(k.replace("ID", "Key"), k) for k in REFERENCES.values()],
+                              *[(c, c) for c in ["ServiceCost", "Profit", "VisitCount", "PatientCount", "RepeatRate", "AvgTreatmentCost"]], ("LoadedAt", "1")]),
+    ("dw.DimPatient", "dim_patient", [("PatientKey", "PatientKey"), ("PatientID", "PatientID"), ("FullName", "FullName"), *_VERSIONED_KEYS]),
+    ("dw.DimDoctor", "dim_doctor", [("DoctorKey", "DoctorKey"), ("DoctorID", "DoctorID"), ("FullName", "FullName"), *_VERSIONED_KEYS]),
+    ("dw.DimDiagnosis", "dim_diagnosis", [("DiagnosisKey", "DiagnosisKey"), ("DiagnosisID", "DiagnosisID"), *_VERSIONED_KEYS]),
+    ("dw.DimDate", "dim_date", [("DateKey", "DateID"), ("DateID", "DateID"), ("IsWeekend", "IsWeekend")]),
+    ("dw.DimVisitType", "dim_visit_type", [("VisitTypeKey", "VisitTypeID"), ("VisitTypeID", "VisitTypeID"), ("VisitName", "VisitName"), ("VisitCode", "VisitCode")]),
+]
+
 SQL = {
     "stg_read_csv": query("select * from stg_visits"),
     "stg_read_csv_codepage": query("select * replace ('Пациент ' || FullName as FullName) from stg_patients"),
@@ -211,11 +347,11 @@ SQL = {
                  from stg_visits)
            where FactID % 97 = 0 or FactID % 89 = 0 or FactID % 83 = 0"""),
     "stg_load_all": query(READ),
-    "stg_lineage": query(
-        f"select *, 'DimPatients.csv' as SourceFileName, '{NOW}' as LoadedAt, 1 as BatchID from stg_patients"),
-    "stg_truncate": query("select * from stg_doctors"),
-    "stg_visits_normalized": query("select * from norm_visits"),
-    "stg_visits_strict": query("select * from norm_visits where ServiceCost is not null"),
+    "stg_lineage": query(" union all ".join(
+        f"select {row_text(n)} as RowText, '{FILES[n]}' as SourceFileName, '{NOW}' as LoadedAt, 1 as BatchID from stg_{n}" for n in STAGED)),
+    "stg_truncate": query(" union all ".join(f"select '{n}' as TableName, {row_text(n)} as RowText from stg_{n}" for n in STAGED)),
+    "stg_visits_normalized": query(f"select *, 'FactVisits.csv' as SourceFileName, '{NOW}' as LoadedAt, 1 as BatchID from norm_visits"),
+    "stg_visits_strict": query("select * replace (coalesce(ServiceCost, AvgTreatmentCost) as ServiceCost) from norm_visits"),
     "sink_clear_and_load": query(counts(
         *[(n, f"dim_{n}") for n in ["patient", "doctor", "date", "visit_type", "diagnosis"]], ("fact", "fact"))),
     "param_upsert": query(
@@ -256,21 +392,25 @@ SQL = {
           case when DoctorID % 9 = 0 then '  ' else FullName end as FullName, Specialty from stg_doctors"""),
     "reject_all": query(" union all ".join(REJECTS.values())),
     "dq_fk_missing": query(MISSING),
-    "validate_unique_key": query("select FactID, count(*) as KeyRows from stg_visits group by all having count(*) > 1"),
-    "validate_fk": query(
-        """select DiagnosisID, count(*) as KeyRows from stg_visits
-           where DiagnosisID not in (select DiagnosisID from stg_diagnoses) group by all"""),
+    "validate_unique_key": UNIQUE_KEYS,
+    "validate_fk": query(" union all ".join(
+        f"""select '{key}' as Reference, cast({key} as varchar) as KeyValue, count(*) as KeyRows from stg_visits
+            where {key} is not null and {key} not in (select {key} from dim_{n} where {key} is not null) group by {key}"""
+        for n, key in REFERENCES.items())),
     "validate_not_null": query(" union all ".join(
-        f"select '{c}' as ColumnName, count(*) - count({c}) as NullRows from norm_visits"
-        for c in ["FactID", "DateID", "PatientID", "ServiceCost", "Profit", "RepeatRate", "AvgTreatmentCost"])),
-    "validate_key_policy": query(
-        """select 'KeyNotFound' as ErrorType, cast(DoctorID as varchar) as KeyValue, count(*) as KeyRows from stg_visits
-           where DoctorID not in (select DoctorID from delivered where DoctorID is not null) group by all
-           union all select 'KeyDuplicate', cast(DoctorID as varchar), count(*) from delivered
-             group by DoctorID having count(*) > 1
-           union all select 'NullKey', null, count(*) from delivered where DoctorID is null having count(*) > 0""",
-        delivered="""select case when DoctorID % 11 <> 0 then DoctorID end as DoctorID from
-          (select DoctorID from stg_doctors union all select DoctorID from stg_doctors where DoctorID % 7 = 0)"""),
+        f"select '{t}' as TableName, '{c}' as ColumnName, count(*) - count({expr}) as NullRows from {source}"
+        for t, source, columns in MANDATORY for c, expr in columns)),
+    "validate_key_policy": query(" union all ".join(
+        f"""select '{key}' as Reference, 'KeyNotFound' as ErrorType, cast({key} as varchar) as KeyValue, count(*) as KeyRows
+              from stg_visits where {key} not in (select {key} from delivered_{n} where {key} is not null) group by {key}
+            union all select '{key}', 'KeyDuplicate', cast({key} as varchar), count(*) from delivered_{n}
+              where {key} is not null group by {key} having count(*) > 1
+            union all select '{key}', 'NullKey', null, count(*) from delivered_{n} where {key} is null having count(*) > 0"""
+        for n, key in REFERENCES.items()), **{
+        f"delivered_{n}": f"""select case when {key} % 11 <> 0 then {key} end as {key} from
+          (select {key} from stg_{STAGED_AS[n]} union all select {key} from stg_{STAGED_AS[n]} where {key} % 7 = 0)"""
+        for n, key in REFERENCES.items()}),
+    "validate_key_policy_in_load": query(f"select 2 as BatchID, * from ({LOST})", **SECOND_DELIVERY),
     "scd2_patient": versions(
         "patient", "PatientID", "PatientKey", ["FullName", "Age", "AgeBand", "Phone", "PhoneNormalized"],
         ["FullName", "Age", "PhoneNormalized"], "clean_patients", "ok_patients"),
@@ -294,11 +434,12 @@ SQL = {
     "fact_visit_load": query(
         """select FactID, DateID as DateKey, PatientID, DoctorID, DiagnosisID, VisitTypeID as VisitTypeKey, ServiceCost,
               VisitCount, Profit,
-              PatientCount, RepeatRate, AvgTreatmentCost, MarginPercent from fact"""),
+              PatientCount, RepeatRate, AvgTreatmentCost, MarginPercent, 1 as SourceBatchID, '""" + NOW + """' as LoadedAt from fact"""),
     "agg_doctor_month": months(
         "DoctorID", mean_money("ServiceCost") + " as AvgRevenuePerVisit", mean_money("Profit") + " as AvgProfitPerVisit"),
     "agg_diagnosis_month": months("DiagnosisID", mean_rate("RepeatRate") + " as RepeatRateAvg"),
-    "full_load": DESCRIBED,
+    "full_load": query(f"{STATE_1_AND_2}", **SECOND_DELIVERY),
+    "rebuild_stopped": query(STATE_1),
     "rebuild": query(summary(f"{MISSING} union all {ALL_ISSUES}")),
     "compat_patients": query("select PatientID, FullName as Name, Age, Phone from dim_patient"),
     "compat_doctors": query("select DoctorID, FullName as Name, Specialty from dim_doctor"),
@@ -347,6 +488,14 @@ SQL = {
     "dq_close_issues": query(f"select *, '{NOW}' as LastIssueAt from ({summary(ALL_ISSUES, 'NEGATIVE_MARGIN')})"),
     "audit_batch_counts": query(f"select {BATCH_COUNTS}"),
     "audit_start_finish": query(f"select {BATCH}, 'etl' as Initiator, 'Load complete' as CommentText"),
+    "audit_failed_batch": query(
+        f"""select BatchID, 'Full load' as BatchName, 'CSV' as SourceSystem, StartedAt, StartedAt as FinishedAt, Status, RowsRead, RowsLoaded,
+              RowsRejected, 0 as DurationSeconds, 'etl' as Initiator, CommentText, ErrorLines, ErrorMessage from
+              (select 1 as BatchID, '{NOW}' as StartedAt, 'SUCCESS' as Status, {BATCH_COUNTS}, 'Load complete' as CommentText,
+                 0::bigint as ErrorLines, null as ErrorMessage
+               union all select 2, '{SECOND}', 'FAILED', 0, 0, 0, why, 1, why from
+                 (select 'visits with keys that were not found: ' || string_agg(Reference || ' ' || n, ', ' order by Reference) as why
+                  from (select Reference, sum(KeyRows) as n from ({LOST}) group by Reference)))""", **SECOND_DELIVERY),
     "audit_log": query(
         f"""select 1 as BatchID, 'load_fact_visit' as ProcedureName, 'INFO' as LogLevel, 'Fact load' as StepName,
               'Visits loaded' as LogMessage, count(*) as AffectedRows, '{NOW}' as CreatedAt from fact"""),

@@ -1,13 +1,14 @@
 """Validators, reject rules and data-quality rules on small tables."""
 
-from datetime import date
+from datetime import date, datetime
 from decimal import Decimal as D
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from asterlap.operators import audit, quality, validate
-from asterlap.plans import rejects
+from asterlap.plans import fact, rejects
 from asterlap.schemas import STAGING
 
 
@@ -28,14 +29,65 @@ def test_null_counts(spark, rows):
 
 
 def test_key_policy_reports_and_stops(spark, rows):
-    child = spark.createDataFrame([(1,), (7,)], "k int")
-    parent = spark.createDataFrame([(1,), (1,), (None,)], "k int")
-    assert rows(validate.key_policy(child, "k", parent, "k")) == [
-        ("KeyDuplicate", "1", 2), ("KeyNotFound", "7", 1), ("NullKey", None, 1),
+    child = spark.createDataFrame([(1, "a"), (7, "b"), (7, None)], "k int, m string")
+    parents = {"k": (spark.createDataFrame([(1,), (1,), (None,)], "p int"), "p"), "m": (spark.createDataFrame([("a",)], "q string"), "q")}
+    found = [("k", "KeyDuplicate", "1", 2), ("k", "KeyNotFound", "7", 2), ("k", "NullKey", None, 1), ("m", "KeyNotFound", "b", 1)]
+    assert rows(validate.key_policy(child, parents)) == found
+    with pytest.raises(validate.KeyPolicyError, match="4 keys") as raised:
+        validate.require_key_policy(child, parents)
+    assert rows(raised.value.report) == found
+    validate.require_key_policy(child.filter("k = 1"), {"k": (parents["k"][0].limit(1), "p"), "m": parents["m"]})
+
+
+def test_orphans_of_all_references_in_one_pass(spark, rows):
+    child = spark.createDataFrame([(1, 5), (7, 5), (7, None), (None, 6)], "a int, b bigint")
+    parents = {"a": (spark.createDataFrame([(1,), (None,)], "x int"), "x"), "b": (spark.createDataFrame([(6,)], "y bigint"), "y")}
+    found = validate.orphans_of_all(child, parents)
+    assert rows(found) == [("a", "7", 2), ("b", "5", 2)]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 3  # the child once, each parent once
+
+
+VERSIONS = "k bigint, ID bigint, EffectiveFrom timestamp, EffectiveTo timestamp, IsCurrent boolean"
+
+
+def test_versions_that_overlap(spark, rows):
+    day = lambda n: datetime(2024, 1, n)
+    history = [
+        (1, 1, day(1), day(5), False), (2, 1, day(6), day(9), True),  # in order
+        (3, 2, day(1), day(6), False), (4, 2, day(6), day(9), True),  # the second begins as the first ends
+        (5, 3, day(1), day(9), True), (6, 3, day(2), day(3), True),
+        (7, 4, day(1), day(9), False), (8, None, day(1), day(2), True),
     ]
-    with pytest.raises(validate.KeyPolicyError):
-        validate.require_key_policy(child, "k", parent, "k")
-    validate.require_key_policy(child.filter("k = 1"), "k", parent.limit(1), "k")
+    found = validate.version_faults("t", spark.createDataFrame(history, VERSIONS), "ID", "k")
+    assert rows(found, "ErrorType", "KeyValue", "KeyRows") == [
+        ("not one current version", "3", 2), ("not one current version", "4", 0), ("overlap", "2", 1), ("overlap", "3", 1),
+    ]
+
+
+def test_duplicates_of_all_declared_keys(spark, rows):
+    df = spark.createDataFrame([(1, datetime(2024, 1, 1)), (1, datetime(2024, 1, 1)), (1, datetime(2024, 1, 2)), (None, None), (None, None)], "a int, t timestamp")
+    found = validate.duplicates_of_all([("x", df, ["a"]), ("x", df, ["a", "t"])])
+    assert rows(found, "KeyName", "KeyValue", "KeyRows") == [("a", "", 2), ("a", "1", 3), ("a+t", "1|2024-01-01 00:00:00", 2), ("a+t", "|", 2)]
+
+
+TEXT_VISITS = ", ".join(f"{c} string" for c in STAGING["visits"].names)
+GOOD_VISIT = ("5", "1", "1", "1", " 1 ", "1", "1,5", "1", "-2.25", "1", "0", None)
+
+
+@pytest.mark.parametrize("column,value,named", [
+    ("VisitCount", "x", "FactID 5: VisitCount is not a number: x"), ("DateID", None, "FactID 5: DateID is not a number: <NULL>"),
+    ("ProfitText", "n/a", "FactID 5: ProfitText is not a number: n/a"), ("FactID", "", "FactID : FactID is not a number: "),
+])
+def test_strict_reading_names_row_and_column(spark, column, value, named):
+    place = STAGING["visits"].names.index(column)
+    bad = GOOD_VISIT[:place] + (value,) + GOOD_VISIT[place + 1 :]
+    with pytest.raises(PySparkException, match=named):
+        fact.strict_visits(spark.createDataFrame([GOOD_VISIT, bad], TEXT_VISITS)).collect()
+
+
+def test_strict_reading_of_a_clean_delivery(spark, rows):
+    read = fact.strict_visits(spark.createDataFrame([GOOD_VISIT], TEXT_VISITS))
+    assert rows(read) == [(5, 1, 1, 1, 1, 1, D("1.50"), 1, D("-2.25"), 1, D("0.0000"), None)]
 
 
 def raw_visits(spark, values):

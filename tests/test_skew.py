@@ -42,9 +42,9 @@ def dimensions(spark):
 
 
 def test_spread_load_equals_broadcast_load(hot_visits, dimensions, rows):
-    normalised = fact.normalise_visits(hot_visits)
-    spread = fact.wide_visits(fact.resolve_visits(normalised, dimensions, broadcast_rows=0))
-    broadcast = fact.wide_visits(fact.resolve_visits(normalised, dimensions))
+    normalised, loaded = fact.normalise_visits(hot_visits), F.lit("2024-01-01").cast("timestamp")
+    spread = fact.wide_visits(fact.resolve_visits(normalised, dimensions, broadcast_rows=0), 1, loaded)
+    broadcast = fact.wide_visits(fact.resolve_visits(normalised, dimensions), 1, loaded)
     assert rows(spread) == rows(broadcast)
     assert spread.count() == hot_visits.count()
 
