@@ -75,7 +75,7 @@ def with_share(grouped: DataFrame, column: str, detail: DataFrame, alias: str) -
 
 def _cumulative(df: DataFrame, column: str, names: list[str]) -> tuple[DataFrame, Column]:
     """Rows with their running total, largest first, and the total of all rows (NULL when it is 0)."""
-    running = running_sum(df, column, descending(column, *names), "_running")
+    running = running_sum(df, column, names, "_running", largest=column)
     return running, F.nullif(grand_total(df, column).cast(AMOUNT), F.lit(0).cast(AMOUNT))
 
 

@@ -1,10 +1,11 @@
 """Running sums, ranks and lags over groups of any size.
 
 A plain window sorts each group in one task; a global one has a single group, and a ranking within five
-specialties has five. Here the rows are range-partitioned on (group, order), so a large group spans many buckets.
-Each bucket is computed on its own with an ordinary window, and what it needs to know about the buckets before it
-comes from one summary row per bucket and group. Only the leading group of a bucket can have begun earlier, so at
-most one summary row per bucket matters, which bounds the broadcast by the number of buckets.
+specialties has five. Here the rows are dealt to buckets by ranges of (group, order), so a large group spans many buckets.
+A sample of bounded size gives the ranges' bounds, every row finds its bucket among them by bisection, and the rows are
+shuffled once, by the number of their bucket; windows and sums within buckets need no other shuffle. What a bucket needs
+to know about those before it comes from one summary row per bucket and group. Only the leading group of a bucket can
+have begun earlier, so at most one summary row per bucket matters, which bounds the broadcast by the number of buckets.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -13,16 +14,42 @@ from pyspark.sql import functions as F
 from ..session import checkpointed
 
 _BUCKET = "_bucket"
+#: Buckets at most, and rows of the sample for each of them. The sample decides the layout, never a result.
+MAX_BUCKETS = 1000
+SAMPLED_PER_BUCKET = 20
 
 
-def _ranged(df: DataFrame, group: list[str], order: list[Column], buckets: int | None) -> DataFrame:
-    """Rows with the number of their range bucket, stored so that the boundaries cannot move afterwards.
+def _sort_key(group: list[str], largest: str | None, then: list[str]) -> Column:
+    """What rows are ordered by, as one value: group, ``largest`` descending with NULL last, ``then`` ascending."""
+    parts = [F.col(c) for c in group]
+    if largest:
+        parts += [F.col(largest).isNull(), -F.col(largest)]
+    parts += [F.col(c) for c in then]
+    return F.struct(*[p.alias(f"k{i}") for i, p in enumerate(parts)])
 
-    Without a number of buckets, adaptive execution merges neighbouring ranges until they are worth a task.
-    """
-    keys = [*[F.col(c) for c in group], *order]
-    ranged = df.repartitionByRange(buckets, *keys) if buckets else df.repartitionByRange(*keys)
-    return checkpointed(ranged.withColumn(_BUCKET, F.spark_partition_id()))
+
+def _order(largest: str | None, then: list[str]) -> list[Column]:
+    return ([F.col(largest).desc()] if largest else []) + [F.col(c) for c in then]
+
+
+def _bucketed(df: DataFrame, group: list[str], largest: str | None, then: list[str], buckets: int | None) -> DataFrame:
+    """Rows with the number of their bucket, shuffled by it. The input is stored, since the sample reads it too."""
+    rows = checkpointed(df)
+    number = min(buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
+    key = _sort_key(group, largest, then)
+    sample = rows.select(key.alias("_key")).orderBy(F.rand(1)).limit(SAMPLED_PER_BUCKET * number)
+    ordered = sample.agg(F.sort_array(F.collect_list("_key")).alias("_keys"))
+    at = lambda i: F.get("_keys", F.floor(i * F.size("_keys") / number).cast("int"))
+    bounds = ordered.select(F.transform(F.sequence(F.lit(1), F.lit(max(1, number - 1))), at)).scalar()
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range((number - 1).bit_length()))])
+
+    def on(place: Column, step: Column) -> Column:
+        """As many bounds further as the step, if the row is not before the last of them."""
+        return F.when(F.get("_bounds", place + step - 1) <= F.col("_key"), place + step).otherwise(place)
+
+    found = F.reduce(steps, F.lit(0), on) if number > 1 else F.lit(0)
+    placed = rows.withColumn("_bounds", bounds).withColumn("_key", key).withColumn(_BUCKET, found)
+    return placed.drop("_bounds", "_key").repartitionById(number, F.col(_BUCKET))
 
 
 def _with_carry(ranged: DataFrame, carry: DataFrame, group: list[str]) -> DataFrame:
@@ -38,11 +65,13 @@ def _with_carry(ranged: DataFrame, carry: DataFrame, group: list[str]) -> DataFr
 
 
 def running_sum(
-    df: DataFrame, value: str, order: list[Column], alias: str, group: list[str] = (), buckets: int | None = None
+    df: DataFrame, value: str, then: list[str], alias: str, group: list[str] = (), buckets: int | None = None,
+    largest: str | None = None,
 ) -> DataFrame:
-    """Sum of ``value`` over the rows up to and including the current one. ``order`` must be total."""
-    group = list(group)
-    ranged = _ranged(df, group, order, buckets)
+    """Sum of ``value`` over the rows up to and including the current one, by ``largest`` descending, if given, and
+    ``then`` ascending, which must be a total order."""
+    group, order = list(group), _order(largest, then)
+    ranged = _bucketed(df, group, largest, then, buckets)
     before = Window.partitionBy(*group).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     carry = (
         ranged.groupBy(*group, _BUCKET).agg(F.sum(value).alias("_total"))
@@ -66,7 +95,7 @@ def rank_descending(
     ``tiebreak`` columns spread equal values over buckets; they do not influence the ranks.
     """
     group = list(group)
-    ranged = _ranged(df, group, [F.col(value).desc(), *[F.col(c) for c in tiebreak]], buckets)
+    ranged = _bucketed(df, group, value, tiebreak, buckets)
 
     counted = ranged.groupBy(*group, _BUCKET, value).agg(F.count(F.lit(1)).alias("_n"))
     summary = counted.groupBy(*group, _BUCKET).agg(
@@ -105,7 +134,7 @@ def previous_value(
     df: DataFrame, value: str, order: list[str], alias: str, group: list[str], buckets: int | None = None
 ) -> DataFrame:
     """Value of the preceding row of the group (ascending, total ``order``), NULL for its first row."""
-    ranged = _ranged(df, group, [F.col(c) for c in order], buckets)
+    ranged = _bucketed(df, group, None, order, buckets)
     by_bucket = Window.partitionBy(*group).orderBy(_BUCKET)
     carry = (
         ranged.groupBy(*group, _BUCKET)
