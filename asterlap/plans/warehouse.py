@@ -29,7 +29,7 @@ class Warehouse:
         self._written: dict[str, DataFrame] = {}
         self._build: dict[str, Callable[[], DataFrame]] = {
             "stg_visits": self._staged_visits,
-            "visit": lambda: self._resolve(fact.identified(self.normalised())),
+            "visit": lambda: fact.laid_out(self._resolve(fact.identified(self.normalised()))),
             "doctor_performance": lambda: marts.doctor_performance(self.visits(with_units=True)),
             "diagnosis_performance": lambda: marts.diagnosis_performance(self.visits(with_units=True)),
             "patient_segment": lambda: marts.patient_segment(self.visits(with_units=True)),

@@ -45,3 +45,34 @@ def test_stored_visits_are_narrowed_to_what_a_query_reads(spark, folder):
     plan = registry.queries()["q14_dice"](spark, folder)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [" in plan and "IsNotNull(AcademicPeriod)" in plan
     assert "ReadSchema: struct<AcademicPeriod:string,Specialty:string,ServiceCostUnits:bigint,ProfitUnits:bigint>" in plan
+
+
+def scanned_rows(df):
+    """Rows that the scans of an executed plan returned, the largest first."""
+    found = []
+
+    def walk(node):
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            return walk(node.executedPlan())
+        if "QueryStage" in node.nodeName():
+            return walk(node.plan())
+        if node.nodeName().startswith("Scan"):
+            found.append(node.metrics().apply("numOutputRows").value())
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    df.collect()
+    walk(df._jdf.queryExecution().executedPlan())
+    return sorted(found, reverse=True)
+
+
+def test_stored_visits_are_skipped_by_what_a_query_picks(spark, folder):
+    """Rows of a kind of visit, a season and a doctor lie together, so readers pass over other pages."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.setInt("parquet.page.row.count.limit", 20)
+    try:
+        queries, visits = registry.queries(), registry.warehouse(spark, folder).wide().count()
+    finally:
+        hadoop.unset("parquet.page.row.count.limit")
+    for name in ("q12_slice_primary", "q13_slice_repeat", "q14_dice", "q58_drill_through_doctor"):
+        assert 0 < scanned_rows(queries[name](spark, folder))[0] < 0.75 * visits, name
