@@ -2,7 +2,7 @@
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
@@ -29,6 +29,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_and_measured(df: DataFrame, name: str, files: int | None = None, **measures: Column) -> tuple[DataFrame, dict]:
+    """``stored``, with aggregates of the rows that are taken while they are written; at most ``files`` files, for tables
+    that are known to be small."""
+    seen = Observation()
+    observed = df.observe(seen, *[c.alias(n) for n, c in measures.items()])
+    return stored(observed.coalesce(files) if files else observed, name), seen.get
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once, however often the body names it."""
     return F.element_at(F.transform(F.array(value), body), 1)
@@ -50,10 +58,16 @@ def hot_limit(spark: SparkSession, total: int) -> float:
     return max(64.0, total / (4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
+#: Rows of both sides that one task could join, so that no key needs to be split.
+FEW_ROWS = 100_000
+
+
 def join_counted(left: DataFrame, right: DataFrame, keys: list[str], count: str, total: int) -> DataFrame:
     """Inner join of ``left`` with the unique keys of ``right``, whose column ``count`` says how many rows of ``left``
     have the key (``total`` in all). Hot keys, of which there can only be a bounded number, are broadcast; the others
-    are shuffled. Both inputs are read twice: give stored tables. Null keys don't join."""
+    are shuffled. Both inputs are read twice: give stored tables. Null keys don't join. FEW_ROWS are joined at once."""
+    if total <= FEW_ROWS:
+        return left.join(right, keys)
     hot = hot_limit(left.sparkSession, total)
     heavy = right.filter(F.col(count) > hot)
     light = right.filter(F.col(count) <= hot)

@@ -11,8 +11,9 @@ held against the bucket's first; candidates whose signatures agree too little to
 go, the others are compared exactly on their shingles. Linked texts become components; then only texts of *different*
 components within a bucket are still open. Texts with too many shingles that no other text has cannot be near any; that
 bound is exact, linear, and settles most of a large group's distant copies. The others are held against another text of
-the bucket, again and again while that joins components and leaves many open, and at last against all that remain open:
-so no link that the bands found is lost, and a large group of near copies doesn't become all its pairs.
+the bucket, again and again while that joins components and leaves many open, the more of them the fewer texts are left,
+and at last against all that remain open: so no link that the bands found is lost, and a large group of near copies
+doesn't become all its pairs.
 
 Defined cases: a text of one to four words is one shingle; texts without words (null, empty) are near nothing and a
 class each; copies, repeated rows and null IDs included, share a class; class_id is the least ID of the class, null if
@@ -27,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, document_key, free_name, join_counted, stored, table, text_of
+from .common import arrow_batches, document_key, free_name, join_counted, stored, stored_and_measured, table, text_of
 from .components import components
 from .word_hashes import WordHashes, batch_windows
 
@@ -40,8 +41,14 @@ SIGNATURE = BANDS * BAND_ROWS
 LEAST_AGREEMENT = 0.6
 #: Open pairs (counted in every bucket) per text that shares buckets, up to which all that are open are compared.
 OPEN_PER_TEXT = 10
-#: Firsts of buckets that a text is held against in a turn.
+#: Open pairs (counted in every bucket) up to which all that are open are compared, however few texts there are.
+FEW_OPEN = 50_000
+#: Firsts of buckets that a text is held against in a turn: at least so many, and up to one for every band as long as the
+#: turn has no more than PAIRS_PER_TURN pairs.
 LEADERS = 3
+PAIRS_PER_TURN = 50_000
+#: Rows of a file in the tables of a turn, which get smaller from turn to turn.
+ROWS_PER_FILE = 200_000
 #: Keys of buckets, texts or pairs, 8 to 24 bytes each, are broadcast up to this number of rows and shuffled beyond it.
 BROADCAST_ROWS = 1_000_000
 #: Odd numbers that tell the uses of a hash apart.
@@ -194,8 +201,8 @@ def shingles_of(docs: DataFrame, units: DataFrame) -> DataFrame:
     return rows.mapInArrow(make, "u long, ids binary").groupBy("u").agg(F.min("ids").alias("ids"))
 
 
-def near(pairs: DataFrame, shingles: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The pairs whose exact similarity is at least ``similarity``."""
+def near(pairs: DataFrame, shingles: DataFrame, number: int, similarity: float = SIMILARITY) -> DataFrame:
+    """The pairs, ``number`` at most, whose exact similarity is at least ``similarity``."""
     side = lambda name: shingles.select(F.col("u").alias(name), F.col("ids").alias(f"ids_{name}"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,27 +211,26 @@ def near(pairs: DataFrame, shingles: DataFrame, similarity: float = SIMILARITY)
             yield batch.select([0, 1]).filter(pa.array([jaccard(x, y) >= similarity for x, y in zip(*sets)], pa.bool_()))
 
     # Few pairs go to the shingles, instead of all shingles to the pairs.
-    pairs = stored(pairs, "minhash-compared")
-    few = F.broadcast if pairs.count() <= BROADCAST_ROWS else (lambda df: df)
+    few = F.broadcast if number <= BROADCAST_ROWS else (lambda df: df)
     right = side("b").join(few(pairs.select("b")), "b", "left_semi")
     both = side("a").join(few(pairs), "a").join(right, "b").select("a", "b", "ids_a", "ids_b")
     return both.mapInArrow(compare, "a long, b long")
 
 
-def _against_first(rows: DataFrame, turn: int, total: int) -> DataFrame:
-    """Pairs of each text with the firsts of its buckets (in another order each turn), where they are of two components:
-    the LEADERS that it shares most buckets with."""
-    order = F.xxhash64("band", "u", F.lit(turn))
-    if turn == 1:  # the text with the fewest shingles of its own is the likeliest to be near many
-        order = F.struct(F.col("size") - F.col("common"), order)
-    place = F.struct(order.alias("o"), "u", "comp")
-    firsts = rows.groupBy("band").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-    firsts = stored(firsts.select("band", F.col("first.u").alias("f"), F.col("first.comp").alias("f_comp"), "n"), "minhash-firsts")
-    met = join_counted(rows, firsts, ["band"], "n", total).filter("comp <> f_comp")
+def _pair(one: str, other: str) -> list[Column]:
+    return [F.least(one, other).alias("a"), F.greatest(one, other).alias("b")]
+
+
+def _against_first(rows: DataFrame, leaders: int) -> DataFrame:
+    """Pairs of each text with the firsts of its buckets, where they are of two components: with the ``leaders`` of them
+    that it shares most buckets with."""
+    met = rows.filter("comp <> f_comp")
+    if leaders >= BANDS:
+        return met.select(*_pair("u", "f")).distinct()
     shared = met.groupBy("u", "f").agg(F.count(F.lit(1)).alias("n"))
-    most = F.slice(F.sort_array(F.collect_list(F.struct("n", "f")), asc=False), 1, LEADERS)  # of one for each band at most
+    most = F.slice(F.sort_array(F.collect_list(F.struct("n", "f")), asc=False), 1, leaders)  # of one for each band at most
     best = shared.groupBy("u").agg(most.alias("most")).select("u", F.explode("most.f").alias("f"))
-    return best.select(F.least("u", "f").alias("a"), F.greatest("u", "f").alias("b")).distinct()
+    return best.select(*_pair("u", "f")).distinct()
 
 
 def _all_open(rows: DataFrame) -> DataFrame:
@@ -249,20 +255,28 @@ def unshared(shingles: DataFrame) -> DataFrame:
     return shingles.select("u", size.alias("size")).join(alone, "u", "left").select("u", "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("common"))
 
 
-def _open_buckets(rows: DataFrame) -> DataFrame:
-    """band, n (texts), least (shingles of the smallest), pairs (of texts of two components) of the buckets with several
-    components."""
-    each = rows.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("n"), F.min("size").alias("least"))
-    squares = F.sum(F.col("n") * F.col("n"))
-    whole = each.groupBy("band").agg(F.sum("n").alias("n"), F.min("least").alias("least"), squares.alias("own"), F.count(F.lit(1)).alias("parts"))
-    return whole.filter("parts > 1").select("band", "n", "least", ((F.col("n") * F.col("n") - F.col("own")) / 2).alias("pairs"))
+def _files(rows: int) -> int:
+    return max(1, -(-rows // ROWS_PER_FILE))
 
 
-def _still_open(rows: DataFrame) -> tuple[DataFrame, int, float]:
-    """The rows of buckets with several components, their number, and the number of open pairs."""
-    buckets = stored(_open_buckets(rows), "minhash-buckets")
-    pairs, total = buckets.agg(F.coalesce(F.sum("pairs"), F.lit(0.0)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    return join_counted(rows, buckets.drop("pairs"), ["band"], "n", total).drop("n"), total, pairs
+def _still_open(rows: DataFrame, turn: int, number: int) -> tuple[DataFrame, int, int, float]:
+    """The rows (``number`` at most) of buckets with several components, with each bucket's first text of this turn (f,
+    f_comp) and its smallest text's size (least); how many texts, rows and open pairs these are."""
+    # In the turn after the first, the text with the fewest shingles of its own is the likeliest to be near many.
+    rank = F.col("size") - F.col("common") if turn == 1 else F.lit(0.0)
+    place = F.struct(rank.alias("r"), F.xxhash64("band", "u", F.lit(turn)).alias("o"), "u", "comp")
+    each = rows.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("n"), F.min("size").alias("least"), F.min(place).alias("first"))
+    squares = F.sum(F.col("n") * F.col("n"))
+    whole = each.groupBy("band").agg(F.sum("n").alias("n"), F.min("least").alias("least"), F.min("first").alias("first"), squares.alias("own"), F.count(F.lit(1)).alias("parts"))
+    pairs = (F.col("n") * F.col("n") - F.col("own")) / 2
+    whole = whole.filter("parts > 1").select("band", "n", "least", F.col("first.u").alias("f"), F.col("first.comp").alias("f_comp"), pairs.alias("pairs"))
+    zero = F.lit(0)
+    buckets, seen = stored_and_measured(whole, "minhash-buckets", _files(number), pairs=F.coalesce(F.sum("pairs"), zero), rows=F.coalesce(F.sum("n"), zero))
+    if not seen["rows"]:
+        return rows, 0, 0, 0.0
+    met = join_counted(rows.drop("least", "f", "f_comp"), buckets.drop("pairs"), ["band"], "n", seen["rows"]).drop("n")
+    met, found = stored_and_measured(met, "minhash-open", _files(seen["rows"]), texts=F.approx_count_distinct("u"))
+    return met, found["texts"], seen["rows"], float(seen["pairs"])
 
 
 def _can_link(similarity: float = SIMILARITY) -> Column:
@@ -293,38 +307,44 @@ def linked(docs: DataFrame, units: DataFrame) -> DataFrame:
     paired = stored(units.select("u", "k_id", "k_text", "sig").join(members, "u", "left_semi"), "minhash-paired")
     shingles = stored(shingles_of(docs, paired), "minhash-shingles")
 
-    comps = spark.createDataFrame([], "u long, comp long")
-    tried = spark.createDataFrame([], "a long, b long")
-    # In the first turn, every text is a component of its own, and every bucket that several share is open.
-    rows, turn, texts, joined = members.withColumn("comp", F.col("u")), 0, paired.count(), 0
-    open_pairs = total
+    # At first, every text is a component of its own, and every bucket that several share is open.
+    rows = members.withColumns({"comp": F.col("u"), "size": F.lit(0.0), "common": F.lit(0.0)})
+    comps, linked_texts, all_texts, turn, joined = spark.createDataFrame([], "u long, comp long"), 0, paired.count(), 0, 1
+    rows, texts, total, open_pairs = _still_open(rows, 0, total)
     while total:
-        last = turn > 0 and (open_pairs <= OPEN_PER_TEXT * texts or not joined)
-        pairs = _all_open(rows) if last else _against_first(rows, turn, total)
-        pairs = stored(pairs.join(tried, ["a", "b"], "left_anti") if turn else pairs, "minhash-pairs")
-        new = stored(near(agreeing(pairs, paired), shingles), "minhash-links")
-        joined = new.count()
+        last = turn > 0 and (open_pairs <= max(FEW_OPEN, OPEN_PER_TEXT * all_texts) or not joined)
+        leaders = min(BANDS, max(LEADERS, PAIRS_PER_TURN // texts)) if turn else LEADERS
+        pairs = _all_open(rows) if last else _against_first(rows, leaders)
+        pairs, seen = stored_and_measured(pairs, "minhash-pairs", None if last else _files(leaders * texts), n=F.count(F.lit(1)))
+        alike, seen = stored_and_measured(agreeing(pairs, paired), "minhash-compared", _files(seen["n"]), n=F.count(F.lit(1)))
+        new, seen = stored_and_measured(near(alike, shingles, seen["n"]), "minhash-links", None, n=F.count(F.lit(1)))
+        joined = seen["n"]
         if joined:
-            comps = stored(_merged(comps, new) if turn else components(new), "minhash-components")
+            linked_texts += 2 * joined
+            merged = _merged(comps, new, joined) if turn else components(new, joined)
+            comps = stored(merged.coalesce(_files(linked_texts)), "minhash-components")
         if last:
             break
         if not turn:
-            rows = rows.join(unshared(shingles), "u")
-        turn, tried = turn + 1, tried.union(pairs)
-        rows, total, open_pairs = _still_open(stored(_with_components(rows.drop("comp"), comps), "minhash-rows"))
-        if turn == 1 and total:
+            rows = rows.drop("size", "common").join(unshared(shingles), "u")
+        turn += 1
+        rows = _with_components(rows.drop("comp"), comps)
+        if turn == 1:
             # Many texts of large groups are too far from all others: what they have alone says so, without pairs.
-            rows, total, open_pairs = _still_open(stored(rows.filter(_can_link()).drop("least"), "minhash-rows"))
-        rows = stored(rows.drop("least"), "minhash-open")
+            rows = _still_open(stored(rows, "minhash-rows"), turn, total)[0]
+            if "least" not in rows.columns:
+                break
+            rows = rows.filter(_can_link())
+        rows, texts, total, open_pairs = _still_open(stored(rows.coalesce(_files(total)), "minhash-rows"), turn, total)
     return comps
 
 
-def _merged(comps: DataFrame, new: DataFrame) -> DataFrame:
+def _merged(comps: DataFrame, new: DataFrame, number: int) -> DataFrame:
     """The components (u, comp) with those joined that the new links (a, b) connect."""
     side = lambda name: comps.select(F.col("u").alias(name), F.col("comp").alias(f"comp_{name}"))
     between = new.join(side("a"), "a", "left").join(side("b"), "b", "left")
     between = between.select(F.coalesce("comp_a", "a").alias("a"), F.coalesce("comp_b", "b").alias("b"))
-    step = stored(components(between), "minhash-step")
+    step = components(between, number)
     moved = comps.join(step.select(F.col("u").alias("comp"), F.col("comp").alias("to")), "comp", "left")
     return moved.select("u", F.coalesce("to", "comp").alias("comp")).unionByName(step.join(comps, "u", "left_anti"))
 
