@@ -47,6 +47,8 @@ FEW_OPEN = 50_000
 #: turn has no more than PAIRS_PER_TURN pairs.
 LEADERS = 3
 PAIRS_PER_TURN = 50_000
+#: Pairs that a task compares at least, if there are so many.
+PAIRS_PER_TASK = 2000
 #: Rows of a file in the tables of a turn, which get smaller from turn to turn.
 ROWS_PER_FILE = 200_000
 #: Keys of buckets, texts or pairs, 8 to 24 bytes each, are broadcast up to this number of rows and shuffled beyond it.
@@ -169,8 +171,14 @@ def signatures(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(sign, "k_id long, k_text long, doc_id long, t1 long, t2 long, sig array<long>")
 
 
-def agreeing(pairs: DataFrame, units: DataFrame) -> DataFrame:
-    """The pairs (a, b) of texts whose signatures agree in at least LEAST_AGREEMENT of their coordinates."""
+def _for_python(rows: DataFrame, number: int) -> DataFrame:
+    """``rows``, ``number`` at most, in as many tasks as that is worth: each starts Python once."""
+    return rows.coalesce(max(1, -(-number // PAIRS_PER_TASK)))
+
+
+def agreeing(pairs: DataFrame, units: DataFrame, number: int) -> DataFrame:
+    """The pairs (a, b) of texts, ``number`` at most, whose signatures agree in at least LEAST_AGREEMENT of their
+    coordinates."""
     side = lambda name: units.select(F.col("u").alias(name), F.col("sig").alias(f"sig_{name}"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,7 +188,7 @@ def agreeing(pairs: DataFrame, units: DataFrame) -> DataFrame:
             yield batch.select([0, 1]).filter(pa.array(enough))
 
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sig_a", "sig_b")
-    return both.mapInArrow(compare, "a long, b long")
+    return _for_python(both, number).mapInArrow(compare, "a long, b long")
 
 
 def shingles_of(docs: DataFrame, units: DataFrame) -> DataFrame:
@@ -214,7 +222,7 @@ def near(pairs: DataFrame, shingles: DataFrame, number: int, similarity: float =
     few = F.broadcast if number <= BROADCAST_ROWS else (lambda df: df)
     right = side("b").join(few(pairs.select("b")), "b", "left_semi")
     both = side("a").join(few(pairs), "a").join(right, "b").select("a", "b", "ids_a", "ids_b")
-    return both.mapInArrow(compare, "a long, b long")
+    return _for_python(both, number).mapInArrow(compare, "a long, b long")
 
 
 def _pair(one: str, other: str) -> list[Column]:
@@ -316,7 +324,7 @@ def linked(docs: DataFrame, units: DataFrame) -> DataFrame:
         leaders = min(BANDS, max(LEADERS, PAIRS_PER_TURN // texts)) if turn else LEADERS
         pairs = _all_open(rows) if last else _against_first(rows, leaders)
         pairs, seen = stored_and_measured(pairs, "minhash-pairs", None if last else _files(leaders * texts), n=F.count(F.lit(1)))
-        alike, seen = stored_and_measured(agreeing(pairs, paired), "minhash-compared", _files(seen["n"]), n=F.count(F.lit(1)))
+        alike, seen = stored_and_measured(agreeing(pairs, paired, seen["n"]), "minhash-compared", None, n=F.count(F.lit(1)))
         new, seen = stored_and_measured(near(alike, shingles, seen["n"]), "minhash-links", None, n=F.count(F.lit(1)))
         joined = seen["n"]
         if joined:
