@@ -39,8 +39,9 @@ BANDS, BAND_ROWS = 28, 4
 SIGNATURE = BANDS * BAND_ROWS
 #: Agreement of signatures below which a pair is not compared: 5.3 standard deviations under 0.8.
 LEAST_AGREEMENT = 0.6
-#: Open pairs (counted in every bucket) per text that shares buckets, up to which all that are open are compared.
-OPEN_PER_TEXT = 10
+#: Open pairs (counted in every bucket) per text that shares buckets, up to which all that are open are compared. A pair
+#: that is open meets in several bands, so these are some 50 different pairs, which cost about what the signature cost.
+OPEN_PER_TEXT = 400
 #: Open pairs (counted in every bucket) up to which all that are open are compared, however few texts there are.
 FEW_OPEN = 50_000
 #: Firsts of buckets that a text is held against in a turn: at least so many, and up to one for every band as long as the
