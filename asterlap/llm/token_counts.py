@@ -6,8 +6,10 @@ read once, byte by byte, with no stepping back; its number of pieces is a sum of
 Counts of words seen before are remembered, up to a bound.
 
 The vocabulary is a tokenizers file. Of a WordPiece model, pieces with the continuing prefix go on within a word; of
-any other, all pieces, without their end-of-word marks, may start a word or go on. A word is a run of anything but ASCII white space, in lower case. A word that can't be taken
-apart counts as one unknown token.
+any other, all pieces may start a word or go on. Where pieces have end-of-word marks, those that have one match only
+where the word ends, and the others only where it goes on: a word's last byte is then another symbol than that byte
+elsewhere. A word is a run of anything but ASCII white space, in lower case. A word that can't be taken apart counts as
+one unknown token.
 
 Defined cases: null and empty texts have no words; words of any length are read in full; repeated rows and null IDs are
 counted like others; an empty table gives no rows; other columns are ignored.
@@ -25,7 +27,8 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import arrow_batches, table, text_of
 
 VOCABULARY = "word_bpe_49k.json"
-END = "</w>"
+#: Added to the last byte of a word, and of a piece with an end-of-word mark.
+LAST = 256
 #: Longer words aren't remembered.
 LONG_WORD = 64
 ROOT, REST = 0, 1
@@ -39,29 +42,41 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-def vocabulary(path: str) -> tuple[set[bytes], set[bytes]]:
-    """Pieces that may start a word, and pieces that may go on."""
+Piece = tuple[int, ...]
+
+
+def ending(piece: bytes) -> Piece:
+    """The symbols of a piece, or word, that ends with its last byte."""
+    return (*piece[:-1], piece[-1] + LAST)
+
+
+def vocabulary(path: str) -> tuple[set[Piece], set[Piece], bool]:
+    """Pieces that may start a word, pieces that may go on, and whether ends of words are marked."""
     with open(path, encoding="utf-8") as f:
         model = json.load(f)["model"]
     pieces, letters = model["vocab"], byte_letters()
+    mark = model.get("end_of_word_suffix") or ""
 
-    def plain(piece: str) -> bytes:
-        return bytes(letters[c] for c in piece) if all(c in letters for c in piece) else piece.encode()
+    def symbols(piece: str) -> Piece:
+        plain = piece.removesuffix(mark)
+        found = bytes(letters[c] for c in plain) if all(c in letters for c in plain) else plain.encode()
+        return ending(found) if found and plain != piece else tuple(found)
 
     if model["type"] == "WordPiece":
         more = model["continuing_subword_prefix"]
-        return {p.encode() for p in pieces if not p.startswith(more)}, {p[len(more) :].encode() for p in pieces if p.startswith(more)}
-    whole = {plain(p.removesuffix(END)) for p in pieces} - {b""}
-    return whole, whole
+        starts = {tuple(p.encode()) for p in pieces if not p.startswith(more)}
+        return starts, {tuple(p[len(more) :].encode()) for p in pieces if p.startswith(more)}, False
+    whole = {symbols(p) for p in pieces} - {()}
+    return whole, whole, bool(mark)
 
 
 class LongestMatch(dict):
     """Greedy longest-match piece counts of words; as a mapping, remembers those of words seen."""
 
-    def __init__(self, starts: Iterable[bytes], rests: Iterable[bytes], limit: int = 500_000):
+    def __init__(self, starts: Iterable[Iterable[int]], rests: Iterable[Iterable[int]], marked: bool = False, limit: int = 500_000):
         super().__init__()
-        self.limit = limit
-        # Edges are keyed by node * 256 + byte.
+        self.limit, self.marked = limit, marked
+        # Edges are keyed by node * 512 + symbol.
         self.edges: dict[int, int] = {}
         self.fail: list[int] = [-1, -1]
         self.popped: list[int] = [0, 0]
@@ -70,7 +85,7 @@ class LongestMatch(dict):
             for piece in pieces:
                 node = root
                 for byte in piece:
-                    key = node << 8 | byte
+                    key = node << 9 | byte
                     if key not in self.edges:
                         self.edges[key] = len(ends)
                         ends.append(False)
@@ -83,7 +98,7 @@ class LongestMatch(dict):
     def _link(self, ends: list[bool]) -> None:
         below: dict[int, list[tuple[int, int]]] = {}
         for key, node in self.edges.items():
-            below.setdefault(key >> 8, []).append((key & 255, node))
+            below.setdefault(key >> 9, []).append((key & 511, node))
         queue = deque((ROOT, REST))
         while queue:
             parent = queue.popleft()
@@ -93,19 +108,19 @@ class LongestMatch(dict):
                     self.fail[node], self.popped[node] = REST, 1
                     continue
                 at, count = self.fail[parent], self.popped[parent]
-                while at >= 0 and at << 8 | byte not in self.edges:
+                while at >= 0 and at << 9 | byte not in self.edges:
                     count += self.popped[at]
                     at = self.fail[at]
                 if at >= 0:
-                    self.fail[node], self.popped[node] = self.edges[at << 8 | byte], count
+                    self.fail[node], self.popped[node] = self.edges[at << 9 | byte], count
 
     def pieces(self, word: bytes) -> int:
         """The number of pieces of a word; 0 if it can't be taken apart."""
         edges, fail, popped = self.edges, self.fail, self.popped
         node = ROOT
         count = 0
-        for byte in word:
-            while (to := edges.get(node << 8 | byte)) is None:
+        for byte in ending(word) if self.marked and word else word:
+            while (to := edges.get(node << 9 | byte)) is None:
                 count += popped[node]
                 node = fail[node]
                 if node < 0:

@@ -1,3 +1,4 @@
+import json
 import random
 from collections import Counter
 import zlib
@@ -7,6 +8,7 @@ import public_tokenizers
 import pytest
 from llm_texts import prose
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from asterlap.llm import packing as K
 from asterlap.llm import token_counts as C
@@ -149,15 +151,59 @@ def test_piece_counts_are_those_of_greedy_matching():
             assert automaton.pieces(word) == greedy(word, starts, rests)
 
 
+def marked_pieces(path):
+    """Pieces with and without the end-of-word mark, read from the file by the library's own alphabet of bytes."""
+    found = [p for p in json.load(open(path, encoding="utf-8"))["model"]["vocab"]]
+    return {p[:-4] for p in found if p.endswith("</w>")} - {""}, {p for p in found if not p.endswith("</w>")}
+
+
+def greedy_marked(word, ends, inner):
+    """Longest first: the whole rest as a piece that ends a word, or else a piece that leaves some of it."""
+    i = n = 0
+    while i < len(word):
+        if word[i:] in ends:
+            return n + 1
+        j = next((j for j in range(len(word) - 1, i, -1) if word[i:j] in inner), None)
+        if j is None:
+            return 0
+        i, n = j, n + 1
+    return n
+
+
+def letters_of(word):
+    """The word in the letters of byte-level vocabularies, by the library."""
+    return "".join(p for p, _ in ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(word))
+
+
 def test_piece_counts_of_documents(odd, documents):
     df, rows = odd
-    starts, rests = C.vocabulary(WORD)
-    got = sorted((str(r.doc_id), r.n_words, r.n_tokens, r.n_unknown) for r in C.counts(df, WORD).collect())
+    texts = strange(300) + ["unhappinesses walking walkings a ab the thethe theth", "ing ingx xing ' ''", "日本語 étés été"]
+    rows = [*rows, *((9000 + i, t) for i, t in enumerate(texts))]
+    ends, inner = marked_pieces(WORD)
+    assert len(ends - inner) > 20_000, "many pieces only end words"
+    got = sorted((str(r.doc_id), r.n_words, r.n_tokens, r.n_unknown) for r in C.counts(documents([r[:2] for r in rows]), WORD).collect())
     known = {}
-    count = lambda w: known.setdefault(w, greedy(w, starts, rests)) if len(w) < 1000 else C.LongestMatch(starts, rests).pieces(w)
-    split = [(r[1] or "").lower().encode().split() for r in rows]
+
+    def count(w):
+        if w not in known:
+            known[w] = greedy_marked(letters_of(w), ends, inner) if len(w) < 1000 else C.LongestMatch(*C.vocabulary(WORD)).pieces(w.encode())
+        return known[w]
+
+    split = [[w.decode() for w in (r[1] or "").lower().encode().split()] for r in rows]
     assert got == sorted((str(r[0]), len(ws), sum(max(1, count(w)) for w in ws), sum(not count(w) for w in ws)) for r, ws in zip(rows, split))
-    assert C.counts(documents([]), WORD).count() == 0
+    assert C.counts(df, WORD).count() == len(rows) - len(texts) and C.counts(documents([]), WORD).count() == 0
+
+
+def test_last_pieces_match_only_where_a_word_ends():
+    rng = random.Random(9)
+    some = lambda: {bytes(rng.choices(b"ab", k=rng.randint(1, 4))) for _ in range(rng.randint(1, 6))}
+    for _ in range(1500):
+        ends, inner = some(), some()
+        whole = {C.ending(p) for p in ends} | {tuple(p) for p in inner}
+        automaton = C.LongestMatch(whole, whole, True)
+        for _ in range(10):
+            word = bytes(rng.choices(b"abc", (9, 9, 1), k=rng.randint(1, 14)))
+            assert automaton.pieces(word) == greedy_marked(word, ends, inner)
 
 
 def test_ids_are_those_of_the_library_with_its_defaults(documents, tmp_path):
