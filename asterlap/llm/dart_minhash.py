@@ -13,7 +13,9 @@ components within a bucket are still open. Texts with too many shingles that no
 bound is exact, linear, and settles most of a large group's distant copies. The others are held against another text of
 the bucket, again and again while that joins components and leaves many open, the more of them the fewer texts are left,
 and at last against all that remain open: so no link that the bands found is lost, and a large group of near copies
-doesn't become all its pairs.
+doesn't become all its pairs. In large buckets that last comparison is done block against block: only pairs whose
+signatures agree, and whose shingles, counted by residue classes of their hashes, leave a similarity of 0.8 possible (an
+exact bound), become rows.
 
 Defined cases: a text of one to four words is one shingle; texts without words (null, empty) are near nothing and a
 class each; copies, repeated rows and null IDs included, share a class; class_id is the least ID of the class, null if
@@ -44,6 +46,10 @@ LEAST_AGREEMENT = 0.6
 OPEN_PER_TEXT = 400
 #: Open pairs (counted in every bucket) up to which all that are open are compared, however few texts there are.
 FEW_OPEN = 50_000
+#: Texts of a bucket up to which its open pairs become rows, and texts of a block in larger ones.
+SMALL_BUCKET, BLOCK = 32, 1024
+#: Classes of shingle hashes, by whose counts a pair's common shingles are bounded.
+CLASSES = 256
 #: Firsts of buckets that a text is held against in a turn: at least so many, and up to one for every band as long as the
 #: turn has no more than PAIRS_PER_TURN pairs.
 LEADERS = 3
@@ -148,6 +154,19 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return common / (len(a) + len(b) - common)
 
 
+def tally(ids: np.ndarray) -> np.ndarray:
+    """How many of the hashes are in each class, up to 65535."""
+    return np.minimum(np.bincount((ids % np.uint64(CLASSES)).astype(np.int64), minlength=CLASSES), 65535).astype(np.uint16)
+
+
+def may_be_near(one: np.ndarray, others: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
+    """Whether the tally ``one`` and each of ``others`` leave the similarity possible: no more shingles of a class are
+    common than the text with fewer of them has. Classes that are full say nothing."""
+    common = np.minimum(others, one).sum(axis=1, dtype=np.int64)
+    union = others.sum(axis=1, dtype=np.int64) + one.sum(dtype=np.int64) - common
+    return (common >= similarity * union - 1e-9) | (others == 65535).any(axis=1) | (one == 65535).any()
+
+
 def signatures(docs: DataFrame) -> DataFrame:
     """k_id, k_text, doc_id, t1, t2 (hashes of the words) and the signature, four coordinates to a number, of every row.
     The last three are null for a text without words."""
@@ -193,7 +212,7 @@ def agreeing(pairs: DataFrame, units: DataFrame, number: int) -> DataFrame:
 
 
 def shingles_of(docs: DataFrame, units: DataFrame) -> DataFrame:
-    """(u, ids): the expanded shingles of the texts ``units`` (u, k_id, k_text)."""
+    """(u, ids, tally): the expanded shingles of the texts ``units`` (u, k_id, k_text), and how many are in each class."""
     key_id, key_text = document_key(docs)
     units = units.select("u", "k_id", "k_text")
     if units.count() <= BROADCAST_ROWS:
@@ -203,11 +222,12 @@ def shingles_of(docs: DataFrame, units: DataFrame) -> DataFrame:
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for b in batches:
-            sets = [expanded(*s).tobytes() for s in shingle_sets(b.column(1).to_pylist(), hashes)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], names=["u", "ids"])
+            sets = [expanded(*s) for s in shingle_sets(b.column(1).to_pylist(), hashes)]
+            binary = lambda arrays: pa.array([x.tobytes() for x in arrays], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0), binary(sets), binary(map(tally, sets))], names=["u", "ids", "tally"])
 
     # Rows with the same ID and text have the same shingles: one of them is enough.
-    return rows.mapInArrow(make, "u long, ids binary").groupBy("u").agg(F.min("ids").alias("ids"))
+    return rows.mapInArrow(make, "u long, ids binary, tally binary").groupBy("u").agg(F.min("ids").alias("ids"), F.min("tally").alias("tally"))
 
 
 def near(pairs: DataFrame, shingles: DataFrame, number: int, similarity: float = SIMILARITY) -> DataFrame:
@@ -242,11 +262,47 @@ def _against_first(rows: DataFrame, leaders: int) -> DataFrame:
     return best.select(*_pair("u", "f")).distinct()
 
 
-def _all_open(rows: DataFrame) -> DataFrame:
-    """All pairs of texts of two components that share a bucket."""
+def _all_open(rows: DataFrame, units: DataFrame, shingles: DataFrame) -> DataFrame:
+    """All pairs of texts of two components that share a bucket; of large buckets, those that can be near."""
+    large = _in_blocks(rows.filter(F.col("many") > SMALL_BUCKET), units, shingles)
+    return _in_small_buckets(rows.filter(F.col("many") <= SMALL_BUCKET)).union(large).distinct()
+
+
+def _in_small_buckets(rows: DataFrame) -> DataFrame:
     other = rows.select("band", F.col("u").alias("v"), F.col("comp").alias("v_comp"))
     met = rows.join(other, "band").filter("u < v and comp <> v_comp")
-    return met.select(F.col("u").alias("a"), F.col("v").alias("b")).distinct()
+    return met.select(F.col("u").alias("a"), F.col("v").alias("b"))
+
+
+def _in_blocks(rows: DataFrame, units: DataFrame, shingles: DataFrame) -> DataFrame:
+    """Pairs of two components in a bucket whose signatures agree enough and whose tallies allow it, each in the first of
+    the bands that it shares. A bucket's texts are dealt to blocks, and every two blocks meet in a task."""
+    known = units.select("u", "sig").join(shingles.select("u", "tally"), "u")
+    blocks = F.ceil(F.col("many") / BLOCK)
+    dealt = rows.select("u", "band", "place", "comp", F.pmod(F.xxhash64("u"), blocks).alias("block"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    met = dealt.join(known, "u").select("*", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+
+    def compare(table: pa.Table) -> pa.Table:
+        u, comp, block = (table.column(c).to_numpy() for c in ("u", "comp", "block"))
+        place = table.column("place")[0].as_py()
+        sigs = np.array(table.column("sig").to_pylist(), np.int64).view(np.uint16).reshape(-1, SIGNATURE)
+        tallies = np.frombuffer(b"".join(table.column("tally").to_pylist()), np.uint16).reshape(-1, CLASSES)
+        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
+        left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
+        a, b = [], []
+        for k, i in enumerate(left):
+            to = right[k + 1 :] if low == high else right
+            to = to[comp[to] != comp[i]]
+            equal = sigs[to] == sigs[i]
+            first = equal.reshape(-1, BANDS, BAND_ROWS).all(axis=2).argmax(axis=1) == place
+            to = to[first & (equal.mean(axis=1) >= LEAST_AGREEMENT)]
+            to = to[may_be_near(tallies[i], tallies[to])]
+            a.append(np.minimum(u[i], u[to]))
+            b.append(np.maximum(u[i], u[to]))
+        empty = np.zeros(0, np.int64)
+        return pa.table({"a": np.concatenate([empty, *a]), "b": np.concatenate([empty, *b])})
+
+    return met.groupBy("band", "low", "high").applyInArrow(compare, "a long, b long")
 
 
 def unshared(shingles: DataFrame) -> DataFrame:
@@ -270,7 +326,7 @@ def _files(rows: int) -> int:
 
 def _still_open(rows: DataFrame, turn: int, number: int) -> tuple[DataFrame, int, int, float]:
     """The rows (``number`` at most) of buckets with several components, with each bucket's first text of this turn (f,
-    f_comp) and its smallest text's size (least); how many texts, rows and open pairs these are."""
+    f_comp), its smallest text's size (least) and its number of texts (many); how many texts, rows and open pairs these are."""
     # In the turn after the first, the text with the fewest shingles of its own is the likeliest to be near many.
     rank = F.col("size") - F.col("common") if turn == 1 else F.lit(0.0)
     place = F.struct(rank.alias("r"), F.xxhash64("band", "u", F.lit(turn)).alias("o"), "u", "comp")
@@ -283,7 +339,7 @@ def _still_open(rows: DataFrame, turn: int, number: int) -> tuple[DataFrame, int
     buckets, seen = stored_and_measured(whole, "minhash-buckets", _files(number), pairs=F.coalesce(F.sum("pairs"), zero), rows=F.coalesce(F.sum("n"), zero))
     if not seen["rows"]:
         return rows, 0, 0, 0.0
-    met = join_counted(rows.drop("least", "f", "f_comp"), buckets.drop("pairs"), ["band"], "n", seen["rows"]).drop("n")
+    met = join_counted(rows.drop("least", "f", "f_comp", "many"), buckets.drop("pairs"), ["band"], "n", seen["rows"]).withColumnRenamed("n", "many")
     met, found = stored_and_measured(met, "minhash-open", _files(seen["rows"]), texts=F.approx_count_distinct("u"))
     return met, found["texts"], seen["rows"], float(seen["pairs"])
 
@@ -305,14 +361,14 @@ def _units(rows: DataFrame) -> DataFrame:
 def linked(docs: DataFrame, units: DataFrame) -> DataFrame:
     """(u, comp) of the texts that are linked to others."""
     spark = docs.sparkSession
-    buckets = units.select("u", F.posexplode("sig").alias("place", "part")).select("u", F.xxhash64("place", "part").alias("band"))
+    buckets = units.select("u", F.posexplode("sig").alias("place", "part")).select("u", "place", F.xxhash64("place", "part").alias("band"))
     shared = stored(buckets.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "minhash-shared")
     total = shared.agg(F.sum("n")).first()[0] or 0
     if shared.count() <= BROADCAST_ROWS:
         met = buckets.join(F.broadcast(shared.select("band")), "band", "left_semi")
     else:
         met = join_counted(buckets, shared, ["band"], "n", total)
-    members = stored(met.select("u", "band"), "minhash-members")
+    members = stored(met.select("u", "place", "band"), "minhash-members")
     paired = stored(units.select("u", "k_id", "k_text", "sig").join(members, "u", "left_semi"), "minhash-paired")
     shingles = stored(shingles_of(docs, paired), "minhash-shingles")
 
@@ -323,7 +379,7 @@ def linked(docs: DataFrame, units: DataFrame) -> DataFrame:
     while total:
         last = turn > 0 and (open_pairs <= max(FEW_OPEN, OPEN_PER_TEXT * all_texts) or not joined)
         leaders = min(BANDS, max(LEADERS, PAIRS_PER_TURN // texts)) if turn else LEADERS
-        pairs = _all_open(rows) if last else _against_first(rows, leaders)
+        pairs = _all_open(rows, paired, shingles) if last else _against_first(rows, leaders)
         pairs, seen = stored_and_measured(pairs, "minhash-pairs", None if last else _files(leaders * texts), n=F.count(F.lit(1)))
         alike, seen = stored_and_measured(agreeing(pairs, paired, seen["n"]), "minhash-compared", None, n=F.count(F.lit(1)))
         new, seen = stored_and_measured(near(alike, shingles, seen["n"]), "minhash-links", None, n=F.count(F.lit(1)))

@@ -71,6 +71,27 @@ def test_no_link_is_lost_when_turns_go_on(documents, monkeypatch):
     assert [got[i] for i, _ in rows] == brute(rows)
 
 
+def test_no_link_is_lost_in_blocks(documents, monkeypatch):
+    monkeypatch.setattr(D, "SMALL_BUCKET", 1)
+    monkeypatch.setattr(D, "BLOCK", 7)
+    monkeypatch.setattr(D, "OPEN_PER_TEXT", 10**6)
+    rows = corpus()[:150]
+    got = {r.doc_id: r.class_id for r in D.classes(documents(rows)).collect()}
+    assert [got[i] for i, _ in rows] == brute(rows)
+
+
+def test_tallies_bound_the_similarity():
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        ids = np.unique(rng.integers(1, 2**63, rng.integers(1, 900), dtype=np.uint64))
+        a, b = (ids[rng.random(len(ids)) < 0.9] for _ in range(2))
+        if len(a) and len(b) and D.jaccard(a, b) >= 0.8:
+            assert D.may_be_near(D.tally(a), D.tally(b)[None])[0]
+    many = np.arange(256, 256 * 70_000, 256, dtype=np.uint64)
+    assert D.may_be_near(D.tally(many), D.tally(many[:60_000])[None])[0]
+    assert not D.may_be_near(D.tally(np.arange(80, dtype=np.uint64)), D.tally(np.arange(60, dtype=np.uint64))[None])[0]
+
+
 def test_one_document_of_each_class_stays(documents):
     rows = corpus()
     kept = [r.doc_id for r in D.one_of_each(documents(rows + [rows[0], rows[0]])).collect()]
