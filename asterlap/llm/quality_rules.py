@@ -1,13 +1,11 @@
 """Quality rules: measures of a text, and lines that many documents of one host share.
 
-Normalised lines are hashed; for each host, the distinct documents that have a line are counted; lines above the limit
-are removed; a document that this leaves depleted is rejected. Copies are not evidence of boilerplate: a document is
-known by all its normalised lines, and near copies (a Jaccard similarity of at least 0.8 of their shingles of five words)
-count once, while a line that different documents share is counted for each of them, however many lines they share.
-First, lines are counted over distinct texts, which are never fewer; only documents that hold a line above the limit are
-then held against each other: by sketches of their least shingle hashes, exact for texts of fewer shingles than a sketch
-has, in buckets of a band of it, each against the bucket's first, so a large group doesn't become all its pairs. Links
-become components. Only DataFrame functions are used.
+Normalised lines are hashed; for each host, the distinct documents that have a line are counted; lines that more than a
+limit of documents have are removed; a document that this leaves depleted is rejected. A document is known by all its
+normalised lines in order, so that copies of a text, which are no evidence of boilerplate, count once, and so do texts
+that differ in case or white space alone; any other two documents of a host are distinct, however many lines they share.
+Counts are exact: (host, line, document) is reduced first, so a line that all documents of a host have is many keys, and
+joins on lines are split by their counted occurrences. Only DataFrame functions are used.
 
 Defined cases: a null text is empty, has no words and fails; null hosts are one host; null IDs are kept as they are;
 every row is judged on its own, repeated rows included (as copies they count once); an empty table gives no rows;
@@ -17,8 +15,7 @@ columns other than doc_id, text and source are ignored.
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, SPACE_CLASS, document_key, join_counted, let, stored, table, text_of
-from .components import components
+from .common import SPACE, SPACE_CLASS, document_key, join_counted, let, stored, stored_and_measured, table, text_of
 
 MIN_WORDS = 20
 WINDOW = 8
@@ -27,14 +24,6 @@ MAX_REPEATED_PERCENT = 30
 MAX_DOCUMENTS = 20
 MIN_KEPT_PERCENT = 30
 SYMBOLS = "[#*$%&|<>]"
-SHINGLE = 5
-SIMILARITY = 0.8
-#: Shingle hashes of a sketch; at most. A similarity of 0.8 between longer texts is known to 0.035 (standard deviation).
-SKETCH = 128
-#: A band is the two least hashes of a residue class, so a pair at 0.8 shares no bucket with a chance of 0.36**16.
-BANDS = 16
-#: Keys of documents, 16 bytes each, are broadcast up to this number of rows and shuffled beyond it.
-BROADCAST_ROWS = 1_000_000
 
 
 def words(text: Column) -> Column:
@@ -68,32 +57,14 @@ def repeated_words(word_list: Column, window: int = WINDOW) -> Column:
     return let(word_list, of)
 
 
-def sketch(word_list: Column) -> Column:
-    """The least hashes of a text's shingles in lower case, ascending, each once; fewer words are one shingle."""
-
-    def of(hs: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.size(hs) - SHINGLE + 1, F.lit(1)))
-        return F.slice(F.sort_array(F.array_distinct(F.transform(starts, lambda i: F.hash(F.slice(hs, i, SHINGLE))))), 1, SKETCH)
-
-    return let(F.transform(word_list, lambda w: F.xxhash64(F.lower(w))), of)
-
-
-def likeness(a: Column, b: Column) -> Column:
-    """The Jaccard similarity that two sketches show."""
-    union = F.array_union(a, b)
-    whole = (F.size(a) < SKETCH) & (F.size(b) < SKETCH)
-    least = F.when(whole, union).otherwise(F.slice(F.sort_array(union), 1, SKETCH))
-    return let(least, lambda u: F.size(F.array_intersect(F.array_intersect(a, b), u)) / F.size(u))
-
-
 def normal_line(line: Column) -> Column:
     """Lower case, white space as single blanks."""
     return F.trim(F.regexp_replace(F.lower(line), SPACE_CLASS + "+", " "))
 
 
 def profiles(docs: DataFrame) -> DataFrame:
-    """A row per document: its measures, its host, the hash and number of words of every line with a word, its sketch, and
-    ``doc``, which rows of a host share whose lines are equal."""
+    """A row per document: its measures, its host, the hash and number of words of every line with a word, and ``doc``,
+    which rows of a host share whose lines are equal."""
     text = text_of(docs)
     split = docs.select(
         "doc_id", *document_key(docs), text.alias("t"), F.coalesce(docs["source"], F.lit("")).alias("host"), words(text).alias("ws"),
@@ -106,29 +77,14 @@ def profiles(docs: DataFrame) -> DataFrame:
         F.regexp_count("t", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         (F.size("ls") - F.size(F.array_distinct("ls"))).cast("long").alias("n_dup_lines"),
         repeated_words(F.col("ws")).cast("long").alias("n_repeat_words"),
-        F.transform("ls", line).alias("lines"), sketch(F.col("ws")).alias("sketch"),
+        F.transform("ls", line).alias("lines"),
     )
     return measured.withColumn("doc", F.xxhash64("host", F.transform("lines", lambda x: x["h"])))
 
 
-def near_copies(documents: DataFrame) -> DataFrame:
-    """(doc, same) of the documents (doc, host, sketch; stored) that have near copies in their host: ``same`` is equal for
-    all that links join."""
-    own = lambda b: F.filter("sketch", lambda v: F.pmod(v, F.lit(BANDS)) == b)
-    bucket = lambda b: let(own(b), lambda hs: F.when(F.size(hs) > 0, F.xxhash64("host", b, F.slice(hs, 1, 2))))
-    buckets = F.array_compact(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), bucket))
-    placed = stored(documents.select("doc", F.explode(buckets).alias("bucket")), "quality-buckets")
-    shared = placed.groupBy("bucket").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    pairs = join_counted(placed, stored(shared, "quality-firsts"), ["bucket"], "n", placed.count())
-    pairs = stored(pairs.filter("doc <> first").select("doc", "first").distinct(), "quality-pairs")
-    firsts = pairs.groupBy("first").agg(F.count(F.lit(1)).alias("n")).join(documents.select(F.col("doc").alias("first"), F.col("sketch").alias("other")), "first")
-    both = join_counted(pairs, stored(firsts, "quality-sketches"), ["first"], "n", pairs.count()).join(documents.select("doc", "sketch"), "doc")
-    links = both.filter(likeness(F.col("sketch"), F.col("other")) >= SIMILARITY)
-    return components(links.select(F.col("doc").alias("a"), F.col("first").alias("b"))).select(F.col("u").alias("doc"), F.col("comp").alias("same"))
-
-
-def _above(documents: DataFrame, limit: int) -> DataFrame:
-    """host, h, occurrences of the lines (host, h, document, n) that more than ``limit`` documents of a host have."""
+def frequent_lines(lines: DataFrame, limit: int) -> DataFrame:
+    """host, h, occurrences of the lines (host, h, doc) that more than ``limit`` distinct documents of a host have."""
+    documents = lines.groupBy("host", "h", "doc").agg(F.count(F.lit(1)).alias("n"))
     counted = documents.groupBy("host", "h").agg(F.count(F.lit(1)).alias("documents"), F.sum("n").alias("occurrences"))
     return counted.filter(F.col("documents") > limit).select("host", "h", "occurrences")
 
@@ -149,25 +105,17 @@ def _verdict(rows: DataFrame, removed: DataFrame) -> DataFrame:
 
 def _taken(docs: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
     """Stored profiles, and their lines above the limit."""
-    rows = stored(profiles(docs), "quality-profiles")
-    total = rows.agg(F.sum(F.size("lines"))).first()[0] or 0
-    by = lambda lines, document: lines.groupBy("host", "h", document).agg(F.count(F.lit(1)).alias("n"))
-    often = stored(_above(by(_lines(rows), "doc"), limit), "quality-often")
-    lines = stored(join_counted(_lines(rows), often, ["host", "h"], "occurrences", total).drop("occurrences"), "quality-lines")
-    one = lines.groupBy("doc").agg(F.min("row").alias("row"))
-    one = stored(one, "quality-holders")
-    one = F.broadcast(one) if one.count() <= BROADCAST_ROWS else one
-    documents = stored(rows.select("row", "host", "sketch").join(one, "row").drop("row"), "quality-documents")
-    known = by(lines, "doc").join(near_copies(documents), "doc", "left").groupBy("host", "h", F.coalesce("same", "doc").alias("document"))
-    frequent = stored(_above(known.agg(F.sum("n").alias("n")), limit), "quality-frequent")
-    return rows, join_counted(lines, frequent, ["host", "h"], "occurrences", total)
+    rows, seen = stored_and_measured(profiles(docs), "quality-profiles", n=F.sum(F.size("lines")))
+    lines = _lines(rows)
+    frequent = stored(frequent_lines(lines, limit), "quality-frequent")
+    return rows, join_counted(lines, frequent, ["host", "h"], "occurrences", seen["n"] or 0)
 
 
 def judge(docs: DataFrame, limit: int = MAX_DOCUMENTS) -> DataFrame:
     """Each row's measures, the words that the removal of lines takes (n_line_words), and the verdict."""
     rows, taken = _taken(docs, limit)
     removed = taken.groupBy("row").agg(F.sum("w").alias("n_line_words"))
-    return _verdict(rows, removed).drop("row", "k_id", "k_text", "host", "lines", "sketch", "doc")
+    return _verdict(rows, removed).drop("row", "k_id", "k_text", "host", "lines", "doc")
 
 
 def clean(docs: DataFrame, limit: int = MAX_DOCUMENTS) -> DataFrame:
@@ -198,11 +146,11 @@ win as (select rid, unnest(generate_series(1, len(w) - 7)) as i, w from ws where
 hashed as (select rid, i, array_to_string(w[i:i+7], ' ') as h from win),
 again as (select rid, i, count(*) over (partition by rid, h) as n from hashed),
 covered as (select rid, count(distinct i + k) as n from again, (select unnest(generate_series(0, 7)) as k) where n > 1 group by rid),
-line as (select rid, host, trim(regexp_replace(lower(l), '[\x20\x09-\x0D]+', ' ', 'g')) as l from (select rid, host, unnest(ls) as l from ws)),
-occ as (select rid, host, substr(md5(l), 1, 16) as h, len(string_split(l, ' ')) as w from line),
-least as (select rid, list_sort(list_distinct(list(h)))[1:2] as m from occ group by rid),
-known as (select o.*, case when h <> m[1] then m[1] else coalesce(m[2], h) end as other from occ o join least using (rid)),
-frequent as (select host, h from known group by host, h having count(distinct other) > 20),
+line as (select rid, host, k, trim(regexp_replace(lower(l), '[\x20\x09-\x0D]+', ' ', 'g')) as l
+  from (select rid, host, generate_subscripts(ls, 1) as k, unnest(ls) as l from ws)),
+occ as (select rid, host, k, md5(l) as h, len(string_split(l, ' ')) as w from line),
+known as (select rid, md5(string_agg(h, '' order by k)) as doc from occ group by rid),
+frequent as (select host, h from occ join known using (rid) group by host, h having count(distinct doc) > 20),
 removed as (select rid, sum(w) as n from occ join frequent using (host, h) group by rid),
 m as (select ws.doc_id, len(w)::bigint as n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::bigint as word_chars,
   len(regexp_extract_all(t, '[#*$%&|<>]'))::bigint as n_symbols, (len(ls) - len(list_distinct(ls)))::bigint as n_dup_lines,
