@@ -1,7 +1,9 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
+import pytest
 from llm_texts import prose
 
 from asterlap.llm import positional_index as P
@@ -57,7 +59,9 @@ def test_against_brute_force(spark, documents):
 
 
 def test_beyond_the_broadcast_bound(spark, documents, monkeypatch):
-    monkeypatch.setattr(P, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(P, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(P, "PART", 3)
+    monkeypatch.setattr("asterlap.llm.common.FEW_ROWS", 0)
     items = [(1, prose(1, 30)), (2, "common words here")]
     docs = [(i, prose(i, 30) + " common words here" * (i % 2)) for i in range(30)]
     assert result(P.judge(documents(docs), benchmark(spark, items))) == expected(docs, items)
@@ -87,3 +91,38 @@ def test_proximity_of_items_with_words_the_corpus_lacks(spark, documents):
     got = P.near(documents(docs), benchmark(spark, items), slop=20).select("k_id", "item_id", "distance").collect()
     assert [tuple(r) for r in got] == [(1, 1, 6)]
     assert P.phrases(documents(docs), P.windows(benchmark(spark, items))[0]).count() == 0
+
+
+def brute_near(docs, items, slop):
+    """n_near_items and nearest of every document, all places of the two terms of every item held against each other."""
+    texts = [words(t) for _, t in docs]
+    counts = Counter(w for ws in texts for w in ws)
+    out = [(set(), []) for _ in docs]
+    for i, t in items:
+        ws = words(t)
+        pair = sorted({w for w in ws if counts[w]}, key=lambda w: (counts[w], w.encode()))[:2]
+        if len(pair) < 2 or i is None:
+            continue
+        places = lambda text, word: [k for k, w in enumerate(text) if w == word]
+        apart = lambda text: min((abs(p - q) for p in places(text, pair[0]) for q in places(text, pair[1])), default=None)
+        for (near, least), text in zip(out, texts):
+            d = apart(text)
+            if d is not None and d <= slop + apart(ws):
+                near.add(i)
+                least.append(d)
+    return [(len(near), min(least, default=None)) for near, least in out]
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_proximity_against_brute_force(spark, documents, monkeypatch, small):
+    if not small:
+        monkeypatch.setattr(P, "BROADCAST_BYTES", -1)
+        monkeypatch.setattr(P, "PART", 3)
+        monkeypatch.setattr("asterlap.llm.common.FEW_ROWS", 0)
+    rng = random.Random(9)
+    some = [f"w{k}" for k in range(60)]
+    items = [(i, " ".join(rng.choices(some + ["absent", "the"], k=rng.randint(1, 25)))) for i in range(20)] + [(3, "w1 w2 w1"), (None, "w3 w4"), (40, "the the")]
+    docs = [(i, " ".join(rng.choices(some, [1 / (k + 1) for k in range(60)], k=rng.randint(0, 90)))) for i in range(50)] + [(60, None), (61, "the " * 200 + "w1")]
+    got = {r.doc_id: (r.n_near_items, r.nearest) for r in P.judge(documents(docs), benchmark(spark, items), slop=3).collect()}
+    want = brute_near(docs, items, 3)
+    assert [got[i] for i, _ in docs] == want and 20 < sum(n > 0 for n, _ in want) < 52
