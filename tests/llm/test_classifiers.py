@@ -102,3 +102,79 @@ def test_held_out_accuracy_of_the_queries(spark, name, label, least):
 
 def test_shapes_are_those_of_whole_words():
     assert Q.features(b"x" * 64 + b"9A!!!") == (b"x" * 64 + b"9a!!!", b"a0A!!")
+
+
+def plain_score(model, text):
+    """The classifier's formula word by word, filter by filter, with zero vectors beside the text."""
+    zero = np.zeros(X.DIM)
+    vectors = [model["emb"][a].astype(float) + model["emb"][b] for a, b in text]
+    run = [*vectors, zero, zero]
+    pooled = []
+    for width, n in X.FILTERS.items():
+        for f in range(n):
+            w, b = model[f"w{width}"][:, f].astype(float), float(model[f"b{width}"][f])
+            at = [float(np.concatenate(run[i : i + width]) @ w) + b for i in range(len(run) - width + 1)]
+            pooled.append(max(0.0, *at))
+    return 1 / (1 + np.exp(-(np.array(pooled) @ model["out"].astype(float) + float(model["bias"][0]))))
+
+
+def test_convolution_and_pooling_match_a_plain_loop():
+    model, rng = X.new_model(), np.random.default_rng(3)
+    for name in ("b1", "b2", "b3", "bias"):
+        model[name] = rng.normal(0, 0.2, model[name].shape).astype(np.float32)
+    texts = [rng.integers(0, 1 << X.BITS, (n, 2)) for n in (1, 2, 3, 7, 30)]
+    got = X.scores(model, np.concatenate(texts), np.array([len(t) for t in texts]))
+    assert np.allclose(got, [plain_score(model, t) for t in texts], atol=1e-5)
+
+
+def test_a_training_step_follows_the_numeric_gradient(monkeypatch):
+    """One Adagrad step from nothing moves every parameter against the sign of the loss's numeric gradient."""
+    monkeypatch.setattr(X, "BATCH", 2)
+    rng = np.random.default_rng(5)
+    examples = [(rng.integers(0, 1 << X.BITS, (6, 2)), 1), (rng.integers(0, 1 << X.BITS, (9, 2)), 0)]
+    before, after = X.new_model(), X.fit(examples, epochs=1)
+
+    def loss(model):
+        p = [plain_score(model, t) for t, _ in examples]
+        return -np.mean([np.log(q if y else 1 - q) for q, (_, y) in zip(p, examples)])
+
+    checked = 0
+    for name in ("out", "bias", "w1", "w2", "w3", "b2", "emb"):
+        places = [np.unravel_index(i, before[name].shape) for i in rng.choice(before[name].size, min(12, before[name].size), replace=False)]
+        places = [(int(examples[0][0][i, 0]), d) for i in range(3) for d in (0, 7)] if name == "emb" else places
+        for at in places:
+            up, down = ({k: v.astype(float) for k, v in before.items()} for _ in range(2))
+            up[name][at] += 1e-4
+            down[name][at] -= 1e-4
+            slope = (loss(up) - loss(down)) / 2e-4
+            if abs(slope) > 1e-3:
+                assert np.sign(after[name][at] - before[name][at]) == -np.sign(slope), (name, at)
+                checked += 1
+    assert checked > 15
+
+
+def test_ftrl_matches_a_plain_loop_over_features():
+    """FTRL-proximal by its published formulas, one feature after the other, in dictionaries."""
+    rng = np.random.default_rng(8)
+    size = 40
+    examples = [(np.sort(rng.choice(size, 6, replace=False)), rng.random(6), int(rng.random() < 0.5)) for _ in range(60)]
+    z, n = {}, {}
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= Q.L1:
+            return 0.0
+        return -(z[i] - (Q.L1 if z[i] > 0 else -Q.L1)) / ((Q.BETA + n[i] ** 0.5) / Q.ALPHA + Q.L2)
+
+    model = Q.Ftrl(size)
+    for where, value, y in examples:
+        model.learn(where, value, y)
+        x = dict(zip([*where.tolist(), "bias"], [*value.tolist(), 1.0]))
+        w = {i: weight(i) for i in x}
+        p = 1 / (1 + np.exp(-sum(w[i] * v for i, v in x.items())))
+        for i, v in x.items():
+            g = (p - y) * v
+            sigma = ((n.get(i, 0.0) + g * g) ** 0.5 - n.get(i, 0.0) ** 0.5) / Q.ALPHA
+            z[i], n[i] = z.get(i, 0.0) + g - sigma * w[i], n.get(i, 0.0) + g * g
+    got = model.weights(slice(None))
+    assert np.allclose(got, [weight(i) for i in range(size)] + [weight("bias")], atol=1e-12)
+    assert np.count_nonzero(got) > 10 and model.weights(np.array([0])).shape == (1,)
