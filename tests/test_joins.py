@@ -69,3 +69,34 @@ def test_hot_share_follows_the_partitions(spark):
         assert list(hot_keys(df, ["k"])["k"]) == [-1]
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_facts_of_a_shuffled_lookup_are_not_sorted(facts, dimension, rows):
+    """Sorted wide facts spill; the hashed side is the dimension. Facts without hot keys carry no salt."""
+    for hot in (None, {}, {1: 0.34}):
+        got = lookup(facts, dimension, "k", "row_id", hot, broadcast=False)
+        assert "ShuffledHashJoin" in executed(got) and "Sort " not in executed(got)
+        assert ("_salt" in executed(got)) == (hot != {})
+        assert rows(got) == rows(facts.join(dimension, "k", "left"))
+    merged = lookup(facts, dimension, "k", "row_id", {}, broadcast=False, strategy="merge")
+    assert "SortMergeJoin" in executed(merged) and rows(merged) == rows(facts.join(dimension, "k", "left"))
+
+
+def test_missing_keys_are_hot_when_they_are_many(spark, dimension, rows):
+    df = spark.range(4000).select(F.col("id").alias("row_id"), F.when(F.col("id") % 2 == 0, F.col("id") % 700).alias("k"))
+    hot = hot_keys(df, ["k", "row_id"], share=0.1)
+    assert hot == {"k": {None: 0.5}, "row_id": {}}
+    got = lookup(df, dimension, "k", "row_id", hot["k"], broadcast=False)
+    assert "_salt" in executed(got) and rows(got) == rows(df.join(dimension, "k", "left"))
+
+
+def test_a_dimension_tiny_beside_its_facts_is_broadcast_at_any_size(spark):
+    for n in (1, 5):
+        assert joins.worth_broadcasting(spark.range(20 * n), spark.range(2000 * n), 10)
+        assert not joins.worth_broadcasting(spark.range(20 * n), spark.range(2000 * n - 1), 10)
+    assert not joins.worth_broadcasting(spark.range(101), spark.range(100_000), 10)
+    assert joins.worth_broadcasting(spark.range(10), spark.range(0), 10)
