@@ -178,3 +178,41 @@ def test_ftrl_matches_a_plain_loop_over_features():
     got = model.weights(slice(None))
     assert np.allclose(got, [weight(i) for i in range(size)] + [weight("bias")], atol=1e-12)
     assert np.count_nonzero(got) > 10 and model.weights(np.array([0])).shape == (1,)
+
+
+def test_toxicity_learns_from_every_labelled_row_whatever_the_shards(spark, documents, monkeypatch):
+    """However small the shards, every turn goes over all labelled rows of the learning folds, and the mean model works."""
+    docs, labels = corpus(900)
+    seen = spark.sparkContext.accumulator(0)
+    plain = X.fit
+
+    def counting(examples, epochs, *rest):
+        seen.add(len(examples) * epochs)
+        return plain(examples, epochs, *rest)
+
+    monkeypatch.setattr(X, "fit", counting)
+    learnt = sum(not out(i) for i, _, _ in labels)
+    model, limits = X.train(documents(docs), labelled(spark, labels), shard=100)
+    assert seen.value == X.ROUNDS * learnt
+    got = {r.doc_id: r.score for r in X.score(documents(docs), model).collect()}
+    assert np.mean([(got[i] >= 0.5) == y for i, _, y in labels if out(i)]) > 0.93 and 0 < limits["en"] < 1
+
+
+def test_blocks_hold_every_parameter():
+    model = X.new_model()
+    state = {"model": model, "squares": {k: v + 1 for k, v in model.items()}}
+    again = X.from_blocks(X.in_blocks(state))
+    assert all(np.array_equal(again[kind][k], v) for kind in state for k, v in state[kind].items())
+
+
+def test_thresholds_are_the_best_cuts(spark):
+    rng = np.random.default_rng(4)
+    rows = [(lang, int(rng.random() < 0.4), round(float(rng.random()), 2)) for lang in ("a", "b") for _ in range(300)] + [("one", 1, 0.3)]
+    got = X.thresholds(spark.createDataFrame(rows, "lang string, y int, score double"))
+    assert set(got) == {"a", "b"}
+    for lang in got:
+        mine = [(y, s) for at, y, s in rows if at == lang]
+        s = sorted({x for _, x in mine})
+        cuts = [0.0] + [(p + q) / 2 for p, q in zip(s, s[1:])]
+        right = [np.mean([x < c for y, x in mine if y == 0]) + np.mean([x >= c for y, x in mine if y == 1]) for c in cuts]
+        assert abs(right[int(np.argmin(np.abs(np.array(cuts) - got[lang])))] - max(right)) < 1e-9
