@@ -1,5 +1,6 @@
 """Checks of declared keys, references and mandatory columns; each returns the offending keys as a DataFrame."""
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -9,6 +10,8 @@ from .ordered import previous_value
 
 #: Offending keys that an error's text names; its report has them all.
 NAMED_KEYS = 5
+#: Rows whose keys one task holds at most. Keys are short and compress well, so partitions sized by their bytes hold far more.
+ROWS_PER_TASK = 1_000_000
 
 
 class KeyPolicyError(ValueError):
@@ -23,16 +26,28 @@ def _text(column: str, kind: str) -> Column:
     return F.date_format(column, "yyyy-MM-dd HH:mm:ss") if kind == "timestamp" else F.col(column).cast("string")
 
 
-def duplicated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys that occur more than once, with their number of rows."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("KeyRows")).filter("KeyRows > 1")
+def spread_by(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
+    """``df`` of at most ``rows`` rows, shuffled by ``keys`` into as many partitions as ROWS_PER_TASK asks for."""
+    return df.repartition(math.ceil(rows / ROWS_PER_TASK), *keys) if rows > ROWS_PER_TASK else df
 
 
-def duplicates_of_all(declared: list[tuple[str, DataFrame, list[str]]]) -> DataFrame:
-    """(TableName, KeyName, ErrorType, KeyValue, KeyRows) of the duplicates of every declared (table, rows, key).
+def duplicated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys that occur more than once, with their number of rows.
 
-    Rows are counted map-side, so a key that fills a third of a table is one row per task. A NULL shows as nothing.
+    The partitions of a large table follow from its number of rows, so a task's memory doesn't grow with the table. Its
+    keys are counted per task that read them first, so a key that fills a third of the table is one row per task.
     """
+    rows = df.count()
+    if rows <= ROWS_PER_TASK:
+        return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("KeyRows")).filter("KeyRows > 1")
+    parts = spread_by(df.select(*keys, F.spark_partition_id().alias("_part")), [*keys, "_part"], rows)
+    counted = parts.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    return spread_by(counted, keys, rows).groupBy(*keys).agg(F.sum("_n").alias("KeyRows")).filter("KeyRows > 1")
+
+
+def duplicates_of_all(declared: list[tuple[str, DataFrame, list[str]]]) -> DataFrame:
+    """(TableName, KeyName, ErrorType, KeyValue, KeyRows) of the duplicates of every declared (table, rows, key). A NULL
+    shows as nothing."""
     found = []
     for name, df, keys in declared:
         kinds = dict(df.dtypes)

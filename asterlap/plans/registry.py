@@ -233,10 +233,10 @@ def validate_unique_key(wh: Warehouse) -> DataFrame:
     loaded = [("dw.FactVisit", wh.fact(), ["VisitKey"]), ("stg.FactVisits_Raw", wh.raw("visits"), ["FactID"])]
     loaded += [(f"dw.{n}", wh.dimension(n), [dims.surrogate_key(n)]) for n in dims.STAGED]
     loaded += [(f"dw.{n}", wh.dimension(n), [k]) for n, (k, _) in dims.OVERWRITTEN.items()]
-    loaded += [
-        ("dw.agg_doctor_month", fact.doctor_months(wh.wide()), ["Year", "Month", "DoctorKey"]),
-        ("dw.agg_diagnosis_month", fact.diagnosis_months(wh.wide()), ["Year", "Month", "DiagnosisKey"]),
-    ]
+    visits = wh.wide().count()
+    for name, months, key in [("doctor", fact.doctor_months, "DoctorKey"), ("diagnosis", fact.diagnosis_months, "DiagnosisKey")]:
+        keys = ["Year", "Month", key]
+        loaded.append((f"dw.agg_{name}_month", checkpointed(months(validate.spread_by(wh.wide(), keys, visits)).select(*keys)), keys))
     histories = {n: _damaged_history(wh, n) for n in dims.VERSIONED}
     for name, (k, _, _) in dims.VERSIONED.items():
         loaded += [(f"dw.{name}", wh.dimension(name), [k, "EffectiveTo", "IsCurrent"]), (f"damaged {name}", histories[name], [k, "EffectiveTo", "IsCurrent"])]

@@ -17,6 +17,17 @@ def test_duplicated_keys(spark, rows):
     assert rows(validate.duplicated_keys(df, ["k"])) == [(1, 2), (None, 2)]
 
 
+def test_duplicated_keys_of_a_large_table(spark, rows, monkeypatch):
+    """Partitions follow from the number of rows, however few bytes their keys have; a third of the rows is one key."""
+    key = F.when(F.col("id") % 3 == 0, -1).when(F.col("id") < 3900, F.col("id"))
+    df = spark.range(0, 4000, 1, 4).select(key.alias("k"))
+    assert validate.duplicated_keys(df, ["k"]).rdd.getNumPartitions() < 40
+    monkeypatch.setattr(validate, "ROWS_PER_TASK", 100)
+    found = validate.duplicated_keys(df, ["k"])
+    assert rows(found) == [(-1, 1334), (None, 66)]
+    assert found.rdd.getNumPartitions() == 40
+
+
 def test_orphans_ignore_null(spark, rows):
     child = spark.createDataFrame([(1,), (7,), (7,), (None,)], "c int")
     parent = spark.createDataFrame([(1,), (2,)], "p int")
