@@ -46,26 +46,41 @@ class Tokens(dict):
         # A word of lower-case letters, with a blank before it or not, needs neither normalising nor splitting.
         self.bare.normalizer = normalizers.Sequence([])
         self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.pieces, self.limit = pieces, limit
+        self.pieces, self.limit, self.new = pieces, limit, []
+
+    def __missing__(self, piece: str) -> bytearray:
+        """Room for the IDs of a piece not seen before, which ``encode`` fills."""
+        self.new.append(piece)
+        self[piece] = room = bytearray()
+        return room
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        """Every piece is looked up once; new ones give room that is filled before the IDs of a text are joined."""
         if len(self) > self.limit:
             self.clear()
-        cut = [[t] if self.has_added(t) else self.pieces(t) for t in texts]
-        new = list(set(chain.from_iterable(cut)).difference(self))
-        plain = [p for p in new if LETTERS.fullmatch(p)]
-        for tokenizer, some in ((self.bare, plain), (self.tokenizer, list(set(new).difference(plain)))):
-            for i in range(0, len(some), 10_000):
-                part = some[i : i + 10_000]
-                found = [e.ids for e in tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-                ids = np.fromiter(chain.from_iterable(found), "<u4").tobytes()
-                ends = [4 * n for n in accumulate(map(len, found))]
-                self.update(zip(part, (ids[i:j] for i, j in zip([0, *ends], ends))))
-        out = [b"".join(map(self.__getitem__, ps)) for ps in cut]
-        for piece in new:
+        self.new = []
+        try:
+            found = [list(map(self.__getitem__, [t] if self.has_added(t) else self.pieces(t))) for t in texts]
+            plain = [p for p in self.new if LETTERS.fullmatch(p)]
+            for tokenizer, some in ((self.bare, plain), (self.tokenizer, list(set(self.new).difference(plain)))):
+                for i in range(0, len(some), 10_000):
+                    self._fill(tokenizer, some[i : i + 10_000])
+        except BaseException:
+            self.clear()  # some rooms may be empty
+            raise
+        for piece in self.new:
             if len(piece) > LONG_PIECE:
                 del self[piece]
-        return out
+        return [b"".join(ids) for ids in found]
+
+    def _fill(self, tokenizer, pieces: list[str]) -> None:
+        found = [e.ids for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        ids = np.fromiter(chain.from_iterable(found), "<u4").tobytes()
+        ends = [4 * n for n in accumulate(map(len, found))]
+        for piece, i, j in zip(pieces, [0, *ends], ends):
+            own = ids[i:j]
+            self[piece] += own
+            self[piece] = own  # takes less memory
 
     def has_added(self, text: str) -> bool:
         """Whether an added token may be in the text, in whatever case."""

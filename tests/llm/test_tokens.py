@@ -228,3 +228,31 @@ def test_short_sequences(documents, length):
     for r in got:
         filled[r.sequence_id] += r.length
     assert max(filled.values()) <= length
+
+
+def test_pieces_are_looked_up_once():
+    hashed = []
+
+    class Piece(str):
+        __slots__ = ()
+
+        def __hash__(self):
+            hashed.append(self)
+            return super().__hash__()
+
+    tokens = Tokens(BYTE, lambda text: [Piece(p) for p in spaced_words(text)], added_as_text=False)
+    texts = ["one two one. " * 50, "two three 4 " * 50]
+    expected = [e.ids for e in tokens.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    for _ in range(2):
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in tokens.encode(texts)] == expected
+    occurrences = 2 * sum(len(spaced_words(t)) for t in texts)
+    assert len(hashed) < 1.2 * occurrences
+
+
+def test_failed_encoding_leaves_no_empty_pieces(monkeypatch):
+    tokens = Tokens(BYTE, spaced_words, added_as_text=False)
+    with monkeypatch.context() as broken:
+        broken.setattr(tokens, "bare", None)
+        with pytest.raises(AttributeError):
+            tokens.encode(["some text"])
+    assert np.frombuffer(tokens.encode(["some text"])[0], "<u4").tolist() == tokens.tokenizer.encode("some text", add_special_tokens=False).ids
