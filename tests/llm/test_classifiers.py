@@ -198,6 +198,21 @@ def test_toxicity_learns_from_every_labelled_row_whatever_the_shards(spark, docu
     assert np.mean([(got[i] >= 0.5) == y for i, _, y in labels if out(i)]) > 0.93 and 0 < limits["en"] < 1
 
 
+@pytest.mark.parametrize("shard", [10_000, 200])
+def test_every_row_is_gone_over_as_often_in_many_shards_as_in_one(spark, documents, monkeypatch, shard):
+    docs, labels = corpus(500)
+    seen = spark.sparkContext.accumulator(0)
+    plain = X.fit
+
+    def counting(examples, epochs, *rest):
+        seen.add(len(examples) * epochs)
+        return plain(examples, epochs, *rest)
+
+    monkeypatch.setattr(X, "fit", counting)
+    X.train(documents(docs), labelled(spark, labels), shard=shard)
+    assert seen.value == X.EPOCHS * sum(not out(i) for i, _, _ in labels)
+
+
 def test_blocks_hold_every_parameter():
     model = X.new_model()
     state = {"model": model, "squares": {k: v + 1 for k, v in model.items()}}
