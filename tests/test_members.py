@@ -1,8 +1,12 @@
 """Totals per member: the same rows whether they are combined map-side or spread by the key."""
 
+from decimal import ROUND_HALF_UP, localcontext
+from decimal import Decimal as D
+
 import pytest
 from pyspark.sql import functions as F
 
+from asterlap.functions import measures
 from asterlap.operators.members import member_totals
 from asterlap.plans import fact
 from asterlap.schemas import STAGING
@@ -55,3 +59,23 @@ def test_exported_files_are_compressed(spark, tmp_path, rows):
     size = sum(p.stat().st_size for p in (tmp_path / "d.csv").glob("part-*"))
     assert size < 0.5 * sum(len(f"{i};doctor {i};Khirurg\n") for i in range(2000))
     assert rows(delimited.read_delimited(spark, str(tmp_path / "d.csv"), STAGING["doctors"])) == rows(doctors)
+
+
+def test_means_and_totals_follow_the_decimals_digits(spark):
+    """Long integers or decimals, few rows or huge totals: four more digits, half up, then those of the type."""
+    groups = [[5, 4, 0], [1, 2], [-1, 0, 0], [-1, 0], [10**17, 10**17 + 1], [-(10**17), 1, 0], [None, 7, None], [50_000_000 * 10**6, 999_999], [None]]
+    rows = [(g, v, v) for g, values in enumerate(groups) for v in values]
+    df = spark.createDataFrame(rows, "g int, ProfitUnits long, RepeatRateUnits long").groupBy("g")
+    got = {r.g: r for r in df.agg(
+        measures.visit_amount("Profit", "total"), measures.visit_mean("Profit", "decimal(28,2)", "mean"), measures.visit_mean("RepeatRate", "decimal(28,8)", "rate"),
+    ).collect()}
+    with localcontext() as exact:
+        exact.prec = 60
+        for g, values in enumerate(groups):
+            known = [v for v in values if v is not None]
+            if not known:
+                assert tuple(got[g])[1:] == (None, None, None)
+                continue
+            mean = (D(sum(known)) / 100 / len(values)).quantize(D("1e-6"), ROUND_HALF_UP).quantize(D("0.01"), ROUND_HALF_UP)
+            rate = (D(sum(known)) / 10_000 / len(values)).quantize(D("1e-8"), ROUND_HALF_UP)
+            assert (got[g].total, got[g].mean, got[g].rate) == (D(sum(known)) / 100, mean, rate), g
